@@ -1,0 +1,32 @@
+"""spark-submit entry point: publish the two daily sales tables, then check them."""
+
+from __future__ import annotations
+
+import argparse
+import logging
+
+from tallymart.plans.daily_job import run_daily_job, verify_outputs
+from tallymart.session import make_session
+
+
+def main() -> None:
+    parser = argparse.ArgumentParser(description=__doc__)
+    for name in ("--sales", "--products", "--rates", "--output", "--as-of"):
+        parser.add_argument(name, required=True)
+    arguments = parser.parse_args()
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s - %(levelname)s - %(message)s")
+
+    spark = make_session()
+    run_daily_job(
+        spark,
+        arguments.sales,
+        arguments.products,
+        arguments.rates,
+        arguments.output,
+        arguments.as_of,
+    )
+    verify_outputs(spark, arguments.output)
+
+
+if __name__ == "__main__":
+    main()
