@@ -37,6 +37,22 @@ def require_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"Source rows are not unique on {list(keys)}")
 
 
+def require_same_columns(present: DataFrame, df: DataFrame, partitions: Sequence[str]) -> None:
+    """Raise ValueError unless names and types agree, in any order.
+
+    The type of a partition column is not stored but guessed from folder names, so only its name
+    counts.
+    """
+
+    def types(table: DataFrame) -> set[tuple[str, str | None]]:
+        return {(name, None if name in partitions else kind) for name, kind in table.dtypes}
+
+    differing = types(present) ^ types(df)
+    if differing:
+        names = sorted({name for name, _ in differing})
+        raise ValueError(f"Columns differ from the published table in name or type: {names}")
+
+
 def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target with its matching rows replaced and the remaining source rows added."""
     require_columns(target.columns, list(keys))
@@ -95,8 +111,7 @@ def publish(
     if present is None:
         _write(df, path, partitions, "append")
         return "created"
-    if set(present.columns) != set(df.columns):
-        raise ValueError(f"{path} has columns {present.columns}, not {df.columns}")
+    require_same_columns(present, df, partitions)
 
     staged = stage(increment(df, inc_col, as_of), path, "increment")
     # Stated again on the stored rows, the day lets the scans of the target be pruned by them.
