@@ -1,15 +1,18 @@
-"""Run registered queries against their SQL: python compare.py [folder] [query ...]"""
+"""Run registered queries against their SQL: python tests/compare.py [folder] [query ...]"""
 
 from __future__ import annotations
 
 import math
 import sys
 import time
+from pathlib import Path
 
 import duckdb
 
-import __spark_entry__ as registered
-from tallymart.session import make_session
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+import __spark_entry__ as registered  # noqa: E402
+from tallymart.session import make_session  # noqa: E402
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "

@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import pytest
+from conftest import rows
+from pyspark.errors import AnalysisException
+
+from tallymart.session import make_session, owned_folder, shared_folder, stage
+from tallymart.sources.csv_files import read_csv
+from tallymart.sources.published import find_published, read_published, table_path
+
+
+def write(path, text):
+    path.write_text(text)
+    return str(path)
+
+
+def test_all_columns_are_text_named_by_header(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "B,A\n1,2026-01-01\n,\n\nx\n1,2,3\n")
+    df = read_csv(spark, path)
+    assert df.dtypes == [("B", "string"), ("A", "string")]
+    assert rows(df) == [(None, None), ("1", "2"), ("1", "2026-01-01"), ("x", None)]
+
+
+def test_inference_on_request(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "A,B\n1,1.5\n2,2.5\n")
+    assert read_csv(spark, path, infer=True).dtypes == [("A", "int"), ("B", "double")]
+
+
+def test_files_with_other_headers_raise(spark, tmp_path):
+    write(tmp_path / "a.csv", "A,B\n1,2\n")
+    write(tmp_path / "b.csv", "B,A\n3,4\n")
+    with pytest.raises(Exception, match="CSV header"):
+        read_csv(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("fail_fast", [False, True])
+def test_missing_path(spark, fail_fast):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_csv(spark, "/nowhere/file.csv", fail_fast=fail_fast)
+
+
+def test_table_names_are_lower_case():
+    assert table_path("/out/", "Category_SUMMARY") == "/out/category_summary"
+
+
+def test_find_published(spark, tmp_path):
+    assert find_published(spark, str(tmp_path / "none")) is None
+    assert find_published(spark, str(tmp_path)) is None
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    assert find_published(spark, str(tmp_path / "t")).count() == 3
+
+
+def test_partition_values_keep_declared_type(spark, tmp_path):
+    df = spark.createDataFrame([(1, "01"), (2, "1")], "v int, COUNTRY string")
+    path = str(tmp_path / "t")
+    df.write.partitionBy("COUNTRY").parquet(path)
+    assert rows(read_published(spark, path, df.schema)) == [(1, "01"), (2, "1")]
+
+
+def test_shared_folder_is_read_from_the_session(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert owned_folder(spark, "/a") != owned_folder(spark, "/b")
+
+
+def test_staged_rows_no_longer_depend_on_their_source(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5).write.parquet(path)
+    staged = stage(spark.read.parquet(path).where("id > 1"), path, "part")
+    spark.range(1).write.mode("overwrite").parquet(path)
+    assert rows(staged) == [(2,), (3,), (4,)]
+    assert staged.inputFiles()[0].startswith(f"file://{owned_folder(spark, path)}/part/")
+
+
+def test_session_settings(spark):
+    session = make_session({"spark.sql.shuffle.partitions": "8"})
+    assert session.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert session.conf.get("spark.sql.adaptive.enabled") == "true"

@@ -1,0 +1,201 @@
+from __future__ import annotations
+
+import random
+import shutil
+from datetime import date, timedelta
+from pathlib import Path
+
+import pytest
+from conftest import rows
+
+from tallymart.operators.upsert import increment, merge_rows, publish, rewrite
+from tallymart.sources.published import read_published, table_path
+
+DAY = date(2026, 1, 5)
+BEFORE = date(2026, 1, 4)
+SCHEMA = "COUNTRY string, ORDER_DATE date, k int, v string"
+KEYS = ["COUNTRY", "ORDER_DATE", "k"]
+
+
+@pytest.fixture(params=[["COUNTRY"], ["ORDER_DATE"], ["COUNTRY", "ORDER_DATE"], None], ids=str)
+def table(request, spark, tmp_path):
+    return Table(spark, str(tmp_path / "out"), request.param)
+
+
+class Table:
+    def __init__(self, spark, base, partitions):
+        self.spark, self.base, self.partitions = spark, base, partitions
+
+    def publish(self, *values, as_of=DAY, keys=KEYS):
+        df = self.frame(*values)
+        return publish(df, self.base, "T", keys, "ORDER_DATE", as_of, self.partitions)
+
+    def frame(self, *values):
+        return self.spark.createDataFrame(list(values), SCHEMA)
+
+    @property
+    def path(self):
+        return table_path(self.base, "T")
+
+    def rows(self):
+        df = read_published(self.spark, self.path, self.frame().schema)
+        return sorted(
+            (tuple(row) for row in df.select("COUNTRY", "ORDER_DATE", "k", "v").collect()),
+            key=repr,
+        )
+
+
+OLD = [("US", BEFORE, 1, "old"), ("US", DAY, 1, "old"), ("US", DAY, 2, "old"),
+       ("UK", DAY, 1, "old"), ("FR", BEFORE, 9, "old")]
+
+
+def expect(*values):
+    return sorted(values, key=repr)
+
+
+def test_first_run_loads_all_days(table):
+    assert table.publish(*OLD) == "created"
+    assert table.rows() == expect(*OLD)
+
+
+def test_update_insert_keep_and_late_rows(table):
+    table.publish(*OLD)
+    done = table.publish(
+        ("US", DAY, 1, "new"), ("US", DAY, 3, "new"), ("DE", DAY, 1, "new"),
+        ("US", BEFORE, 1, "late"), ("IT", BEFORE, 1, "late"),
+    )
+    assert done == "merged"
+    assert table.rows() == expect(
+        ("US", BEFORE, 1, "old"), ("US", DAY, 1, "new"), ("US", DAY, 2, "old"),
+        ("US", DAY, 3, "new"), ("UK", DAY, 1, "old"), ("DE", DAY, 1, "new"),
+        ("FR", BEFORE, 9, "old"),
+    )
+
+
+def test_new_day_is_appended_without_touching_old_files(table):
+    table.publish(*OLD)
+    files = {file: file.stat().st_mtime_ns for file in Path(table.path).rglob("*.parquet")}
+    new = [("US", date(2026, 1, 6), 1, "new"), ("DE", date(2026, 1, 6), 1, "new")]
+    assert table.publish(*new, as_of=date(2026, 1, 6)) == "appended"
+    assert table.rows() == expect(*OLD, *new)
+    assert all(file.stat().st_mtime_ns == stamp for file, stamp in files.items())
+
+
+def test_day_without_rows(table):
+    table.publish(*OLD)
+    assert table.publish(("US", BEFORE, 1, "late")) == "unchanged"
+    assert table.rows() == expect(*OLD)
+
+
+def test_null_key_never_matches(table):
+    table.publish(*OLD, ("US", DAY, None, "first"))
+    table.publish(("US", DAY, None, "second"), ("US", DAY, None, "third"))
+    table.publish(("US", DAY, None, "fourth"), ("US", DAY, 1, "new"))
+    expected = [row for row in OLD if row != ("US", DAY, 1, "old")]
+    assert table.rows() == expect(
+        *expected, ("US", DAY, 1, "new"),
+        *(("US", DAY, None, name) for name in ("first", "second", "third", "fourth")),
+    )
+
+
+def test_null_partition_keeps_its_rows(table):
+    table.publish(*OLD, (None, DAY, 1, "first"), (None, BEFORE, 1, "before"))
+    done = table.publish((None, DAY, 1, "second"), ("US", DAY, 1, "new"))
+    assert done == "merged"
+    expected = [row for row in OLD if row != ("US", DAY, 1, "old")]
+    assert table.rows() == expect(
+        *expected, ("US", DAY, 1, "new"), (None, DAY, 1, "first"), (None, DAY, 1, "second"),
+        (None, BEFORE, 1, "before"),
+    )
+
+
+def test_duplicate_source_key(table):
+    table.publish(*OLD)
+    with pytest.raises(ValueError, match="not unique"):
+        table.publish(("US", DAY, 7, "a"), ("US", DAY, 7, "b"))
+    assert table.rows() == expect(*OLD)
+
+
+def test_key_without_the_day_column(spark, tmp_path):
+    table = Table(spark, str(tmp_path), ["COUNTRY"])
+    table.publish(*OLD[:1], *OLD[3:])
+    done = table.publish(("US", DAY, 1, "new"), ("FR", DAY, 1, "new"), keys=["COUNTRY", "k"])
+    assert done == "merged"
+    assert table.rows() == expect(
+        ("US", DAY, 1, "new"), ("UK", DAY, 1, "old"), ("FR", BEFORE, 9, "old"),
+        ("FR", DAY, 1, "new"),
+    )
+
+
+def test_interrupted_rewrite_is_completed_from_the_staged_copy(spark, tmp_path):
+    table = Table(spark, str(tmp_path / "out"), ["COUNTRY"])
+    table.publish(*OLD)
+    table.publish(("US", DAY, 1, "new"), ("UK", DAY, 1, "new"))
+    complete = table.rows()
+    shutil.rmtree(f"{table.path}/COUNTRY=US")
+    assert table.rows() != complete
+    for _ in range(2):
+        rewrite(spark, table.path, ["COUNTRY"], table.frame())
+        assert table.rows() == complete
+
+
+def test_arguments_are_checked(spark, tmp_path):
+    table = Table(spark, str(tmp_path), ["v"])
+    with pytest.raises(ValueError, match="Column list cannot be empty"):
+        table.publish(*OLD, keys=[])
+    with pytest.raises(ValueError, match=r"Columns not found in DataFrame: \['X'\]"):
+        table.publish(*OLD, keys=["X"])
+    with pytest.raises(ValueError, match="must be among the keys"):
+        table.publish(*OLD)
+
+
+def test_other_columns_or_types_are_refused(spark, tmp_path):
+    table = Table(spark, str(tmp_path), ["COUNTRY"])
+    table.publish(*OLD)
+    for change in ("k + 0L AS k", "v AS w"):
+        name = change.split()[0]
+        df = table.frame(*OLD).selectExpr(
+            *(column for column in table.frame().columns if column != name), change
+        )
+        with pytest.raises(ValueError, match="Columns differ"):
+            publish(df, table.base, "T", ["COUNTRY", "ORDER_DATE"], "ORDER_DATE", DAY, ["COUNTRY"])
+
+
+def test_write_errors_are_raised(spark, tmp_path):
+    (tmp_path / "out").write_text("a file where the folder should be")
+    with pytest.raises(Exception):  # noqa: B017
+        Table(spark, str(tmp_path / "out"), ["COUNTRY"]).publish(*OLD)
+
+
+def test_merge_rows_is_pure(spark):
+    table = Table(spark, "", None)
+    target = table.frame(("US", DAY, 1, "old"), ("US", DAY, 2, "old"))
+    source = table.frame(("US", DAY, 1, "new"), ("US", DAY, 3, "new"))
+    assert rows(merge_rows(target, source, KEYS).select("k", "v")) == [
+        (1, "new"), (2, "old"), (3, "new"),
+    ]
+
+
+def test_increment_accepts_a_moment(spark):
+    df = Table(spark, "", None).frame(*OLD)
+    assert increment(df, "ORDER_DATE", "2026-01-05 23:59:59").count() == 3
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_publishing_twice_changes_nothing(spark, tmp_path, seed):
+    """Against a dictionary, with random days of rows; each day is published twice."""
+    dice = random.Random(seed)
+    table = Table(spark, str(tmp_path / "out"), [["COUNTRY"], ["ORDER_DATE"], None][seed])
+    expected = {}
+    for step in range(3):
+        day = BEFORE + timedelta(days=dice.randrange(2))
+        fresh = {
+            (dice.choice("ABC"), day, dice.randrange(6)): f"v{step}" for _ in range(12)
+        }
+        values = [(*key, value) for key, value in fresh.items()]
+        table.publish(*values, as_of=day)
+        expected |= fresh
+        once = table.rows()
+        assert once == expect(*((*key, value) for key, value in expected.items()))
+        assert table.publish(*values, as_of=day) == ("merged")
+        assert table.rows() == once
