@@ -6,6 +6,7 @@ throughout because Spark 4 runs in ANSI mode, where a failed parse or cast would
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -14,9 +15,24 @@ from pyspark.sql import functions as F
 from tallymart.fixed_values import DATE_FORMATS, PRICE_TYPE, TIMESTAMP_FORMATS
 
 
+def _shape(fmt: str) -> str:
+    """Regular expression that matches every text ``fmt`` can read, and few others."""
+    number = {True: r"[-+]?[0-9]{4,}", False: r"0*[0-9]{1,2}"}
+    return "^" + re.sub("[A-Za-z]+", lambda run: number[run[0].startswith("y")], fmt) + "$"
+
+
 def parse_timestamp(value: Column, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
-    """First format that reads the whole text wins; NULL when none does."""
-    return F.coalesce(*(F.try_to_timestamp(value, F.lit(fmt)) for fmt in formats))
+    """First format that reads the whole text wins; NULL when none does.
+
+    A format is tried only on text of its shape: a failed try costs an exception per row, many
+    times the price of the pattern match.
+    """
+    return F.coalesce(
+        *(
+            F.when(value.rlike(_shape(fmt)), F.try_to_timestamp(value, F.lit(fmt)))
+            for fmt in formats
+        )
+    )
 
 
 def parse_date(value: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
+import random
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallymart.fixed_values import DATE_FORMATS, ISO_DATE_FORMAT
+from tallymart.fixed_values import DATE_FORMATS, ISO_DATE_FORMAT, TIMESTAMP_FORMATS
 from tallymart.functions import (
     average_order_value,
     parse_date,
@@ -43,6 +44,29 @@ def test_timestamp_formats(spark):
     assert found == [*TIMES.values(), None]
 
 
+def test_shapes_hide_no_readable_text(spark):
+    """Same result as trying every format on every text."""
+    dice = random.Random(7)
+    numbers = ["1", "07", "12", "31", "007", "2025", "25", "12025", "+12025", "-1", "+5", "0", ""]
+    plain_numbers = ["1", "07", "11", "2025"]
+    signs = ["-", "/", " ", ":", " ", "T", ""]
+    texts = [
+        "".join(dice.choice(numbers) + dice.choice(signs) for _ in range(6)) for _ in range(3000)
+    ]
+    for pattern in ("{}-{}-{} {}:{}:{}", "{}/{}/{} {}:{}:{}", "{}/{}/{} {}:{}", "{}/{}/{}"):
+        for choice in (numbers, plain_numbers):
+            texts += [
+                pattern.format(*(dice.choice(choice) for _ in range(6))) for _ in range(2000)
+            ]
+    for formats in (TIMESTAMP_FORMATS, (*DATE_FORMATS, ISO_DATE_FORMAT)):
+        plain = F.coalesce(*(F.try_to_timestamp("v", F.lit(fmt)) for fmt in formats))
+        expected = evaluate(spark, texts, plain.cast("string"))
+        assert evaluate(spark, texts, parse_timestamp(F.col("v"), formats).cast("string")) == (
+            expected
+        )
+        assert sum(value is not None for value in expected) > 100
+
+
 DATES = {
     "2025-12-30 10:00:05": date(2025, 12, 30),
     "12/30/2025": date(2025, 12, 30),
