@@ -1,4 +1,4 @@
-"""Tolerant parsing: what does not fit becomes NULL, never an error.
+"""Tolerant parsing (what does not fit becomes NULL, never an error) and tests for values.
 
 All functions stay inside generated code (no Python per row). The ``try_`` variants are used
 throughout because Spark 4 runs in ANSI mode, where a failed parse or cast would end the job.
@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -56,3 +58,13 @@ def to_whole(value: Column, type_name: str) -> Column:
 def to_money(value: Column, type_name: str = PRICE_TYPE) -> Column:
     """Decimal amount, rounded half up; NULL when unreadable or too large."""
     return value.try_cast(type_name)
+
+
+def all_present(columns: Sequence[str], with_nan: Sequence[str] = ()) -> Column:
+    """True where every column has a value; NaN is none in the columns of ``with_nan``.
+
+    Written as a conjunction so that Parquet scans skip row groups by it.
+    """
+    tests = [F.col(name).isNotNull() for name in columns]
+    tests += [~F.isnan(name) for name in columns if name in with_nan]
+    return reduce(and_, tests)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +13,13 @@ from tallymart.fixed_values import (
     RATE_TYPE,
     REQUIRED_SALES_COLUMNS,
 )
-from tallymart.functions import parse_date, parse_timestamp, to_money, to_whole
+from tallymart.functions import (
+    all_present,
+    parse_date,
+    parse_timestamp,
+    to_money,
+    to_whole,
+)
 from tallymart.schemas import require_columns
 
 
@@ -64,26 +69,19 @@ def cast_types(
     return cast_sales(sales, id_type), products, cast_rates(rates, rate_type)
 
 
-def remove_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows with a value (neither NULL nor NaN) in every listed column. Runs no job."""
-    require_columns(df.columns, list(columns))
-    return df.dropna(subset=list(columns))
-
-
 def _complete(df: DataFrame, columns: Sequence[str]) -> Column:
-    """True for the rows that :func:`remove_nulls` keeps."""
-    types = dict(df.dtypes)
+    require_columns(df.columns, list(columns))
+    fractions = [name for name, kind in df.dtypes if kind in ("double", "float")]
+    return all_present(columns, with_nan=fractions)
 
-    def has_value(name: str) -> Column:
-        filled = F.col(name).isNotNull()
-        return filled & ~F.isnan(name) if types[name] in ("double", "float") else filled
 
-    return reduce(lambda left, right: left & right, map(has_value, columns))
+def remove_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows with a value (neither NULL nor NaN) in every listed column. Runs no job."""
+    return df.where(_complete(df, columns))
 
 
 def drop_audit_columns(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     """Aggregates for rows before, after and dropped; usable in ``agg`` and ``observe``."""
-    require_columns(df.columns, list(columns))
     keeps = _complete(df, columns)
     return [
         F.count(F.lit(1)).alias("rows_before"),

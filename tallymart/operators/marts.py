@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymart.functions import average_order_value
+from tallymart.functions import all_present, average_order_value
 
 CUSTOMER_DAY = ("CUSTOMER_ID", "ORDER_DATE", "COUNTRY")
 
@@ -63,27 +63,23 @@ def customer_order_value(lines: DataFrame) -> DataFrame:
 def daily_customer_summary(lines: DataFrame) -> DataFrame:
     """Orders, mean USD per line and top category per customer, day and country.
 
-    One pass over ``lines``. The first aggregation reduces every line to two partial results, one
-    per category (its revenue) and one per order (its revenue and line count); the second merges
-    them per customer, day and country. That replaces two scans, a window and a join. Lines
-    without a customer, day or country belong to no group of this table.
+    One pass over ``lines``. Every line counts once for its category and once for its order; the
+    first aggregation reduces both kinds of rows, the second merges them per customer, day and
+    country. That replaces two scans, a window and a join. Lines without a customer, day or
+    country belong to no group of this table.
     """
+    twice = F.stack(
+        F.lit(2),
+        *(F.lit(False), F.col("CATEGORY"), F.lit(None)),
+        *(F.lit(True), F.lit(None), F.col("ORDER_ID")),
+    ).alias("per_order", "CATEGORY", "ORDER_ID")
     parts = (
-        lines.dropna(subset=list(CUSTOMER_DAY))
-        .groupingSets(
-            [[*CUSTOMER_DAY, "CATEGORY"], [*CUSTOMER_DAY, "ORDER_ID"]],
-            *CUSTOMER_DAY,
-            "CATEGORY",
-            "ORDER_ID",
-        )
-        .agg(
-            F.sum("REVENUE_USD").alias("usd"),
-            F.count("ORDER_ID").alias("order_lines"),
-            F.grouping("CATEGORY").alias("per_order"),
-        )
+        lines.where(all_present(CUSTOMER_DAY))
+        .select(*CUSTOMER_DAY, "REVENUE_USD", twice)
+        .groupBy(*CUSTOMER_DAY, "per_order", "CATEGORY", "ORDER_ID")
+        .agg(F.sum("REVENUE_USD").alias("usd"), F.count("ORDER_ID").alias("order_lines"))
     )
-    per_order = F.col("per_order") == 1
-    usd = F.col("usd")
+    per_order, usd = F.col("per_order"), F.col("usd")
     # Same order as rank_categories, smallest first: NULL totals last, NaN above every number.
     is_number = ~F.isnan(usd) if dict(lines.dtypes)["REVENUE_USD"] == "double" else F.lit(True)
     standing = F.struct(
@@ -91,8 +87,8 @@ def daily_customer_summary(lines: DataFrame) -> DataFrame:
     )
     return parts.groupBy(*CUSTOMER_DAY).agg(
         F.count_if(per_order & F.col("ORDER_ID").isNotNull()).alias("TOTAL_ORDERS"),
-        average_order_value(
-            F.sum(F.when(per_order, usd)), F.sum(F.when(per_order, F.col("order_lines")))
-        ).alias("AVG_ORDER_VALUE_USD"),
+        average_order_value(F.sum(F.when(per_order, usd)), F.sum("order_lines")).alias(
+            "AVG_ORDER_VALUE_USD"
+        ),
         F.min_by("CATEGORY", F.when(~per_order, standing)).alias("TOP_CATEGORY"),
     )

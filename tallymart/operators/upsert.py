@@ -17,10 +17,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymart.functions import all_present
 from tallymart.operators.quality import moment
 from tallymart.schemas import require_columns
 from tallymart.session import owned_folder, stage
-from tallymart.sources.published import find_published, read_published, table_path
+from tallymart.sources.published import find_published, stored_types, table_path
 
 MERGED = "merged"
 
@@ -32,25 +33,17 @@ def increment(df: DataFrame, inc_col: str, as_of: date | datetime | str) -> Data
 
 def require_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
     """Raise ValueError when a key without NULLs occurs twice."""
-    repeated = source.dropna(subset=list(keys)).groupBy(*keys).count().where("count > 1")
+    repeated = source.where(all_present(keys)).groupBy(*keys).count().where("count > 1")
     if not repeated.isEmpty():
         raise ValueError(f"Source rows are not unique on {list(keys)}")
 
 
-def require_same_columns(present: DataFrame, df: DataFrame, partitions: Sequence[str]) -> None:
-    """Raise ValueError unless names and types agree, in any order.
-
-    The type of a partition column is not stored but guessed from folder names, so only its name
-    counts.
-    """
-
-    def types(table: DataFrame) -> set[tuple[str, str | None]]:
-        return {(name, None if name in partitions else kind) for name, kind in table.dtypes}
-
-    differing = types(present) ^ types(df)
+def require_same_columns(table: DataFrame, df: DataFrame, partitions: Sequence[str]) -> None:
+    """Raise ValueError unless the stored columns have the names and types of ``df``."""
+    wanted = {name: kind for name, kind in df.dtypes if name not in partitions}
+    differing = sorted({name for name, _ in wanted.items() ^ stored_types(table).items()})
     if differing:
-        names = sorted({name for name, _ in differing})
-        raise ValueError(f"Columns differ from the published table in name or type: {names}")
+        raise ValueError(f"Columns differ from the published table in name or type: {differing}")
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -107,11 +100,11 @@ def publish(
         raise ValueError(f"Partition columns {partitions} must be among the keys {keys}")
     path = table_path(base, table)
 
-    present = find_published(spark, path)
-    if present is None:
+    target = find_published(spark, path, df.schema)
+    if target is None:
         _write(df, path, partitions, "append")
         return "created"
-    require_same_columns(present, df, partitions)
+    require_same_columns(target, df, partitions)
 
     staged = stage(increment(df, inc_col, as_of), path, "increment")
     # Stated again on the stored rows, the day lets the scans of the target be pruned by them.
@@ -120,7 +113,6 @@ def publish(
         return "unchanged"
     require_unique_keys(source, keys)
 
-    target = read_published(spark, path, df.schema)
     # A key that holds the increment column can only match rows of the same day.
     day = increment(target, inc_col, as_of) if inc_col in keys else target
     if day.join(source.select(*keys), keys, "left_semi").isEmpty():
@@ -128,10 +120,24 @@ def publish(
         return "appended"
 
     if inc_col in partitions:
-        touched = touched_rows(day, source, [p for p in partitions if p != inc_col])
+        merged = merge_rows(
+            touched_rows(day, source, [name for name in partitions if name != inc_col]),
+            source,
+            keys,
+        )
+    elif inc_col in keys:
+        # The history that shares a partition with the day is carried over without a join.
+        history = touched_rows(
+            target.where(~F.col(inc_col).eqNullSafe(moment(as_of, day.schema[inc_col].dataType))),
+            source,
+            partitions,
+        )
+        merged = history.unionByName(
+            merge_rows(touched_rows(day, source, partitions), source, keys)
+        )
     else:
-        touched = touched_rows(target, source, partitions)
-    stage(merge_rows(touched, source, keys), path, MERGED)
+        merged = merge_rows(touched_rows(target, source, partitions), source, keys)
+    stage(merged, path, MERGED)
     rewrite(spark, path, partitions, df)
     return "merged"
 

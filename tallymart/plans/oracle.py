@@ -6,8 +6,13 @@ front of each query. Decimals become the nearest double by way of their text.
 
 from __future__ import annotations
 
-from tallymart.plans.catalog import GATE_MOMENT, PUBLISH_DAY, READ_BEFORE, READ_FROM
-from tallymart.plans.retail_tables import FIRST_RATE_DAY, LAST_RATE_DAY
+from tallymart.plans.catalog import GATE_MOMENT, PUBLISH_DAY, READ_COUNTRY
+from tallymart.plans.retail_tables import (
+    FIRST_RATE_DAY,
+    LAST_ORDER_DAY,
+    LAST_RATE_DAY,
+    RECENT_DAYS,
+)
 
 
 def _double(expression: str) -> str:
@@ -39,6 +44,17 @@ sales AS (
   FROM order_lines
 )"""
 
+RECENT_SALES = f"""
+sales AS (
+  SELECT o_orderkey AS ORDER_ID, o_custkey AS CUSTOMER_ID, l_partkey AS PRODUCT_ID,
+         cast(l_quantity AS int) AS QUANTITY, cast(l_extendedprice AS decimal(12,2)) AS PRICE,
+         n_name AS COUNTRY,
+         date '{LAST_ORDER_DAY}'
+           - cast(datediff('day', cast(o_orderdate AS date), date '{LAST_ORDER_DAY}')
+                  % {RECENT_DAYS} AS int) AS ORDER_DATE
+  FROM order_lines
+)"""
+
 RATES = f"""
 rates AS (
   SELECT cast(d AS date) AS RATE_DATE, n_name AS RATE_COUNTRY,
@@ -159,6 +175,7 @@ def _with(*views: str) -> str:
     return "WITH " + ",".join(views)
 
 
+RECENT = _with(ORDER_LINES, RECENT_SALES, RATES, LINES)
 CLEAN = _with(ORDER_LINES, SALES, RATES, LINES)
 DIRTY = _with(ORDER_LINES, RAW, TYPED, RATES, TYPED_LINES)
 DIRTY_RATED = _with(ORDER_LINES, RAW, TYPED, RATES, TYPED_RATED)
@@ -367,7 +384,7 @@ def oracle_sql() -> dict[str, str]:
         "publish_initial": f"{CLEAN} SELECT {CUSTOMER_COLUMNS} FROM ({customers}) AS c",
         "read_published": f"{CLEAN} SELECT {CATEGORY_COLUMNS} FROM ({categories}) AS c",
         "partition_pruned_read": f"""{CLEAN} SELECT {CUSTOMER_COLUMNS} FROM ({customers}) AS c
-            WHERE c.ORDER_DATE >= date '{READ_FROM}' AND c.ORDER_DATE < date '{READ_BEFORE}'""",
+            WHERE c.COUNTRY = '{READ_COUNTRY}'""",
         "upsert_update": f"""{CLEAN}, dearer AS (
               SELECT ORDER_DATE, COUNTRY, CATEGORY, ORDER_ID, QUANTITY,
                      QUANTITY * (PRICE + 1) AS REVENUE_LOCAL,
@@ -383,4 +400,6 @@ def oracle_sql() -> dict[str, str]:
             WHERE c.ORDER_DATE <> {day}
             UNION ALL
             SELECT {CUSTOMER_COLUMNS} FROM ({customers}) AS c WHERE c.ORDER_DATE = {day}""",
+        "daily_job_categories": f"{RECENT} SELECT {CATEGORY_COLUMNS} FROM ({categories}) AS c",
+        "daily_job_customers": f"{RECENT} SELECT {CUSTOMER_COLUMNS} FROM ({customers}) AS c",
     }

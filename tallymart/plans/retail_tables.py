@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 FIRST_RATE_DAY = "1995-01-01"
 LAST_RATE_DAY = "2001-12-31"
 
+# The last order day, and the span of days recent_sales folds all orders into.
+LAST_ORDER_DAY = "2001-08-01"
+RECENT_DAYS = 80
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -158,3 +162,18 @@ def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
         timestamp_text().alias("ORDER_TIMESTAMP"),
         "COUNTRY",
     )
+
+
+def recent_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """All sales lines as text, with their days folded into the last weeks of the calendar."""
+    last = F.lit(LAST_ORDER_DAY).cast("date")
+    day = F.date_sub(last, F.date_diff(last, "ORDER_DATE") % RECENT_DAYS)
+    return sales(spark, folder).select(
+        F.col("ORDER_ID").cast("string"),
+        F.col("CUSTOMER_ID").cast("string"),
+        F.col("PRODUCT_ID").cast("string"),
+        F.col("QUANTITY").cast("string"),
+        F.col("PRICE").cast("string"),
+        F.date_format(day, "M/d/yyyy H:mm").alias("ORDER_TIMESTAMP"),
+        "COUNTRY",
+    )

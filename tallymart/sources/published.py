@@ -14,18 +14,26 @@ def table_path(base: str, name: str) -> str:
 def read_published(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """The live rows of a published table.
 
-    With ``schema``, partition values get its types (a COUNTRY of ``01`` stays text) and no file
-    is opened to find out the columns.
+    With ``schema``, partition values get its types (a COUNTRY of ``01`` stays text); without it
+    their types are guessed from the folder names.
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(path)
 
 
-def find_published(spark: SparkSession, path: str) -> DataFrame | None:
+def find_published(
+    spark: SparkSession, path: str, schema: StructType | None = None
+) -> DataFrame | None:
     """The table at ``path``, or None when there is no folder or no data file in it."""
     try:
-        return read_published(spark, path)
+        table = read_published(spark, path, schema)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
+    return table if table.inputFiles() else None
+
+
+def stored_types(table: DataFrame) -> dict[str, str]:
+    """Column types as written in the table's files; partition columns are not among them."""
+    return dict(table.sparkSession.read.parquet(table.inputFiles()[0]).dtypes)
