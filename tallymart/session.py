@@ -13,15 +13,23 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.parquet.mergeSchema": "false",
-    "spark.ui.enabled": "false",
+    # Product lists and rates up to this size spare the sales lines a shuffle.
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    # Larger splits of text make fewer, larger files of cleaned lines.
+    "spark.sql.files.maxPartitionBytes": "256MB",
 }
 
 
 def make_session(conf: dict[str, str] | None = None, app_name: str = "tallymart") -> SparkSession:
-    """Session with the recommended settings, overridden by ``conf``."""
-    settings = {**RECOMMENDED, **(conf or {})}
-    return SparkSession.builder.appName(app_name).config(map=settings).getOrCreate()
+    """Session with ``conf``; the recommended settings fill in what neither it nor spark-submit
+    has set."""
+    conf = conf or {}
+    spark = SparkSession.builder.appName(app_name).config(map=conf).getOrCreate()
+    given = {*conf, *(name for name, _ in spark.sparkContext.getConf().getAll())}
+    for name, value in RECOMMENDED.items():
+        if name not in given:
+            spark.conf.set(name, value)
+    return spark
 
 
 @cache

@@ -57,7 +57,13 @@ def compare(spark, folder: str, name: str) -> str:
 def main() -> int:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(registered.queries())
-    spark = make_session({"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8"})
+    spark = make_session(
+        {
+            "spark.master": "local[8]",
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+        }
+    )
     spark.sparkContext.setLogLevel("ERROR")
     problems = [problem for name in names if (problem := compare(spark, folder, name))]
     print(*(problems or ["all equal"]), sep="\n")

@@ -72,6 +72,11 @@ def test_staged_rows_no_longer_depend_on_their_source(spark, tmp_path):
 
 
 def test_session_settings(spark):
-    session = make_session({"spark.sql.shuffle.partitions": "8"})
-    assert session.conf.get("spark.sql.session.timeZone") == "UTC"
-    assert session.conf.get("spark.sql.adaptive.enabled") == "true"
+    session = make_session({"spark.sql.files.maxPartitionBytes": "1MB"})
+    try:
+        assert session.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert session.conf.get("spark.sql.adaptive.enabled") == "true"
+        assert session.conf.get("spark.sql.files.maxPartitionBytes") == "1MB"
+        assert session.conf.get("spark.sql.shuffle.partitions") == "8"
+    finally:
+        make_session()
