@@ -3,7 +3,8 @@
 The inputs are parsed once. Cleaned lines and priced lines are each written once to the shared
 folder, and both counts the job needs (drop audit, quality gate) ride along on those writes: they
 are observed in the stage that commits the files, where a lost executor cannot make a row count
-twice. The two tables then read only the columns they need from the stored lines.
+twice. The two tables then read only the columns they need from the stored lines. Once both tables
+exist, only the lines of the as-of day are stored for them; the gate still judges every line.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from tallymart.operators.clean import cast_types, drop_audit_columns, prep_sales
 from tallymart.operators.enrich import enrich_sales
 from tallymart.operators.marts import daily_category_summary, daily_customer_summary
 from tallymart.operators.quality import enforce, gate_rules, null_scan, rule_counters
-from tallymart.operators.upsert import publish
+from tallymart.operators.upsert import increment, publish
 from tallymart.schemas import PRODUCT_COLUMNS, RATE_COLUMNS, SALES_COLUMNS, require_columns
 from tallymart.session import stage
 from tallymart.sources.csv_files import read_csv
@@ -81,6 +82,9 @@ def run_daily_job(
         counts["rows_dropped"],
     )
 
+    outputs = [table_path(output, name) for name in (CATEGORY_TABLE, CUSTOMER_TABLE)]
+    incremental = all(find_published(spark, path) is not None for path in outputs)
+
     lines = enrich_sales(prepared, products, rates)
     rules = gate_rules(
         lines,
@@ -91,7 +95,11 @@ def run_daily_job(
         as_of,
     )
     gate = Observation("quality_gate")
-    lines = stage(lines.observe(gate, *rule_counters(rules)), output, "priced_sales")
+    lines = lines.observe(gate, *rule_counters(rules))
+    if incremental:
+        # The gate has seen every line; only those of the day are needed further on.
+        lines = increment(lines, INCREMENT_COLUMN, as_of)
+    lines = stage(lines, output, "priced_sales")
     enforce(rules, gate.get)
     log.info("Data validation passed successfully")
 

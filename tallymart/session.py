@@ -12,6 +12,8 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where the next aggregation could have kept the join's partitioning.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Product lists and rates up to this size spare the sales lines a shuffle.
     "spark.sql.autoBroadcastJoinThreshold": "64MB",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -24,16 +26,17 @@ def read_published(spark: SparkSession, path: str, schema: StructType | None = N
 def find_published(
     spark: SparkSession, path: str, schema: StructType | None = None
 ) -> DataFrame | None:
-    """The table at ``path``, or None when there is no folder or no data file in it."""
+    """The table at ``path``, or None when there is no folder or no row in it."""
     try:
         table = read_published(spark, path, schema)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
-    return table if table.inputFiles() else None
+    return None if table.isEmpty() else table
 
 
 def stored_types(table: DataFrame) -> dict[str, str]:
-    """Column types as written in the table's files; partition columns are not among them."""
-    return dict(table.sparkSession.read.parquet(table.inputFiles()[0]).dtypes)
+    """Column types as written in a file of the table; partition columns are not among them."""
+    location = table.select("_metadata.file_path").first()
+    return dict(table.sparkSession.read.parquet(unquote(location.file_path)).dtypes)

@@ -8,6 +8,7 @@ import pytest
 from conftest import rows
 
 from tallymart.plans.daily_job import run_daily_job, verify_outputs
+from tallymart.session import owned_folder
 from tallymart.sources.published import read_published, table_path
 
 AS_OF = datetime(2026, 1, 6)
@@ -97,6 +98,27 @@ def test_second_run_touches_only_its_day(spark, sample, tmp_path):
         (1, date(2026, 1, 5), "US", 4, 105.75, "Electronics"),
         *GOLDEN_CUSTOMER[3:],
     ]
+    stored = spark.read.parquet(f"{owned_folder(spark, out)}/priced_sales")
+    assert [tuple(row) for row in stored.select("ORDER_DATE").distinct().collect()] == [
+        (date(2026, 1, 5),)
+    ]
+
+
+def test_gate_judges_every_line_on_later_runs(spark, sample, tmp_path):
+    out = str(tmp_path / "out")
+    run_daily_job(spark, sample["sales"], sample["products"], sample["rates"], out, AS_OF)
+    changed = open(sample["sales"]).read().replace("1003,1,P03,5,25", "1003,1,P03,0,25")
+    open(sample["sales"], "w").write(changed)
+    with pytest.raises(ValueError, match="Column 'QUANTITY' has 1 non-positive values"):
+        run_daily_job(
+            spark,
+            sample["sales"],
+            sample["products"],
+            sample["rates"],
+            out,
+            datetime(2026, 1, 5, 11),
+        )
+    assert category(spark, out) == GOLDEN_CATEGORY
 
 
 @pytest.mark.parametrize(

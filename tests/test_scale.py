@@ -11,7 +11,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tallymart.operators.clean import remove_nulls
-from tallymart.operators.enrich import enrich_sales
+from tallymart.operators.enrich import add_revenue, enrich_sales, join_rates
 from tallymart.operators.marts import daily_category_summary, daily_customer_summary
 from tallymart.operators.quality import gate_rules, quality_report
 from tallymart.operators.upsert import increment, publish, touched_rows
@@ -88,6 +88,37 @@ def test_hot_product_is_split_when_products_are_too_large_to_broadcast(spark, tm
     assert (summary["TOTAL_ORDERS"], summary["TOTAL_QUANTITY"]) == (60000, 60000)
 
 
+def test_hot_day_is_split_although_the_summary_could_keep_the_join_partitioning(
+    spark, tmp_path
+):
+    """Rates too large to broadcast, half of the lines on one day, grouped by day right after."""
+    sales = hot_sales(spark, str(tmp_path / "sales")).withColumn(
+        "ORDER_DATE",
+        F.when(F.col("PRODUCT_ID") == "hot", F.col("ORDER_DATE")).otherwise(
+            F.date_add("ORDER_DATE", (F.col("ORDER_ID") % 400).cast("int"))
+        ),
+    )
+    sales.write.parquet(str(tmp_path / "days"))
+    sales = spark.read.parquet(str(tmp_path / "days"))
+    sales.select(F.col("ORDER_DATE").alias("DATE"), "COUNTRY").distinct().withColumn(
+        "EXCHANGE_RATE_TO_USD", F.lit(2.0)
+    ).write.parquet(str(tmp_path / "rates"))
+    rates = spark.read.parquet(str(tmp_path / "rates"))
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="16KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="32KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+    ):
+        lines = add_revenue(join_rates(sales.withColumn("CATEGORY", F.lit("A")), rates))
+        df = daily_category_summary(lines)
+        summary = {row.ORDER_DATE: row for row in df.collect()}
+        assert "SortMergeJoin(skew=true)" in plan(df)
+    assert sum(row.TOTAL_ORDERS for row in summary.values()) == 60000
+    assert summary[DAY].TOTAL_REVENUE_USD == 2.0 * summary[DAY].TOTAL_ORDERS >= 60000
+
+
 def test_small_products_and_rates_are_broadcast(spark, tmp_path):
     hot_sales(spark, str(tmp_path / "sales"))
     products = spark.createDataFrame(

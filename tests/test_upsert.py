@@ -109,6 +109,16 @@ def test_null_partition_keeps_its_rows(table):
     )
 
 
+def test_partition_names_with_special_characters(table):
+    names = ["United Kingdom", "a%b", "x/y", "q=r", "Österreich", "{z}", "01", "1"]
+    old = [(name, DAY, 1, "old") for name in names]
+    table.publish(*old, ("US", BEFORE, 1, "old"))
+    assert table.publish(*((name, DAY, 1, "new") for name in names)) == "merged"
+    assert table.rows() == expect(
+        *((name, DAY, 1, "new") for name in names), ("US", BEFORE, 1, "old")
+    )
+
+
 def test_duplicate_source_key(table):
     table.publish(*OLD)
     with pytest.raises(ValueError, match="not unique"):
