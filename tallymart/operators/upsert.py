@@ -6,11 +6,16 @@ never matches and is added on every run.
 
 Work per run follows the day, not the table: a day that is not in the table yet is appended; only
 when rows have to be replaced are the partitions concerned rewritten. There is one writer per table.
+
+Lost executors cost repeated tasks only. Replacing several folders is not one transaction, though, so
+the step under way is noted in the shared folder: after the loss of the driver, the next run first
+completes the rewrite from the staged rows, or starts an incomplete first load again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date, datetime
 from functools import reduce
 
@@ -24,6 +29,7 @@ from tallymart.session import owned_folder, stage
 from tallymart.sources.published import find_published, stored_types, table_path
 
 MERGED = "merged"
+CREATING, REWRITING, NOTHING = "creating", "rewriting", "nothing"
 
 
 def increment(df: DataFrame, inc_col: str, as_of: date | datetime | str) -> DataFrame:
@@ -53,18 +59,44 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     return kept.unionByName(source)
 
 
-def _write(df: DataFrame, path: str, partitions: Sequence[str], mode: str) -> None:
+def _write(
+    df: DataFrame, path: str, partitions: Sequence[str], mode: str, replace: str = "dynamic"
+) -> None:
     """Write in files of even size, however uneven the partitions are.
 
     REBALANCE gathers the rows of a partition, then lets adaptive execution split a large one over
-    several tasks and merge small ones. Overwriting replaces only the partitions written to.
+    several tasks and merge small ones. Overwriting replaces the partitions written to
+    (``dynamic``) or the whole table (``static``).
     """
     writer = df.hint("rebalance", *partitions).write.mode(mode)
     if partitions:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
+        writer = writer.option("partitionOverwriteMode", replace).partitionBy(*partitions)
     writer.parquet(path)
 
 
+def _note_path(spark: SparkSession, path: str) -> str:
+    return f"{owned_folder(spark, path)}/under_way"
+
+
+def _note(spark: SparkSession, path: str, step: str) -> None:
+    note = spark.range(1).select(F.lit(step).alias("step"))
+    note.coalesce(1).write.mode("overwrite").parquet(_note_path(spark, path))
+
+
+@contextmanager
+def _noted(spark: SparkSession, path: str, step: str) -> Iterator[None]:
+    """Note the step while it runs; when it fails the note stays."""
+    _note(spark, path, step)
+    yield
+    _note(spark, path, NOTHING)
+
+
+def _interrupted(spark: SparkSession, path: str) -> str:
+    """The step that an earlier run left unfinished."""
+    note = find_published(spark, _note_path(spark, path))
+    return NOTHING if note is None else note.first()["step"]
+
+
 def touched_rows(target: DataFrame, source: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Target rows of the partitions that ``source`` writes to.
 
@@ -100,9 +132,13 @@ def publish(
         raise ValueError(f"Partition columns {partitions} must be among the keys {keys}")
     path = table_path(base, table)
 
-    target = find_published(spark, path, df.schema)
+    interrupted = _interrupted(spark, path)
+    if interrupted == REWRITING:
+        rewrite(spark, path, partitions, df)
+    target = None if interrupted == CREATING else find_published(spark, path, df.schema)
     if target is None:
-        _write(df, path, partitions, "append")
+        with _noted(spark, path, CREATING):
+            _write(df, path, partitions, "overwrite", replace="static")
         return "created"
     require_same_columns(target, df, partitions)
 
@@ -143,11 +179,7 @@ def publish(
 
 
 def rewrite(spark: SparkSession, path: str, partitions: Sequence[str], like: DataFrame) -> None:
-    """Put the staged merge result in place.
-
-    Replacing several partition folders is not one transaction. The staged copy stays in the
-    shared folder until the next merge, so after a driver loss half way this call alone completes
-    the table; running it twice changes nothing.
-    """
+    """Put the staged merge result in place; doing it twice changes nothing."""
     merged = spark.read.schema(like.schema).parquet(f"{owned_folder(spark, path)}/{MERGED}")
-    _write(merged, path, list(partitions), "overwrite")
+    with _noted(spark, path, REWRITING):
+        _write(merged, path, list(partitions), "overwrite")

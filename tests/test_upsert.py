@@ -1,13 +1,13 @@
 from __future__ import annotations
 
 import random
-import shutil
 from datetime import date, timedelta
 from pathlib import Path
 
 import pytest
 from conftest import rows
 
+from tallymart.operators import upsert
 from tallymart.operators.upsert import increment, merge_rows, publish, rewrite
 from tallymart.sources.published import read_published, table_path
 
@@ -137,16 +137,54 @@ def test_key_without_the_day_column(spark, tmp_path):
     )
 
 
-def test_interrupted_rewrite_is_completed_from_the_staged_copy(spark, tmp_path):
+class DriverLost(Exception):
+    pass
+
+
+def lose_driver(monkeypatch, when):
+    """The next write in mode ``when`` removes what it would replace, then the driver dies."""
+    genuine = upsert._write
+
+    def dying(df, path, partitions, mode, **options):
+        monkeypatch.setattr(upsert, "_write", genuine)
+        assert mode == when
+        genuine(df.limit(1), path, partitions, mode, **options)
+        raise DriverLost
+
+    monkeypatch.setattr(upsert, "_write", dying)
+
+
+def test_interrupted_rewrite_is_completed_by_the_next_run(table, monkeypatch):
+    table.publish(*OLD)
+    new = [("US", DAY, 1, "new"), ("UK", DAY, 1, "new"), ("DE", DAY, 1, "new")]
+    lose_driver(monkeypatch, "overwrite")
+    with pytest.raises(DriverLost):
+        table.publish(*new)
+    complete = expect(
+        *(row for row in OLD if row[:3] not in {new_row[:3] for new_row in new}), *new
+    )
+    assert table.rows() != complete
+    assert table.publish(*new) == "merged"
+    assert table.rows() == complete
+
+
+def test_interrupted_first_load_starts_again(table, monkeypatch):
+    lose_driver(monkeypatch, "overwrite")
+    with pytest.raises(DriverLost):
+        table.publish(*OLD)
+    assert len(table.rows()) == 1
+    assert table.publish(*OLD) == "created"
+    assert table.rows() == expect(*OLD)
+    assert table.publish(("US", DAY, 3, "new")) == "appended"
+
+
+def test_rewriting_twice_changes_nothing(spark, tmp_path):
     table = Table(spark, str(tmp_path / "out"), ["COUNTRY"])
     table.publish(*OLD)
     table.publish(("US", DAY, 1, "new"), ("UK", DAY, 1, "new"))
     complete = table.rows()
-    shutil.rmtree(f"{table.path}/COUNTRY=US")
-    assert table.rows() != complete
-    for _ in range(2):
-        rewrite(spark, table.path, ["COUNTRY"], table.frame())
-        assert table.rows() == complete
+    rewrite(spark, table.path, ["COUNTRY"], table.frame())
+    assert table.rows() == complete
 
 
 def test_arguments_are_checked(spark, tmp_path):
