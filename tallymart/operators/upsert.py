@@ -97,6 +97,12 @@ def _interrupted(spark: SparkSession, path: str) -> str:
     return NOTHING if note is None else note.first()["step"]
 
 
+def is_loaded(spark: SparkSession, base: str, table: str) -> bool:
+    """True when the first load is complete, so that only the as-of day matters from now on."""
+    path = table_path(base, table)
+    return _interrupted(spark, path) != CREATING and find_published(spark, path) is not None
+
+
 def touched_rows(target: DataFrame, source: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Target rows of the partitions that ``source`` writes to.
 

@@ -36,7 +36,7 @@ from tallymart.operators.clean import cast_types, drop_audit_columns, prep_sales
 from tallymart.operators.enrich import enrich_sales
 from tallymart.operators.marts import daily_category_summary, daily_customer_summary
 from tallymart.operators.quality import enforce, gate_rules, null_scan, rule_counters
-from tallymart.operators.upsert import increment, publish
+from tallymart.operators.upsert import increment, is_loaded, publish
 from tallymart.schemas import PRODUCT_COLUMNS, RATE_COLUMNS, SALES_COLUMNS, require_columns
 from tallymart.session import stage
 from tallymart.sources.csv_files import read_csv
@@ -82,9 +82,6 @@ def run_daily_job(
         counts["rows_dropped"],
     )
 
-    outputs = [table_path(output, name) for name in (CATEGORY_TABLE, CUSTOMER_TABLE)]
-    incremental = all(find_published(spark, path) is not None for path in outputs)
-
     lines = enrich_sales(prepared, products, rates)
     rules = gate_rules(
         lines,
@@ -96,7 +93,7 @@ def run_daily_job(
     )
     gate = Observation("quality_gate")
     lines = lines.observe(gate, *rule_counters(rules))
-    if incremental:
+    if all(is_loaded(spark, output, name) for name in (CATEGORY_TABLE, CUSTOMER_TABLE)):
         # The gate has seen every line; only those of the day are needed further on.
         lines = increment(lines, INCREMENT_COLUMN, as_of)
     lines = stage(lines, output, "priced_sales")

@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from conftest import rows
 
+from tallymart.operators import upsert
 from tallymart.plans.daily_job import run_daily_job, verify_outputs
 from tallymart.session import owned_folder
 from tallymart.sources.published import read_published, table_path
@@ -121,6 +122,25 @@ def test_gate_judges_every_line_on_later_runs(spark, sample, tmp_path):
     assert category(spark, out) == GOLDEN_CATEGORY
 
 
+def test_interrupted_first_load_is_repeated_in_full(spark, sample, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    genuine = upsert._write
+
+    def dying(df, path, *arguments, **options):
+        genuine(df.limit(1), path, *arguments, **options)
+        if path.endswith("customer_summary"):
+            raise KeyboardInterrupt
+
+    inputs = (sample["sales"], sample["products"], sample["rates"], out)
+    monkeypatch.setattr(upsert, "_write", dying)
+    with pytest.raises(KeyboardInterrupt):
+        run_daily_job(spark, *inputs, AS_OF)
+    monkeypatch.setattr(upsert, "_write", genuine)
+    done = run_daily_job(spark, *inputs, datetime(2026, 1, 5, 11))
+    assert done["customer_summary"] == "created"
+    assert customer(spark, out) == GOLDEN_CUSTOMER
+
+
 @pytest.mark.parametrize(
     ("as_of", "message"),
     [
