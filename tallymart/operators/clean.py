@@ -64,9 +64,10 @@ def cast_types(
     rates: DataFrame,
     id_type: str = "bigint",
     rate_type: str = RATE_TYPE,
+    date_formats: Sequence[str] = DATE_FORMATS,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All three inputs typed; products are text already and pass through."""
-    return cast_sales(sales, id_type), products, cast_rates(rates, rate_type)
+    return cast_sales(sales, id_type), products, cast_rates(rates, rate_type, date_formats)
 
 
 def _complete(df: DataFrame, columns: Sequence[str]) -> Column:

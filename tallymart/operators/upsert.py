@@ -7,8 +7,8 @@ never matches and is added on every run.
 Work per run follows the day, not the table: a day that is not in the table yet is appended; only
 when rows have to be replaced are the partitions concerned rewritten. There is one writer per table.
 
-Lost executors cost repeated tasks only. Replacing several folders is not one transaction, though, so
-the step under way is noted in the shared folder: after the loss of the driver, the next run first
+Lost executors cost repeated tasks only. Replacing several folders is not one transaction, so the
+step under way is noted in the shared folder: after the loss of the driver, the next run first
 completes the rewrite from the staged rows, or starts an incomplete first load again.
 """
 

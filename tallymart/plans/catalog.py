@@ -48,7 +48,7 @@ from tallymart.operators.enrich import add_revenue, enrich_sales, join_products,
 from tallymart.operators.upsert import increment, publish
 from tallymart.plans import retail_tables as tables
 from tallymart.plans.daily_job import run_daily_job, verify_outputs
-from tallymart.session import shared_folder
+from tallymart.session import recommend, shared_folder
 from tallymart.sources.csv_files import read_csv
 from tallymart.sources.published import read_published, table_path
 
@@ -469,6 +469,10 @@ def queries() -> dict[str, Query]:
     """Name to query; every result is ready for comparison."""
 
     def comparable(query: Query) -> Query:
-        return lambda spark, folder: shown(query(spark, folder))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            recommend(spark)
+            return shown(query(spark, folder))
+
+        return run
 
     return {name: comparable(query) for name, query in _entries().items()}

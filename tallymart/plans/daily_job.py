@@ -10,6 +10,7 @@ exist, only the lines of the as-of day are stored for them; the gate still judge
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,6 +23,7 @@ from tallymart.fixed_values import (
     CUSTOMER_KEYS,
     CUSTOMER_PARTITIONS,
     CUSTOMER_TABLE,
+    DATE_FORMATS,
     GATE_DATE_COLUMN,
     GATE_MISSING_COLUMNS,
     GATE_NUMERIC_COLUMNS,
@@ -58,17 +60,23 @@ def run_daily_job(
     rates_path: str,
     output: str,
     as_of: date | datetime | str,
+    id_type: str = "bigint",
     rate_type: str = RATE_TYPE,
+    date_formats: Sequence[str] = DATE_FORMATS,
 ) -> dict[str, str]:
     """Publish both tables for the as-of day; returns what was done to each.
 
+    ``id_type``, ``rate_type`` and ``date_formats`` are those of ``cast_types``.
+
     Raises ValueError when the quality gate fails; nothing is published then.
     """
     sales, products, rates = cast_types(
         _read(spark, sales_path, SALES_COLUMNS),
         _read(spark, products_path, PRODUCT_COLUMNS),
         _read(spark, rates_path, RATE_COLUMNS),
-        rate_type=rate_type,
+        id_type,
+        rate_type,
+        date_formats,
     )
 
     audit = Observation("drop_audit")

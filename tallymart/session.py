@@ -22,15 +22,19 @@ RECOMMENDED = {
 }
 
 
-def make_session(conf: dict[str, str] | None = None, app_name: str = "tallymart") -> SparkSession:
-    """Session with ``conf``; the recommended settings fill in what neither it nor spark-submit
-    has set."""
-    conf = conf or {}
-    spark = SparkSession.builder.appName(app_name).config(map=conf).getOrCreate()
-    given = {*conf, *(name for name, _ in spark.sparkContext.getConf().getAll())}
+def recommend(spark: SparkSession) -> None:
+    """Apply the recommended settings that nobody has set for this session."""
+    given = spark.conf.getAll
     for name, value in RECOMMENDED.items():
         if name not in given:
             spark.conf.set(name, value)
+
+
+def make_session(conf: dict[str, str] | None = None, app_name: str = "tallymart") -> SparkSession:
+    """Session with ``conf`` and, where neither it nor spark-submit says otherwise, the
+    recommended settings."""
+    spark = SparkSession.builder.appName(app_name).config(map=conf or {}).getOrCreate()
+    recommend(spark)
     return spark
 
 

@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from conftest import rows
 
+from tallymart.fixed_values import DATE_FORMATS, ISO_DATE_FORMAT
 from tallymart.operators import upsert
 from tallymart.plans.daily_job import run_daily_job, verify_outputs
 from tallymart.session import owned_folder
@@ -182,6 +183,18 @@ def test_exact_rates(spark, sample, tmp_path):
     assert customer(spark, out) == GOLDEN_CUSTOMER
 
 
+def test_iso_dates_in_rates_on_request(spark, sample, tmp_path):
+    text = open(sample["rates"]).read()
+    open(sample["rates"], "w").write(text.replace("12/30/2025", "2025-12-30"))
+    inputs = (sample["sales"], sample["products"], sample["rates"])
+    run_daily_job(spark, *inputs, str(tmp_path / "strict"), AS_OF)
+    assert category(spark, str(tmp_path / "strict")) == [GOLDEN_CATEGORY[0], GOLDEN_CATEGORY[3]]
+    formats = (*DATE_FORMATS, ISO_DATE_FORMAT)
+    run_daily_job(spark, *inputs, str(tmp_path / "iso"), AS_OF, "int", date_formats=formats)
+    assert category(spark, str(tmp_path / "iso")) == GOLDEN_CATEGORY
+    assert customer(spark, str(tmp_path / "iso")) == GOLDEN_CUSTOMER
+
+
 def test_null_in_output_is_reported(spark, sample, tmp_path):
     out = str(tmp_path / "out")
     run_daily_job(spark, sample["sales"], sample["products"], sample["rates"], out, AS_OF)

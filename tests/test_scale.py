@@ -8,14 +8,17 @@ from pathlib import Path
 
 import pytest
 from conftest import rows
+from pyspark import TaskContext
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from tallymart.operators.clean import remove_nulls
+from tallymart.operators.clean import drop_audit_columns, remove_nulls
 from tallymart.operators.enrich import add_revenue, enrich_sales, join_rates
 from tallymart.operators.marts import daily_category_summary, daily_customer_summary
 from tallymart.operators.quality import gate_rules, quality_report
 from tallymart.operators.upsert import increment, publish, touched_rows
 from tallymart.plans import catalog
+from tallymart.session import stage
 from tallymart.sources.published import read_published, table_path
 
 SMALL = "/root/testdata/sf0.001"
@@ -168,6 +171,25 @@ def test_null_test_reaches_the_scan(spark, tmp_path):
     assert "IsNotNull(x)" in plan(remove_nulls(spark.read.parquet(path), ["x"]))
 
 
+def test_counts_taken_while_storing_are_exact_when_tasks_are_repeated(spark, tmp_path):
+    @F.udf("boolean")
+    def dies_at_first(value):
+        if TaskContext.get().attemptNumber() == 0 and value % 1000 == 999:
+            raise RuntimeError("lost")
+        return True
+
+    sales = spark.range(8000).repartition(8).select(
+        F.col("id").cast("int").alias("QUANTITY"),
+        F.when(F.col("id") % 4 > 0, F.lit(1)).alias("PRICE"),
+        "id",
+    )
+    audit = Observation("audit")
+    watched = sales.observe(audit, *drop_audit_columns(sales, ["QUANTITY", "PRICE"]))
+    kept = remove_nulls(watched, ["QUANTITY", "PRICE"]).where(dies_at_first("id"))
+    assert stage(kept, str(tmp_path), "kept").count() == 6000
+    assert audit.get == {"rows_before": 8000, "rows_after": 6000, "rows_dropped": 2000}
+
+
 SCHEMA = "COUNTRY string, ORDER_DATE date, k bigint, v string"
 
 

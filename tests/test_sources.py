@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.errors import AnalysisException
 
-from tallymart.session import make_session, owned_folder, shared_folder, stage
+from tallymart.session import owned_folder, recommend, shared_folder, stage
 from tallymart.sources.csv_files import read_csv
 from tallymart.sources.published import find_published, read_published, table_path
 
@@ -71,12 +71,11 @@ def test_staged_rows_no_longer_depend_on_their_source(spark, tmp_path):
     assert staged.inputFiles()[0].startswith(f"file://{owned_folder(spark, path)}/part/")
 
 
-def test_session_settings(spark):
-    session = make_session({"spark.sql.files.maxPartitionBytes": "1MB"})
-    try:
-        assert session.conf.get("spark.sql.session.timeZone") == "UTC"
-        assert session.conf.get("spark.sql.adaptive.enabled") == "true"
-        assert session.conf.get("spark.sql.files.maxPartitionBytes") == "1MB"
-        assert session.conf.get("spark.sql.shuffle.partitions") == "8"
-    finally:
-        make_session()
+def test_recommended_settings_fill_gaps_only(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "1MB")
+    recommend(session)
+    assert session.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert session.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+    assert session.conf.get("spark.sql.files.maxPartitionBytes") == "1MB"
+    assert session.conf.get("spark.sql.shuffle.partitions") == "8"
