@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import packing, sharding, token_counts, token_files
+from tallymart.llm import (
+    decontamination,
+    language,
+    packing,
+    quality_model,
+    quality_rules,
+    sharding,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from tallymart.llm.frames import Shelf, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,12 +26,38 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shards(read_table(spark, folder, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(
+        read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    )
+
+
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = f"{Shelf(spark, 'token_files').folder}/files"
     token_files.write_token_files(read_table(spark, folder, "documents"), files)
     return token_files.read_token_files(spark, files, with_ids=False)
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_model.quality(
+        read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    )
+
+
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality_rules(read_table(spark, folder, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contamination(
+        read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
+    )
+
+
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.languages(read_table(spark, folder, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, folder, "documents"))
 
@@ -33,11 +69,16 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_sharding": op2_sharding,
+        "op3_toxicity": op3_toxicity,
         "op4_token_files": op4_token_files,
+        "op5_quality": op5_quality,
+        "op6_quality_rules": op6_quality_rules,
+        "op7_decontamination": op7_decontamination,
+        "op8_language": op8_language,
         "op9_token_counts": op9_token_counts,
         "op10_packing": op10_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_decontamination": decontamination.ORACLE}

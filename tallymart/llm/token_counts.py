@@ -1,7 +1,7 @@
 """Token counts of whole texts by overlap resynchronisation.
 
 A text of up to ``chunk`` characters is encoded at once. A longer one is encoded in overlapping
-chunks. Neighbours are spliced at a place inside the overlap where both put the start of a token
+chunks of ``chunk`` bytes. Neighbours are spliced at a place inside the overlap where both put the start of a token
 and where no merge can reach over: a blank after another character, when no piece of the vocabulary
 holds a blank behind another character (checked on the vocabulary itself). Up to there the left
 chunk and from there on the right chunk have the tokens of the whole text. Where an overlap holds
@@ -34,44 +34,47 @@ def _cuts_are_safe(vocabulary: str) -> bool:
     )
 
 
-def _token_places(text: str, vocabulary: str) -> list[int]:
-    """Where in the text each token begins, in characters; the blank put before it is at 0."""
-    tokens = sentence_tokenizer(vocabulary).encode(text, out_type="immutable_proto")
+def _token_places(raw: bytes, vocabulary: str) -> list[int]:
+    """At which byte of the text each token begins; the blank put before it is at 0."""
+    tokens = sentence_tokenizer(vocabulary).encode(raw.decode(), return_type="proto")
     return [piece.begin for piece in tokens.pieces]
 
 
-def _stable(text: str, place: int) -> bool:
-    return text[place] == " " and text[place - 1] not in (" ", BLANK)
+def _stable(raw: bytes, place: int) -> bool:
+    before = raw[:place][-3:]
+    return raw[place : place + 1] == b" " and before[-1:] != b" " and before != BLANK.encode()
+
+
+def _character(raw: bytes, place: int) -> int:
+    """The last place up to ``place`` where a character begins."""
+    while place < len(raw) and raw[place] & 0xC0 == 0x80:
+        place -= 1
+    return min(place, len(raw))
 
 
 def count_long(text: str, vocabulary: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
-    """Tokens of one text, encoded chunk by chunk."""
+    """Tokens of one text, encoded chunk by chunk (``chunk`` and ``overlap`` in bytes)."""
     if not _cuts_are_safe(vocabulary):
         return len(sentence_tokenizer(vocabulary).encode(text, num_threads=1))
-    total, start = 0, 0
-    left_start, reach = 0, chunk
+    raw = text.encode()
+    total, start, left_start = 0, 0, 0  # tokens before ``start`` are counted
     while True:
-        wide = overlap
+        reach, wide = left_start + chunk, overlap
         while True:
-            end = min(len(text), reach + wide)
-            left = [left_start + x for x in _token_places(text[left_start:end], vocabulary)]
-            if start:  # the blank put before a chunk is the text's own at a splice
-                left = [x for x in left if x >= start]
-            if end == len(text):
+            end = _character(raw, reach + wide)
+            left = [left_start + x for x in _token_places(raw[left_start:end], vocabulary)]
+            left = [x for x in left if x >= start]  # before a splice, the chunk's head is not ours
+            if end == len(raw):
                 return total + len(left)
-            right_start = max(reach - overlap, start + 1)
-            right = {
-                right_start + x for x in _token_places(text[right_start:end], vocabulary)
-            }
-            common = [
-                x for x in left if x > right_start and x in right and _stable(text, x)
-            ]
-            if common:
+            right_start = _character(raw, max(reach - overlap, start))
+            right = {right_start + x for x in _token_places(raw[right_start:end], vocabulary)}
+            common = (x for x in left if x > right_start and x in right and _stable(raw, x))
+            splice = next(common, None)
+            if splice is not None:
                 break
             wide *= 2
-        splice = common[0]
         total += sum(x < splice for x in left)
-        start, left_start, reach = splice, right_start, right_start + chunk
+        start, left_start = splice, right_start
 
 
 def count_tokens(text: str, vocabulary: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:

@@ -127,7 +127,9 @@ def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def blocks(
+    texts: pa.Array, rows: int = 4096
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, bounds) of spans of about BLOCK_BYTES."""
     if not len(texts):
         return
@@ -135,15 +137,15 @@ def blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
     row = 0
     while row < len(texts):
         end = int(np.searchsorted(offsets, offsets[row] + BLOCK_BYTES, "right")) - 1
-        end = min(max(end, row + 1), len(texts))
+        end = min(max(end, row + 1), row + rows, len(texts))
         yield row, end, raw[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
 
 
 def word_blocks(
-    texts: pa.Array, kind: tuple[np.ndarray, np.ndarray]
+    texts: pa.Array, kind: tuple[np.ndarray, np.ndarray], rows: int = 4096
 ) -> Iterator[tuple[int, int, Words]]:
-    for first, end, raw, offsets in blocks(texts):
+    for first, end, raw, offsets in blocks(texts, rows):
         yield first, end, _words(raw, offsets, kind)
 
 
