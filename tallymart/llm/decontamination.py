@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymart.llm.frames import Shelf, pick
+from tallymart.llm.frames import Shelf, pick, text_key
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -32,10 +32,6 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(text, UPPER, LOWER), SEPARATORS, -1), "")
 
 
-def text_key(text: Column) -> list[Column]:
-    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
-
-
 def shingles_of(words: Column, size: int) -> Column:
     """Hashes of every ``size`` consecutive words, by place."""
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.session import shared_folder
@@ -41,6 +41,11 @@ def rows_of(judged: DataFrame, names: list[str]) -> DataFrame:
     return judged.select("_row.*").toDF(*names)
 
 
+def text_key(text: Column) -> list[Column]:
+    """128 hash bits of a text, as k1 and k2; never null."""
+    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallymart.llm import (
     decontamination,
     language,
+    ngram_join,
     packing,
     quality_model,
     quality_rules,
@@ -22,6 +23,11 @@ from tallymart.llm.frames import Shelf, read_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    joined = ngram_join.ngram_join(read_table(spark, folder, "documents"))
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shards(read_table(spark, folder, "documents"))
 
@@ -68,6 +74,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_ngram_join": op1_ngram_join,
         "op2_sharding": op2_sharding,
         "op3_toxicity": op3_toxicity,
         "op4_token_files": op4_token_files,
@@ -81,4 +88,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_decontamination": decontamination.ORACLE}
+    return {
+        "op1_ngram_join": ngram_join.ORACLE,
+        "op7_decontamination": decontamination.ORACLE,
+    }
