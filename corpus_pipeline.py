@@ -34,7 +34,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows without an id stand behind the others. Rows without a shingle are all kept.
     """
     key = ["doc_id", "k1", "k2"]
-    joined = Shelf(spark, "near_copies").put(ngram_join.ngram_join(docs), "joined")
+    joined = Shelf(spark, "near_copies").put(ngram_join.ngram_join(docs), "joined", slim=True)
     first = F.struct(F.col("doc_id").isNull().alias("last"), *key)
     grouped = joined.where("group_id IS NOT NULL").groupBy("group_id").agg(F.min(first).alias("row"))
     lone = joined.where("group_id IS NULL").select(*key, F.lit(False).alias("once")).distinct()
@@ -58,7 +58,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows in which no window of a benchmark item occurs."""
     found = decontamination.occurrences(docs, read_table(spark, sf_dir, "benchmark"))
-    hit = Shelf(spark, "contaminated").put(found.select("k1", "k2").distinct(), "texts")
+    hit = Shelf(spark, "contaminated").put(found.select("k1", "k2").distinct(), "texts", slim=True)
     rows = with_row(docs, "text").select("_row", *text_key(F.col("_text")))
     return rows_of(rows.join(hit, ["k1", "k2"], "left_anti"), docs.columns)
 

@@ -17,7 +17,7 @@ def components(edges: DataFrame, shelf: Shelf, name: str) -> DataFrame:
     moved.
     """
     u, v = F.greatest("u", "v"), F.least("u", "v")
-    now = shelf.put(edges.where("u <> v").select(u.alias("u"), v.alias("v")).distinct(), f"{name}0")
+    now = shelf.put(edges.where("u <> v").select(u.alias("u"), v.alias("v")).distinct(), f"{name}0", slim=True)
     seen, turn = _state(now), 0
     while seen[0]:
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -34,7 +34,7 @@ def components(edges: DataFrame, shelf: Shelf, name: str) -> DataFrame:
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         own = least.select(F.col("w").alias("u"), F.col("m").alias("v"))
         turn += 1
-        now = shelf.put(small.unionAll(own).distinct(), f"{name}{turn}")
+        now = shelf.put(small.unionAll(own).distinct(), f"{name}{turn}", slim=True)
         before, seen = seen, _state(now)
         if turn > 1:
             shelf.drop(f"{name}{turn - 1}")

@@ -75,7 +75,7 @@ def occurrences(
     """Every occurrence of an item's window in a text: k1, k2 (the text's key), start, length
     (both in words) and item_ids."""
     shelf = Shelf(docs.sparkSession, "decontamination")
-    windows = shelf.put(item_windows(benchmark, window, shingle), "windows")
+    windows = shelf.put(item_windows(benchmark, window, shingle), "windows", slim=True)
     sizes = [r.size for r in windows.select("size").distinct().collect()]  # 1 to ``shingle``
     held = windows.select(F.explode("hashes").alias("hash")).distinct()
     if held.count() <= BROADCAST_ROWS:
@@ -92,7 +92,7 @@ def occurrences(
         return docs.sparkSession.createDataFrame(
             [], "k1 long, k2 long, start int, length int, item_ids array<string>"
         )
-    matches = shelf.put(matches.dropDuplicates([*KEY, "place", "hash"]), "matches")
+    matches = shelf.put(matches.dropDuplicates([*KEY, "place", "hash"]), "matches", slim=True)
     rarity = matches.groupBy("hash").agg(F.count("*").alias("n"))
     # The rarest shingle of each window; a window that lacks one in all documents is dropped.
     ranked = (
@@ -137,7 +137,7 @@ def contamination(
     item. An empty table of documents gives no rows; without items nothing is contaminated.
     """
     found = Shelf(docs.sparkSession, "contamination").put(
-        occurrences(docs, benchmark, window, shingle), "occurrences"
+        occurrences(docs, benchmark, window, shingle), "occurrences", slim=True
     )
     end = F.col("start") + F.col("length")
     before = Window.partitionBy(*KEY).orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)

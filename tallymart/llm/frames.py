@@ -61,8 +61,13 @@ class Shelf:
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/tallymart/llm/{owner}-{uuid4().hex}"
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
+    def put(self, df: DataFrame, name: str, slim: bool = False) -> DataFrame:
+        """``slim``: rows so narrow that a file for each shuffle partition would be tiny; few tasks,
+        though no fewer than twice the cores, write them."""
         path = f"{self.folder}/{name}"
+        if slim:
+            shuffled = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            df = df.coalesce(max(2 * self.spark.sparkContext.defaultParallelism, shuffled // 16))
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

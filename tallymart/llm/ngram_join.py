@@ -452,7 +452,7 @@ def linked_sets(docs: DataFrame, shelf: Shelf) -> tuple[DataFrame, DataFrame]:
         .withColumn("part", F.coalesce("root", "sid"))
         .drop("node", "root")
     )
-    placed = shelf.put(placed, "placed")
+    placed = shelf.put(placed, "placed", slim=True)
     mixed = (
         placed.groupBy("key", "light")
         .agg(F.min("part").alias("low"), F.max("part").alias("high"))
@@ -482,7 +482,7 @@ def linked_sets(docs: DataFrame, shelf: Shelf) -> tuple[DataFrame, DataFrame]:
         "node", F.coalesce("y", "root").alias("root")
     )
     roots = second.toDF("node", "root").join(first.select("node"), "node", "left_anti")
-    return rows, shelf.put(lower.unionAll(roots), "roots")
+    return rows, shelf.put(lower.unionAll(roots), "roots", slim=True)
 
 
 def ngram_join(docs: DataFrame) -> DataFrame:
