@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import logging
 
+from tallymart.fixed_values import DATE_FORMATS, RATE_TYPE, TIMESTAMP_FORMATS
 from tallymart.plans.daily_job import run_daily_job, verify_outputs
 from tallymart.session import make_session
 
@@ -13,6 +14,11 @@ def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     for name in ("--sales", "--products", "--rates", "--output", "--as-of"):
         parser.add_argument(name, required=True)
+    parser.add_argument("--id-type", default="bigint")
+    parser.add_argument("--customer-id-type", help="cast customer ids; left as they are otherwise")
+    parser.add_argument("--rate-type", default=RATE_TYPE)
+    parser.add_argument("--date-format", action="append", help="instead of the default formats")
+    parser.add_argument("--timestamp-format", action="append", help="instead of the default formats")
     arguments = parser.parse_args()
     logging.basicConfig(level=logging.INFO, format="%(asctime)s - %(levelname)s - %(message)s")
 
@@ -24,6 +30,11 @@ def main() -> None:
         arguments.rates,
         arguments.output,
         arguments.as_of,
+        arguments.id_type,
+        arguments.rate_type,
+        arguments.date_format or DATE_FORMATS,
+        arguments.timestamp_format or TIMESTAMP_FORMATS,
+        arguments.customer_id_type,
     )
     verify_outputs(spark, arguments.output)
 

@@ -20,6 +20,9 @@ DATE_FORMATS = (
     "M/d/yyyy H:mm",
 )
 
+# Fixed value: the format with fractions of a second that callers may add to TIMESTAMP_FORMATS.
+FRACTION_FORMAT = "yyyy-M-d H:m:s.SSS"
+
 # Fixed value: the date-only format that callers may add to DATE_FORMATS.
 ISO_DATE_FORMAT = "yyyy-M-d"
 
@@ -39,6 +42,10 @@ GATE_DATE_COLUMN = "ORDER_TIMESTAMP"
 GATE_RATE_COLUMN = "EXCHANGE_RATE_TO_USD"
 GATE_MAX_AGE_DAYS = 90
 
+# Errors about column lists.
+EMPTY_LIST_MESSAGE = "Column list cannot be empty"
+ABSENT_COLUMNS_MESSAGE = "Columns not found in DataFrame: {absent}"
+
 # Message of each gate rule, and the heading of the error.
 GATE_MESSAGES = {
     "missing": "Column '{column}' has {violations} missing values",

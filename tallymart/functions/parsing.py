@@ -19,8 +19,13 @@ from tallymart.fixed_values import DATE_FORMATS, PRICE_TYPE, TIMESTAMP_FORMATS
 
 def _shape(fmt: str) -> str:
     """Regular expression that matches every text ``fmt`` can read, and few others."""
-    number = {True: r"[-+]?[0-9]{4,}", False: r"0*[0-9]{1,2}"}
-    return "^" + re.sub("[A-Za-z]+", lambda run: number[run[0].startswith("y")], fmt) + "$"
+
+    def number(run: re.Match) -> str:
+        if run[0].startswith("S"):
+            return f"[0-9]{{{len(run[0])}}}"
+        return r"[-+]?[0-9]{4,}" if run[0].startswith("y") else "0*[0-9]{1,2}"
+
+    return "^" + re.sub("[A-Za-z]+", number, fmt.replace(".", r"\.")) + "$"
 
 
 def parse_timestamp(value: Column, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:

@@ -12,6 +12,7 @@ from tallymart.fixed_values import (
     QUANTITY_TYPE,
     RATE_TYPE,
     REQUIRED_SALES_COLUMNS,
+    TIMESTAMP_FORMATS,
 )
 from tallymart.functions import (
     all_present,
@@ -23,21 +24,31 @@ from tallymart.functions import (
 from tallymart.schemas import require_columns
 
 
-def cast_sales(sales: DataFrame, id_type: str = "bigint") -> DataFrame:
-    """Typed sales lines. ``id_type`` applies to ORDER_ID and CUSTOMER_ID.
+def cast_sales(
+    sales: DataFrame,
+    id_type: str = "bigint",
+    timestamp_formats: Sequence[str] = TIMESTAMP_FORMATS,
+    customer_id_type: str | None = None,
+) -> DataFrame:
+    """Typed sales lines. ``id_type`` applies to ORDER_ID.
 
-    Ids are 64-bit by default: a 32-bit id turns to NULL past 2.1 billion, which at scale would
-    silently lower the distinct order counts. A column that already has a time type is kept.
+    Order ids are 64-bit by default: a 32-bit id turns to NULL past 2.1 billion, which at scale would
+    silently lower the distinct order counts. CUSTOMER_ID stays as it is, so that ids of any form
+    survive, unless ``customer_id_type`` asks for a cast. A column that already has a time type is
+    kept.
     """
     already_time = dict(sales.dtypes)["ORDER_TIMESTAMP"].startswith("timestamp")
     moment = F.col("ORDER_TIMESTAMP")
+    customer = F.col("CUSTOMER_ID")
     return sales.withColumns(
         {
             "ORDER_ID": to_whole(F.col("ORDER_ID"), id_type),
-            "CUSTOMER_ID": to_whole(F.col("CUSTOMER_ID"), id_type),
+            "CUSTOMER_ID": to_whole(customer, customer_id_type) if customer_id_type else customer,
             "QUANTITY": to_whole(F.col("QUANTITY"), QUANTITY_TYPE),
             "PRICE": to_money(F.col("PRICE")),
-            "ORDER_TIMESTAMP": moment if already_time else parse_timestamp(moment),
+            "ORDER_TIMESTAMP": (
+                moment if already_time else parse_timestamp(moment, timestamp_formats)
+            ),
         }
     )
 
@@ -65,9 +76,12 @@ def cast_types(
     id_type: str = "bigint",
     rate_type: str = RATE_TYPE,
     date_formats: Sequence[str] = DATE_FORMATS,
+    timestamp_formats: Sequence[str] = TIMESTAMP_FORMATS,
+    customer_id_type: str | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All three inputs typed; products are text already and pass through."""
-    return cast_sales(sales, id_type), products, cast_rates(rates, rate_type, date_formats)
+    typed = cast_sales(sales, id_type, timestamp_formats, customer_id_type)
+    return typed, products, cast_rates(rates, rate_type, date_formats)
 
 
 def _complete(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -96,6 +110,15 @@ def drop_audit(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*drop_audit_columns(df, columns))
 
 
+def loss_columns() -> list[Column]:
+    """Aggregates for the complete lines that joins will lose or that lack their order id."""
+    complete = F.col("QUANTITY").isNotNull() & F.col("PRICE").isNotNull()
+    return [
+        F.count_if(complete & F.col(name).isNull()).alias(f"without_{name.lower()}")
+        for name in ("ORDER_TIMESTAMP", "ORDER_ID", "PRODUCT_ID")
+    ]
+
+
 def add_order_date(sales: DataFrame) -> DataFrame:
     return sales.withColumn("ORDER_DATE", F.to_date("ORDER_TIMESTAMP"))
 

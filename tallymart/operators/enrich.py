@@ -50,3 +50,25 @@ def enrich_sales(sales: DataFrame, products: DataFrame, rates: DataFrame) -> Dat
         "EXCHANGE_RATE_TO_USD",
     )
     return add_revenue(wanted)
+
+
+def loss_audit(sales: DataFrame, products: DataFrame, rates: DataFrame) -> DataFrame:
+    """One row: the prepared lines, and how many of them the joins lose, by the first reason.
+
+    ``without_time``: no readable order time; ``without_product``: no such product;
+    ``without_rate``: no rate for the day and country. Products and rates count once per key.
+    """
+    known = products.select(F.col("PRODUCT_ID").alias("known")).distinct()
+    quoted = rates.select(F.col("DATE").alias("day"), F.col("COUNTRY").alias("place")).distinct()
+    met = sales.join(known, F.col("PRODUCT_ID") == F.col("known"), "left").join(
+        quoted, (F.col("ORDER_DATE") == F.col("day")) & (F.col("COUNTRY") == F.col("place")), "left"
+    )
+    untimed, unknown = F.col("ORDER_DATE").isNull(), F.col("known").isNull()
+    unquoted = F.col("day").isNull()
+    return met.agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(untimed).alias("without_time"),
+        F.count_if(~untimed & unknown).alias("without_product"),
+        F.count_if(~untimed & ~unknown & unquoted).alias("without_rate"),
+        F.count_if(~untimed & ~unknown & ~unquoted).alias("priced"),
+    )

@@ -7,9 +7,10 @@ never matches and is added on every run.
 Work per run follows the day, not the table: a day that is not in the table yet is appended; only
 when rows have to be replaced are the partitions concerned rewritten. There is one writer per table.
 
-Lost executors cost repeated tasks only. Replacing several folders is not one transaction, so the
-step under way is noted in the shared folder: after the loss of the driver, the next run first
-completes the rewrite from the staged rows, or starts an incomplete first load again.
+Lost executors cost repeated tasks only. Replacing or adding several folders is not one transaction,
+so the step under way is noted, and its rows are staged, in a hidden folder beside the table
+(``<base>/_<table>``): whoever runs next, with whatever scratch folder and spelling of the path, first
+completes the rewrite or the append from the staged rows, or starts an incomplete first load again.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date, datetime
 from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,11 +27,18 @@ from pyspark.sql import functions as F
 from tallymart.functions import all_present
 from tallymart.operators.quality import moment
 from tallymart.schemas import require_columns
-from tallymart.session import owned_folder, stage
-from tallymart.sources.published import find_published, stored_types, table_path
+from tallymart.sources.published import (
+    find_published,
+    path_exists,
+    read_published,
+    schema_note,
+    stored_types,
+    table_path,
+)
 
-MERGED = "merged"
-CREATING, REWRITING, NOTHING = "creating", "rewriting", "nothing"
+CREATING, REWRITING, APPENDING, NOTHING = "creating", "rewriting", "appending", "nothing"
+# Partitions of one merge that are named one by one in the scan's filter.
+NAMED_PARTITIONS = 1000
 
 
 def increment(df: DataFrame, inc_col: str, as_of: date | datetime | str) -> DataFrame:
@@ -47,7 +56,8 @@ def require_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
 def require_same_columns(table: DataFrame, df: DataFrame, partitions: Sequence[str]) -> None:
     """Raise ValueError unless the stored columns have the names and types of ``df``."""
     wanted = {name: kind for name, kind in df.dtypes if name not in partitions}
-    differing = sorted({name for name, _ in wanted.items() ^ stored_types(table).items()})
+    stored = stored_types(table)
+    differing = sorted({name for name, _ in wanted.items() ^ (stored or wanted).items()})
     if differing:
         raise ValueError(f"Columns differ from the published table in name or type: {differing}")
 
@@ -60,60 +70,92 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def _write(
-    df: DataFrame, path: str, partitions: Sequence[str], mode: str, replace: str = "dynamic"
+    df: DataFrame,
+    path: str,
+    partitions: Sequence[str],
+    mode: str,
+    replace: str = "dynamic",
+    sort_by: str = "",
 ) -> None:
     """Write in files of even size, however uneven the partitions are.
 
     REBALANCE gathers the rows of a partition, then lets adaptive execution split a large one over
     several tasks and merge small ones. Overwriting replaces the partitions written to
-    (``dynamic``) or the whole table (``static``).
+    (``dynamic``) or the whole table (``static``). Files sorted by ``sort_by`` let later scans skip
+    the row groups of other days.
     """
-    writer = df.hint("rebalance", *partitions).write.mode(mode)
+    df = df.hint("rebalance", *partitions)
+    if sort_by:
+        df = df.sortWithinPartitions(*partitions, sort_by)
+    writer = df.write.mode(mode)
     if partitions:
         writer = writer.option("partitionOverwriteMode", replace).partitionBy(*partitions)
     writer.parquet(path)
 
 
-def _note_path(spark: SparkSession, path: str) -> str:
-    return f"{owned_folder(spark, path)}/under_way"
+def _beside(path: str, name: str) -> str:
+    """A file set of the table's own, in a folder that readers of ``<base>`` skip."""
+    base, _, table = path.rpartition("/")
+    return f"{base}/_{table}/{name}"
+
 
+def _staged(df: DataFrame, path: str, name: str) -> DataFrame:
+    """``df`` computed once into the table's own folder."""
+    df.write.mode("overwrite").parquet(_beside(path, name))
+    return df.sparkSession.read.schema(df.schema).parquet(_beside(path, name))
 
-def _note(spark: SparkSession, path: str, step: str) -> None:
-    note = spark.range(1).select(F.lit(step).alias("step"))
-    note.coalesce(1).write.mode("overwrite").parquet(_note_path(spark, path))
+
+def _note(spark: SparkSession, path: str, step: str, as_of: str = "") -> None:
+    note = spark.range(1).select(F.lit(step).alias("step"), F.lit(as_of).alias("as_of"))
+    note.coalesce(1).write.mode("overwrite").parquet(_beside(path, "under_way"))
 
 
 @contextmanager
-def _noted(spark: SparkSession, path: str, step: str) -> Iterator[None]:
+def _noted(spark: SparkSession, path: str, step: str, as_of: str = "") -> Iterator[None]:
     """Note the step while it runs; when it fails the note stays."""
-    _note(spark, path, step)
+    _note(spark, path, step, as_of)
     yield
     _note(spark, path, NOTHING)
 
 
-def _interrupted(spark: SparkSession, path: str) -> str:
-    """The step that an earlier run left unfinished."""
-    note = find_published(spark, _note_path(spark, path))
-    return NOTHING if note is None else note.first()["step"]
+def _interrupted(spark: SparkSession, path: str) -> tuple[str, str]:
+    """The step that an earlier run left unfinished, and its as-of moment.
+
+    A note that was being replaced when its writer died has no row: the step before it was noted
+    completely or had ended, and whatever follows a note had not begun.
+    """
+    note = _beside(path, "under_way")
+    if not path_exists(spark, note):
+        return NOTHING, ""
+    found = spark.read.schema("step string, as_of string").parquet(note).first()
+    return (found.step, found.as_of) if found else (NOTHING, "")
 
 
 def is_loaded(spark: SparkSession, base: str, table: str) -> bool:
     """True when the first load is complete, so that only the as-of day matters from now on."""
     path = table_path(base, table)
-    return _interrupted(spark, path) != CREATING and find_published(spark, path) is not None
+    return path_exists(spark, path) and _interrupted(spark, path)[0] != CREATING
 
 
 def touched_rows(target: DataFrame, source: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Target rows of the partitions that ``source`` writes to.
 
-    The semi join prunes the scan to those folders. Rows of a NULL partition equal no source row,
-    yet share a folder with new NULL rows, so they are always carried along.
+    The partitions are named in the filter of the scan, which then lists and reads those folders
+    only, however many rows ``source`` has. Beyond NAMED_PARTITIONS they are joined instead.
     """
     if not partitions:
         return target
     named = source.select(*partitions).distinct()
-    unnamed = reduce(lambda left, right: left | right, (F.col(p).isNull() for p in partitions))
-    return target.join(named, list(partitions), "left_semi").unionByName(target.where(unnamed))
+    values = named.limit(NAMED_PARTITIONS + 1).collect()
+    if len(values) > NAMED_PARTITIONS:
+        same = reduce(and_, (target[p].eqNullSafe(named[p]) for p in partitions))
+        return target.join(named, same, "left_semi")
+    kinds = {p: target.schema[p].dataType for p in partitions}
+    chosen = (
+        reduce(and_, (F.col(p).eqNullSafe(F.lit(row[p]).cast(kinds[p])) for p in partitions))
+        for row in values
+    )
+    return target.where(reduce(or_, chosen, F.lit(False)))
 
 
 def publish(
@@ -138,54 +180,86 @@ def publish(
         raise ValueError(f"Partition columns {partitions} must be among the keys {keys}")
     path = table_path(base, table)
 
-    interrupted = _interrupted(spark, path)
-    if interrupted == REWRITING:
-        rewrite(spark, path, partitions, df)
-    target = None if interrupted == CREATING else find_published(spark, path, df.schema)
-    if target is None:
+    sort_by = "" if inc_col in partitions else inc_col
+    step, noted_as_of = _interrupted(spark, path)
+    if step == CREATING or not path_exists(spark, path):
         with _noted(spark, path, CREATING):
+            columns = spark.range(1).select(F.lit(df.schema.json()).alias("columns"))
+            columns.coalesce(1).write.mode("overwrite").parquet(schema_note(path))
             _write(df, path, partitions, "overwrite", replace="static")
         return "created"
+    if step == REWRITING:
+        rewrite(spark, path, partitions, df, sort_by)
+    elif step == APPENDING:
+        complete_append(spark, path, partitions, df, inc_col, noted_as_of)
+    target = find_published(spark, path, df.schema)
     require_same_columns(target, df, partitions)
 
-    staged = stage(increment(df, inc_col, as_of), path, "increment")
+    staged = _staged(increment(df, inc_col, as_of), path, "increment")
     # Stated again on the stored rows, the day lets the scans of the target be pruned by them.
     source = increment(staged, inc_col, as_of)
     if source.isEmpty():
         return "unchanged"
     require_unique_keys(source, keys)
 
-    # A key that holds the increment column can only match rows of the same day.
+    # A key that holds the increment column can only match rows of the same day, and partitions are
+    # part of the key.
     day = increment(target, inc_col, as_of) if inc_col in keys else target
+    day = touched_rows(day, source, [p for p in partitions if p != inc_col])
     if day.join(source.select(*keys), keys, "left_semi").isEmpty():
-        _write(source, path, partitions, "append")
+        _staged(increment(target, inc_col, as_of), path, "before")
+        with _noted(spark, path, APPENDING, str(as_of)):
+            _write(source, path, partitions, "append")
         return "appended"
 
-    if inc_col in partitions:
-        merged = merge_rows(
-            touched_rows(day, source, [name for name in partitions if name != inc_col]),
-            source,
-            keys,
-        )
-    elif inc_col in keys:
+    if inc_col in keys and inc_col not in partitions:
         # The history that shares a partition with the day is carried over without a join.
         history = touched_rows(
             target.where(~F.col(inc_col).eqNullSafe(moment(as_of, day.schema[inc_col].dataType))),
             source,
             partitions,
         )
-        merged = history.unionByName(
-            merge_rows(touched_rows(day, source, partitions), source, keys)
-        )
+        merged = history.unionByName(merge_rows(day, source, keys))
     else:
-        merged = merge_rows(touched_rows(target, source, partitions), source, keys)
-    stage(merged, path, MERGED)
-    rewrite(spark, path, partitions, df)
+        merged = merge_rows(day, source, keys)
+    _staged(merged, path, "merged")
+    rewrite(spark, path, partitions, df, sort_by)
     return "merged"
 
 
-def rewrite(spark: SparkSession, path: str, partitions: Sequence[str], like: DataFrame) -> None:
+def rewrite(
+    spark: SparkSession,
+    path: str,
+    partitions: Sequence[str],
+    like: DataFrame,
+    sort_by: str = "",
+) -> None:
     """Put the staged merge result in place; doing it twice changes nothing."""
-    merged = spark.read.schema(like.schema).parquet(f"{owned_folder(spark, path)}/{MERGED}")
+    merged = spark.read.schema(like.schema).parquet(_beside(path, "merged"))
     with _noted(spark, path, REWRITING):
-        _write(merged, path, list(partitions), "overwrite")
+        _write(merged, path, list(partitions), "overwrite", sort_by=sort_by)
+
+
+def complete_append(
+    spark: SparkSession,
+    path: str,
+    partitions: Sequence[str],
+    like: DataFrame,
+    inc_col: str,
+    as_of: str,
+) -> None:
+    """Add what an interrupted append has not added; doing it twice changes nothing.
+
+    Rows are counted, not matched by key: those of the day that were not there before the append
+    are the ones it added, also where their key holds a NULL.
+    """
+    day = increment(read_published(spark, path, like.schema), inc_col, as_of)
+    source, before = (
+        spark.read.schema(like.schema).parquet(_beside(path, name))
+        for name in ("increment", "before")
+    )
+    columns = like.columns
+    added = day.select(*columns).exceptAll(before.select(*columns))
+    missing = _staged(source.select(*columns).exceptAll(added), path, "missing")
+    with _noted(spark, path, APPENDING, as_of):
+        _write(missing, path, list(partitions), "append")

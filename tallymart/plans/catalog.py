@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import partial
-from uuid import uuid4
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +16,7 @@ from tallymart.fixed_values import (
     CATEGORY_PARTITIONS,
     CATEGORY_TABLE,
     CUSTOMER_KEYS,
+    CUSTOMER_PARTITIONS,
     CUSTOMER_TABLE,
     DATE_FORMATS,
     EXACT_RATE_TYPE,
@@ -44,13 +43,19 @@ from tallymart.operators.clean import (
     prep_sales,
     remove_nulls,
 )
-from tallymart.operators.enrich import add_revenue, enrich_sales, join_products, join_rates
+from tallymart.operators.enrich import (
+    add_revenue,
+    enrich_sales,
+    join_products,
+    join_rates,
+    loss_audit,
+)
 from tallymart.operators.upsert import increment, publish
 from tallymart.plans import retail_tables as tables
 from tallymart.plans.daily_job import run_daily_job, verify_outputs
-from tallymart.session import recommend, shared_folder
+from tallymart.session import recommended, shared_folder
 from tallymart.sources.csv_files import read_csv
-from tallymart.sources.published import read_published, table_path
+from tallymart.sources.published import read_stored, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,30 +88,33 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _typed(spark: SparkSession, folder: str) -> DataFrame:
-    return cast_sales(tables.raw_sales(spark, folder))
+    return cast_sales(tables.raw_sales(spark, folder), customer_id_type="bigint")
+
+
+def _text_ids(products: DataFrame) -> DataFrame:
+    return products.withColumn("PRODUCT_ID", F.col("PRODUCT_ID").cast("string"))
 
 
 def _typed_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Priced lines of the uncleaned text inputs, after cleaning."""
-    return enrich_sales(
-        prep_sales(_typed(spark, folder)),
-        tables.products(spark, folder).withColumn(
-            "PRODUCT_ID", F.col("PRODUCT_ID").cast("string")
-        ),
-        tables.rates(spark, folder),
-    )
+    products = _text_ids(tables.products(spark, folder))
+    return enrich_sales(prep_sales(_typed(spark, folder)), products, tables.rates(spark, folder))
 
 
-def _output(spark: SparkSession) -> str:
-    """A new folder for the tables one call publishes."""
-    return f"{shared_folder(spark)}/tallymart/published/{uuid4().hex}"
+def _output(spark: SparkSession, name: str) -> str:
+    """An empty folder for the tables one query publishes; the query's next run empties it again."""
+    context = spark.sparkContext
+    path = f"{shared_folder(spark)}/tallymart/{context.applicationId}/{name}"
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    return path
 
 
 # Sources
 
 
 def ingest_csv(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{_output(spark)}/sales_csv"
+    path = f"{_output(spark, 'ingest_csv')}/sales_csv"
     tables.raw_sales(spark, folder).write.csv(path, header=True)
     return read_csv(spark, path)
 
@@ -229,8 +237,9 @@ def _full_gate(df: DataFrame) -> list[quality.Rule]:
 
 
 def output_null_scan(spark: SparkSession, folder: str) -> DataFrame:
-    path = _publish_customers(spark, _typed_lines(spark, folder), _output(spark))
-    return quality.null_scan(read_published(spark, path))
+    output = _output(spark, "output_null_scan")
+    path = _publish_customers(spark, _typed_lines(spark, folder), output)
+    return quality.null_scan(read_stored(spark, path))
 
 
 # Aggregates and ranking
@@ -298,22 +307,22 @@ def customer_summary_from_text(spark: SparkSession, folder: str) -> DataFrame:
 # Publishing
 
 
-def _publish_categories(spark: SparkSession, lines: DataFrame, output: str) -> str:
+def _publish_categories(
+    spark: SparkSession, lines: DataFrame, output: str, as_of: str = PUBLISH_DAY
+) -> str:
     publish(
         marts.daily_category_summary(lines),
         output,
         CATEGORY_TABLE,
         CATEGORY_KEYS,
         INCREMENT_COLUMN,
-        PUBLISH_DAY,
+        as_of,
         CATEGORY_PARTITIONS,
     )
     return table_path(output, CATEGORY_TABLE)
 
 
 def _publish_customers(spark: SparkSession, lines: DataFrame, output: str) -> str:
-    """Partitioned by country here: the warehouse holds so few rows per day that a folder for
-    each of its 2,400 days would time nothing but file creation."""
     publish(
         marts.daily_customer_summary(lines),
         output,
@@ -321,7 +330,7 @@ def _publish_customers(spark: SparkSession, lines: DataFrame, output: str) -> st
         CUSTOMER_KEYS,
         INCREMENT_COLUMN,
         PUBLISH_DAY,
-        CATEGORY_PARTITIONS,
+        CUSTOMER_PARTITIONS,
     )
     return table_path(output, CUSTOMER_TABLE)
 
@@ -333,71 +342,139 @@ def increment_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def publish_initial(spark: SparkSession, folder: str) -> DataFrame:
-    path = _publish_customers(spark, _lines(spark, folder), _output(spark))
-    return read_published(spark, path)
+    output = _output(spark, "publish_initial")
+    return read_stored(spark, _publish_customers(spark, _lines(spark, folder), output))
 
 
 def read_published_table(spark: SparkSession, folder: str) -> DataFrame:
-    path = _publish_categories(spark, _lines(spark, folder), _output(spark))
-    return read_published(spark, path)
+    output = _output(spark, "read_published")
+    return read_stored(spark, _publish_categories(spark, _lines(spark, folder), output))
 
 
 def partition_pruned_read(spark: SparkSession, folder: str) -> DataFrame:
-    path = _publish_customers(spark, _lines(spark, folder), _output(spark))
-    return read_published(spark, path).where(F.col("COUNTRY") == READ_COUNTRY)
+    output = _output(spark, "partition_pruned_read")
+    path = _publish_categories(spark, _lines(spark, folder), output)
+    return read_stored(spark, path).where(F.col("COUNTRY") == READ_COUNTRY)
+
+
+def _dearer(lines: DataFrame) -> DataFrame:
+    return add_revenue(lines.withColumn("PRICE", to_money(F.col("PRICE") + 1)))
 
 
 def upsert_update(spark: SparkSession, folder: str) -> DataFrame:
     """All prices go up by one after the first load; only the published day may change."""
-    lines, output = _lines(spark, folder), _output(spark)
+    lines, output = _lines(spark, folder), _output(spark, "upsert_update")
     _publish_categories(spark, lines, output)
-    dearer = lines.withColumn("PRICE", to_money(F.col("PRICE") + 1))
-    return read_published(spark, _publish_categories(spark, add_revenue(dearer), output))
+    return read_stored(spark, _publish_categories(spark, _dearer(lines), output))
+
+
+def upsert_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with a folder for each day, of which one is rewritten."""
+    lines, output = _lines(spark, folder), _output(spark, "upsert_by_day")
+    _publish_customers(spark, lines, output)
+    return read_stored(spark, _publish_customers(spark, _dearer(lines), output))
+
+
+def upsert_append(spark: SparkSession, folder: str) -> DataFrame:
+    """The table ends before the published day, which is then added; later days stay out."""
+    lines, output = _lines(spark, folder), _output(spark, "upsert_append")
+    day = F.lit(PUBLISH_DAY).cast("date")
+    _publish_categories(spark, lines.where(F.col("ORDER_DATE") < day), output)
+    return read_stored(spark, _publish_categories(spark, lines, output))
 
 
 def upsert_insert(spark: SparkSession, folder: str) -> DataFrame:
     """Lines over 25 units arrive after the first load; the published day gains their rows."""
-    lines, output = _lines(spark, folder), _output(spark)
+    lines, output = _lines(spark, folder), _output(spark, "upsert_insert")
     _publish_customers(spark, lines.where("QUANTITY <= 25"), output)
-    return read_published(spark, _publish_customers(spark, lines, output))
+    return read_stored(spark, _publish_customers(spark, lines, output))
+
+
+# Inputs with gaps
+
+
+def join_product_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of missing products drop, lines of a product listed twice appear twice."""
+    listed = tables.products_with_gaps(spark, folder)
+    joined = join_products(tables.sales(spark, folder), listed)
+    return joined.select("ORDER_ID", "PRODUCT_ID", "PRODUCT_NAME", "CATEGORY", "QUANTITY")
+
+
+def dq_rate_nonpositive(spark: SparkSession, folder: str) -> DataFrame:
+    priced = join_rates(tables.sales(spark, folder), tables.spoiled_rates(spark, folder))
+    return quality.quality_report(priced, [quality.rate_rule(GATE_RATE_COLUMN)])
+
+
+def loss_audit_report(spark: SparkSession, folder: str) -> DataFrame:
+    return loss_audit(
+        prep_sales(_typed(spark, folder)),
+        _text_ids(tables.products_with_gaps(spark, folder)),
+        tables.rates(spark, folder),
+    )
+
+
+def customer_summary_text_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Customer ids that are no numbers."""
+    raw = tables.raw_sales(spark, folder).withColumn(
+        "CUSTOMER_ID", F.concat(F.lit("C-"), "CUSTOMER_ID")
+    )
+    products = _text_ids(tables.products(spark, folder))
+    lines = enrich_sales(prep_sales(cast_sales(raw)), products, tables.rates(spark, folder))
+    return marts.daily_customer_summary(lines)
 
 
 # The whole job
 
 
-def _run_job(spark: SparkSession, folder: str) -> str:
-    """CSV files to published tables, checked; returns the output folder."""
-    output = _output(spark)
+def _run_job(spark: SparkSession, output: str, inputs: dict[str, DataFrame]) -> None:
+    """CSV files to published tables, checked."""
+    for name, df in inputs.items():
+        df.write.mode("overwrite").csv(f"{output}/{name}_csv", header=True)
+    run_daily_job(
+        spark,
+        *(f"{output}/{name}_csv" for name in inputs),
+        output,
+        f"{tables.LAST_ORDER_DAY} 23:59:59",
+        rate_type=EXACT_RATE_TYPE,
+        customer_id_type="bigint",
+    )
+    verify_outputs(spark, output)
+
+
+def _job_inputs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     quotes = tables.rates(spark, folder).select(
         F.date_format("DATE", "M/d/yyyy").alias("DATE"),
         "COUNTRY",
         F.lit("").alias("CURRENCY"),
         "EXCHANGE_RATE_TO_USD",
     )
-    inputs = {
+    return {
         "sales": tables.recent_sales(spark, folder),
         "products": tables.products(spark, folder),
         "rates": quotes,
     }
-    for name, df in inputs.items():
-        df.write.csv(f"{output}/{name}_csv", header=True)
-    run_daily_job(
-        spark,
-        *(f"{output}/{name}_csv" for name in inputs),
-        output,
-        f"{tables.LAST_ORDER_DAY} 23:59:59",
-        rate_type=EXACT_RATE_TYPE,
-    )
-    verify_outputs(spark, output)
-    return output
 
 
 def daily_job_categories(spark: SparkSession, folder: str) -> DataFrame:
-    return read_published(spark, table_path(_run_job(spark, folder), CATEGORY_TABLE))
+    output = _output(spark, "daily_job_categories")
+    _run_job(spark, output, _job_inputs(spark, folder))
+    return read_stored(spark, table_path(output, CATEGORY_TABLE))
 
 
 def daily_job_customers(spark: SparkSession, folder: str) -> DataFrame:
-    return read_published(spark, table_path(_run_job(spark, folder), CUSTOMER_TABLE))
+    output = _output(spark, "daily_job_customers")
+    _run_job(spark, output, _job_inputs(spark, folder))
+    return read_stored(spark, table_path(output, CUSTOMER_TABLE))
+
+
+def daily_job_second_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The job runs again after every line's quantity went up; only the as-of day may change."""
+    output = _output(spark, "daily_job_second_run")
+    inputs = _job_inputs(spark, folder)
+    _run_job(spark, output, inputs)
+    more = (F.col("QUANTITY").cast("int") + 1).cast("string")
+    _run_job(spark, output, inputs | {"sales": inputs["sales"].withColumn("QUANTITY", more)})
+    return read_stored(spark, table_path(output, CATEGORY_TABLE))
 
 
 def _entries() -> dict[str, Query]:
@@ -460,8 +537,15 @@ def _entries() -> dict[str, Query]:
         "partition_pruned_read": partition_pruned_read,
         "upsert_update": upsert_update,
         "upsert_insert": upsert_insert,
+        "upsert_append": upsert_append,
+        "upsert_by_day": upsert_by_day,
+        "join_product_gaps": join_product_gaps,
+        "dq_rate_nonpositive": dq_rate_nonpositive,
+        "loss_audit": loss_audit_report,
+        "customer_summary_text_ids": customer_summary_text_ids,
         "daily_job_categories": daily_job_categories,
         "daily_job_customers": daily_job_customers,
+        "daily_job_second_run": daily_job_second_run,
     }
 
 
@@ -470,8 +554,8 @@ def queries() -> dict[str, Query]:
 
     def comparable(query: Query) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            recommend(spark)
-            return shown(query(spark, folder))
+            with recommended(spark):
+                return shown(query(spark, folder))
 
         return run
 

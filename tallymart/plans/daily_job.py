@@ -33,8 +33,14 @@ from tallymart.fixed_values import (
     NULL_OUTPUT_MESSAGE,
     RATE_TYPE,
     REQUIRED_SALES_COLUMNS,
+    TIMESTAMP_FORMATS,
+)
+from tallymart.operators.clean import (
+    cast_types,
+    drop_audit_columns,
+    loss_columns,
+    prep_sales,
 )
-from tallymart.operators.clean import cast_types, drop_audit_columns, prep_sales
 from tallymart.operators.enrich import enrich_sales
 from tallymart.operators.marts import daily_category_summary, daily_customer_summary
 from tallymart.operators.quality import enforce, gate_rules, null_scan, rule_counters
@@ -42,7 +48,7 @@ from tallymart.operators.upsert import increment, is_loaded, publish
 from tallymart.schemas import PRODUCT_COLUMNS, RATE_COLUMNS, SALES_COLUMNS, require_columns
 from tallymart.session import stage
 from tallymart.sources.csv_files import read_csv
-from tallymart.sources.published import find_published, table_path
+from tallymart.sources.published import path_exists, read_stored, table_path
 
 log = logging.getLogger("tallymart")
 
@@ -63,10 +69,15 @@ def run_daily_job(
     id_type: str = "bigint",
     rate_type: str = RATE_TYPE,
     date_formats: Sequence[str] = DATE_FORMATS,
+    timestamp_formats: Sequence[str] = TIMESTAMP_FORMATS,
+    customer_id_type: str | None = None,
+    category_partitions: Sequence[str] = CATEGORY_PARTITIONS,
+    customer_partitions: Sequence[str] = CUSTOMER_PARTITIONS,
 ) -> dict[str, str]:
     """Publish both tables for the as-of day; returns what was done to each.
 
-    ``id_type``, ``rate_type`` and ``date_formats`` are those of ``cast_types``.
+    The types and formats are those of ``cast_types``. Partitions must be among the tables' keys and
+    stay as they were at the first load; with ORDER_DATE among them no run rewrites older days.
 
     Raises ValueError when the quality gate fails; nothing is published then.
     """
@@ -77,18 +88,25 @@ def run_daily_job(
         id_type,
         rate_type,
         date_formats,
+        timestamp_formats,
+        customer_id_type,
     )
 
     audit = Observation("drop_audit")
-    watched = sales.observe(audit, *drop_audit_columns(sales, REQUIRED_SALES_COLUMNS))
+    watched = sales.observe(
+        audit, *drop_audit_columns(sales, REQUIRED_SALES_COLUMNS), *loss_columns()
+    )
     prepared = stage(prep_sales(watched), output, "prepared_sales")
     counts = audit.get
     log.info(
-        "Incomplete sales lines removed. Rows before: %s, after: %s, dropped: %s",
+        "Sales lines read: %s, complete: %s, left out as incomplete: %s",
         counts["rows_before"],
         counts["rows_after"],
         counts["rows_dropped"],
     )
+    for name in ("order_timestamp", "order_id", "product_id"):
+        if missing := counts[f"without_{name}"]:
+            log.warning("Complete lines without a readable %s: %s", name.upper(), missing)
 
     lines = enrich_sales(prepared, products, rates)
     rules = gate_rules(
@@ -100,33 +118,42 @@ def run_daily_job(
         as_of,
     )
     gate = Observation("quality_gate")
-    lines = lines.observe(gate, *rule_counters(rules))
+    lines = lines.observe(gate, *rule_counters(rules), F.count(F.lit(1)).alias("priced"))
     if all(is_loaded(spark, output, name) for name in (CATEGORY_TABLE, CUSTOMER_TABLE)):
         # The gate has seen every line; only those of the day are needed further on.
         lines = increment(lines, INCREMENT_COLUMN, as_of)
     lines = stage(lines, output, "priced_sales")
-    enforce(rules, gate.get)
-    log.info("Data validation passed successfully")
+    judged = gate.get
+    log.info("Lines priced: %s of %s", judged["priced"], counts["rows_after"])
+    enforce(rules, judged)
+    log.info("All rules of the quality gate hold")
 
     done = {}
     for table, rows, keys, partitions in (
-        (CATEGORY_TABLE, daily_category_summary(lines), CATEGORY_KEYS, CATEGORY_PARTITIONS),
-        (CUSTOMER_TABLE, daily_customer_summary(lines), CUSTOMER_KEYS, CUSTOMER_PARTITIONS),
+        (CATEGORY_TABLE, daily_category_summary(lines), CATEGORY_KEYS, category_partitions),
+        (CUSTOMER_TABLE, daily_customer_summary(lines), CUSTOMER_KEYS, customer_partitions),
     ):
         done[table] = publish(rows, output, table, keys, INCREMENT_COLUMN, as_of, partitions)
         log.info("%s: %s", table, done[table])
     return done
 
 
-def verify_outputs(spark: SparkSession, output: str) -> None:
-    """Both tables must exist and hold no NULL in any column; one pass over each."""
-    tables = {
-        name: find_published(spark, table_path(output, name))
-        for name in (CATEGORY_TABLE, CUSTOMER_TABLE)
-    }
-    if any(table is None for table in tables.values()):
+def verify_outputs(
+    spark: SparkSession, output: str, as_of: date | datetime | str | None = None
+) -> None:
+    """Both tables must exist and hold no NULL in any column; one pass over each.
+
+    A table without rows is one. With ``as_of`` only the rows of that day are looked at.
+    """
+    paths = {name: table_path(output, name) for name in (CATEGORY_TABLE, CUSTOMER_TABLE)}
+    if not all(path_exists(spark, path) for path in paths.values()):
         raise FileNotFoundError(MISSING_OUTPUT_MESSAGE)
-    for name, table in tables.items():
+    for name, path in paths.items():
+        table = read_stored(spark, path)
+        if table is None:
+            continue
+        if as_of is not None:
+            table = increment(table, INCREMENT_COLUMN, as_of)
         if not null_scan(table).where(F.col("nulls") > 0).isEmpty():
             raise ValueError(NULL_OUTPUT_MESSAGE.format(table=name))
-    log.info("Output validation passed successfully.")
+    log.info("Both published tables are there and complete")

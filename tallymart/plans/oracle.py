@@ -8,9 +8,7 @@ from __future__ import annotations
 
 from tallymart.plans.catalog import GATE_MOMENT, PUBLISH_DAY, READ_COUNTRY
 from tallymart.plans.retail_tables import (
-    FIRST_RATE_DAY,
     LAST_ORDER_DAY,
-    LAST_RATE_DAY,
     RECENT_DAYS,
 )
 
@@ -59,8 +57,11 @@ RATES = f"""
 rates AS (
   SELECT cast(d AS date) AS RATE_DATE, n_name AS RATE_COUNTRY,
          cast((50 + (dayofyear(d) * 7 + n_nationkey * 13) % 100) / 100.0 AS decimal(10,6)) AS RATE
-  FROM nation, unnest(generate_series(timestamp '{FIRST_RATE_DAY}', timestamp '{LAST_RATE_DAY}',
-                                      interval 1 day)) AS calendar(d)
+  FROM nation, (
+    SELECT unnest(generate_series(
+      least(min(cast(o_orderdate AS date)), date '{LAST_ORDER_DAY}'),
+      greatest(max(cast(o_orderdate AS date)), date '{LAST_ORDER_DAY}'), interval 1 day)) AS d
+    FROM orders) AS calendar
   WHERE dayofweek(d) <> n_regionkey
 )"""
 
@@ -171,6 +172,17 @@ lines AS (
 )"""
 
 
+SPOILED_LINES = """
+lines AS (
+  SELECT s.*, CASE WHEN dayofyear(r.RATE_DATE) % 5 = 0 THEN r.RATE * 0
+                   WHEN dayofyear(r.RATE_DATE) % 7 = 0 THEN -r.RATE ELSE r.RATE END
+                AS EXCHANGE_RATE_TO_USD
+  FROM sales s JOIN rates r ON s.ORDER_DATE = r.RATE_DATE AND s.COUNTRY = r.RATE_COUNTRY
+)"""
+
+CUSTOMER_TEXT = "'C-' || cast(CUSTOMER_ID AS varchar) AS"
+
+
 def _with(*views: str) -> str:
     return "WITH " + ",".join(views)
 
@@ -383,7 +395,7 @@ def oracle_sql() -> dict[str, str]:
             WHERE c.ORDER_DATE = {day}""",
         "publish_initial": f"{CLEAN} SELECT {CUSTOMER_COLUMNS} FROM ({customers}) AS c",
         "read_published": f"{CLEAN} SELECT {CATEGORY_COLUMNS} FROM ({categories}) AS c",
-        "partition_pruned_read": f"""{CLEAN} SELECT {CUSTOMER_COLUMNS} FROM ({customers}) AS c
+        "partition_pruned_read": f"""{CLEAN} SELECT {CATEGORY_COLUMNS} FROM ({categories}) AS c
             WHERE c.COUNTRY = '{READ_COUNTRY}'""",
         "upsert_update": f"""{CLEAN}, dearer AS (
               SELECT ORDER_DATE, COUNTRY, CATEGORY, ORDER_ID, QUANTITY,
@@ -400,6 +412,57 @@ def oracle_sql() -> dict[str, str]:
             WHERE c.ORDER_DATE <> {day}
             UNION ALL
             SELECT {CUSTOMER_COLUMNS} FROM ({customers}) AS c WHERE c.ORDER_DATE = {day}""",
+        "upsert_append": f"""{CLEAN} SELECT {CATEGORY_COLUMNS} FROM ({categories}) AS c
+            WHERE c.ORDER_DATE <= {day}""",
+        "upsert_by_day": f"""{CLEAN}, dearer AS (
+              SELECT CUSTOMER_ID, ORDER_DATE, COUNTRY, CATEGORY, ORDER_ID,
+                     cast(QUANTITY * (PRICE + 1) AS decimal(23,2)) * EXCHANGE_RATE_TO_USD
+                       AS REVENUE_USD
+              FROM lines)
+            SELECT {CUSTOMER_COLUMNS} FROM ({customers}) AS c WHERE c.ORDER_DATE <> {day}
+            UNION ALL
+            SELECT {CUSTOMER_COLUMNS} FROM ({_customer_rows("dearer")}) AS c
+            WHERE c.ORDER_DATE = {day}""",
+        "join_product_gaps": _with(ORDER_LINES, SALES)
+        + """ SELECT s.ORDER_ID AS ORDER_ID, s.PRODUCT_ID AS PRODUCT_ID,
+                     p.p_name || n.ending AS PRODUCT_NAME, p.p_type AS CATEGORY,
+                     s.QUANTITY AS QUANTITY
+              FROM sales s JOIN part p ON s.PRODUCT_ID = p.p_partkey
+              JOIN (VALUES (1, ''), (11, ' again')) AS n(step, ending)
+                ON p.p_partkey % n.step = 0
+              WHERE p.p_partkey % 7 <> 0""",
+        "dq_rate_nonpositive": _report(
+            _with(ORDER_LINES, SALES, RATES, SPOILED_LINES), "lines", RATE
+        ),
+        "loss_audit": _with(ORDER_LINES, RAW, TYPED, RATES)
+        + """, met AS (
+              SELECT cast(ORDER_TIMESTAMP AS date) AS day,
+                     EXISTS (SELECT 1 FROM part p WHERE cast(p_partkey AS varchar) = t.PRODUCT_ID
+                             AND p_partkey % 7 <> 0) AS listed,
+                     EXISTS (SELECT 1 FROM rates r WHERE r.RATE_COUNTRY = t.COUNTRY
+                             AND r.RATE_DATE = cast(t.ORDER_TIMESTAMP AS date)) AS quoted
+              FROM typed t WHERE QUANTITY IS NOT NULL AND PRICE IS NOT NULL)
+            SELECT count(*) AS lines, count(*) FILTER (WHERE day IS NULL) AS without_time,
+                   count(*) FILTER (WHERE day IS NOT NULL AND NOT listed) AS without_product,
+                   count(*) FILTER (WHERE day IS NOT NULL AND listed AND NOT quoted)
+                     AS without_rate,
+                   count(*) FILTER (WHERE day IS NOT NULL AND listed AND quoted) AS priced
+            FROM met""",
+        "customer_summary_text_ids": (
+            f"{DIRTY} SELECT {CUSTOMER_COLUMNS.replace('CUSTOMER_ID AS', CUSTOMER_TEXT)} "
+            f"FROM ({customers}) AS c"
+        ),
+        "daily_job_second_run": f"""{RECENT}, more AS (
+              SELECT ORDER_DATE, COUNTRY, CATEGORY, ORDER_ID, QUANTITY + 1 AS QUANTITY,
+                     (QUANTITY + 1) * PRICE AS REVENUE_LOCAL,
+                     cast((QUANTITY + 1) * PRICE AS decimal(23,2)) * EXCHANGE_RATE_TO_USD
+                       AS REVENUE_USD
+              FROM lines)
+            SELECT {CATEGORY_COLUMNS} FROM ({categories}) AS c
+            WHERE c.ORDER_DATE <> date '{LAST_ORDER_DAY}'
+            UNION ALL
+            SELECT {CATEGORY_COLUMNS} FROM ({CATEGORY_ROWS.format(source="more")}) AS c
+            WHERE c.ORDER_DATE = date '{LAST_ORDER_DAY}'""",
         "daily_job_categories": f"{RECENT} SELECT {CATEGORY_COLUMNS} FROM ({categories}) AS c",
         "daily_job_customers": f"{RECENT} SELECT {CUSTOMER_COLUMNS} FROM ({customers}) AS c",
     }

@@ -11,10 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The days that have exchange rates.
-FIRST_RATE_DAY = "1995-01-01"
-LAST_RATE_DAY = "2001-12-31"
-
 # The last order day, and the span of days recent_sales folds all orders into.
 LAST_ORDER_DAY = "2001-08-01"
 RECENT_DAYS = 80
@@ -90,10 +86,11 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rates(spark: SparkSession, folder: str) -> DataFrame:
-    """Exact decimal(10,6) rates per day and country; the calendar bounds their number."""
-    calendar = F.sequence(
-        F.lit(FIRST_RATE_DAY).cast("date"), F.lit(LAST_RATE_DAY).cast("date")
-    )
+    """Exact decimal(10,6) rates per day and country, from the first to the last order's day."""
+    days = table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day"))
+    first = days.select(F.min("day")).scalar()
+    last = F.greatest(days.select(F.max("day")).scalar(), F.lit(LAST_ORDER_DAY).cast("date"))
+    calendar = F.sequence(F.least(first, last), last)
     hundredths = 50 + (F.dayofyear("DATE") * 7 + F.col("n_nationkey") * 13) % 100
     return (
         table(spark, folder, "nation")
@@ -200,3 +197,19 @@ def recent_sales(spark: SparkSession, folder: str) -> DataFrame:
         F.date_format(day, "M/d/yyyy H:mm").alias("ORDER_TIMESTAMP"),
         "COUNTRY",
     )
+
+
+def products_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Every seventh product is missing, every eleventh is listed twice."""
+    listed = products(spark, folder).where("PRODUCT_ID % 7 <> 0")
+    again = listed.where("PRODUCT_ID % 11 = 0").withColumn(
+        "PRODUCT_NAME", F.concat("PRODUCT_NAME", F.lit(" again"))
+    )
+    return listed.unionAll(again)
+
+
+def spoiled_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Rates of which those of some days are zero or negative."""
+    day, rate = F.dayofyear("DATE"), F.col("EXCHANGE_RATE_TO_USD")
+    spoiled = F.when(day % 5 == 0, rate * 0).when(day % 7 == 0, -rate).otherwise(rate)
+    return rates(spark, folder).withColumn("EXCHANGE_RATE_TO_USD", spoiled.cast("decimal(10,6)"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tallymart.fixed_values import ABSENT_COLUMNS_MESSAGE, EMPTY_LIST_MESSAGE
+
 SALES_COLUMNS = (
     "ORDER_ID",
     "CUSTOMER_ID",
@@ -18,7 +20,7 @@ RATE_COLUMNS = ("DATE", "COUNTRY", "CURRENCY", "EXCHANGE_RATE_TO_USD")
 def require_columns(present: list[str], wanted: tuple[str, ...] | list[str]) -> None:
     """Raise ValueError naming the wanted columns that are not there (case-sensitive)."""
     if not wanted:
-        raise ValueError("Column list cannot be empty")
+        raise ValueError(EMPTY_LIST_MESSAGE)
     absent = [name for name in wanted if name not in present]
     if absent:
-        raise ValueError(f"Columns not found in DataFrame: {absent}")
+        raise ValueError(ABSENT_COLUMNS_MESSAGE.format(absent=absent))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 from hashlib import sha256
 
@@ -22,6 +24,19 @@ RECOMMENDED = {
 }
 
 
+@contextmanager
+def recommended(spark: SparkSession) -> Iterator[None]:
+    """The recommended settings while a query is made; afterwards the caller's own are back."""
+    given = spark.conf.getAll
+    added = [name for name in RECOMMENDED if name not in given]
+    recommend(spark)
+    try:
+        yield
+    finally:
+        for name in added:
+            spark.conf.unset(name)
+
+
 def recommend(spark: SparkSession) -> None:
     """Apply the recommended settings that nobody has set for this session."""
     given = spark.conf.getAll

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -16,27 +17,56 @@ def table_path(base: str, name: str) -> str:
 def read_published(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """The live rows of a published table.
 
-    With ``schema``, partition values get its types (a COUNTRY of ``01`` stays text); without it
-    their types are guessed from the folder names.
+    With ``schema``, partition values get its types (a COUNTRY of ``01`` stays text) and a table
+    without rows can be read; without it their types are guessed from the folder names.
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(context._jsc.hadoopConfiguration()).exists(folder)
+
+
 def find_published(
     spark: SparkSession, path: str, schema: StructType | None = None
 ) -> DataFrame | None:
-    """The table at ``path``, or None when there is no folder or no row in it."""
-    try:
-        table = read_published(spark, path, schema)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    return None if table.isEmpty() else table
+    """The table at ``path``, or None when there is none. A table without rows is a table; to read
+    one, ``schema`` must be given."""
+    return read_published(spark, path, schema) if path_exists(spark, path) else None
+
 
+def stored_types(table: DataFrame) -> dict[str, str] | None:
+    """Column types as written in a file of the table; partition columns are not among them.
 
-def stored_types(table: DataFrame) -> dict[str, str]:
-    """Column types as written in a file of the table; partition columns are not among them."""
+    None when the table has no file with rows.
+    """
     location = table.select("_metadata.file_path").first()
+    if location is None:
+        return None
     return dict(table.sparkSession.read.parquet(unquote(location.file_path)).dtypes)
+
+
+def schema_note(path: str) -> str:
+    """Where the columns of the table at ``path`` are noted: beside it, hidden from readers."""
+    base, _, table = path.rpartition("/")
+    return f"{base}/_{table}/schema"
+
+
+def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table with the columns it was first written with.
+
+    None for a table without rows of which no columns are noted.
+    """
+    if path_exists(spark, schema_note(path)):
+        noted = spark.read.schema("columns string").parquet(schema_note(path)).first()
+        if noted:
+            return read_published(spark, path, StructType.fromJson(json.loads(noted.columns)))
+    try:
+        return read_published(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise

@@ -56,7 +56,7 @@ def compare(spark, folder: str, name: str) -> str:
 
 def main() -> int:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(registered.queries())
+    names = sys.argv[2:] or list(registered.oracle_sql())
     spark = make_session(
         {
             "spark.master": "local[8]",

@@ -5,6 +5,7 @@ import math
 import pytest
 from conftest import rows
 
+from tallymart.fixed_values import FRACTION_FORMAT, TIMESTAMP_FORMATS
 from tallymart.operators.clean import (
     cast_rates,
     cast_sales,
@@ -43,7 +44,7 @@ def test_sample_is_typed_and_prepared(spark, sample):
     typed = cast_sales(read_csv(spark, sample["sales"]))
     assert typed.dtypes == [
         ("ORDER_ID", "bigint"),
-        ("CUSTOMER_ID", "bigint"),
+        ("CUSTOMER_ID", "string"),
         ("PRODUCT_ID", "string"),
         ("QUANTITY", "int"),
         ("PRICE", "decimal(12,2)"),
@@ -51,14 +52,28 @@ def test_sample_is_typed_and_prepared(spark, sample):
         ("COUNTRY", "string"),
     ]
     assert dict(cast_sales(read_csv(spark, sample["sales"]), "int").dtypes)["ORDER_ID"] == "int"
+    numbers = cast_sales(read_csv(spark, sample["sales"]), customer_id_type="bigint")
+    assert dict(numbers.dtypes)["CUSTOMER_ID"] == "bigint"
+    assert {row[0] for row in rows(typed.select("CUSTOMER_ID"))} == {"ann", "bob", "eve", None}
     prepared = prep_sales(typed)
     assert prepared.columns[-1] == "ORDER_DATE"
     assert [row[0] for row in rows(prepared.select("ORDER_ID"))] == [
-        1001,
-        *range(1003, 1010),
+        5101,
+        *range(5103, 5110),
     ]
 
 
+def test_fractions_of_a_second_on_request(spark):
+    df = spark.createDataFrame(
+        [("2026-01-05 10:00:00.250",), ("2026-01-05 10:00:00",)], "ORDER_TIMESTAMP string"
+    ).selectExpr(
+        "'1' ORDER_ID", "'1' CUSTOMER_ID", "'1' QUANTITY", "'1' PRICE", "ORDER_TIMESTAMP"
+    )
+    assert cast_sales(df).where("ORDER_TIMESTAMP IS NULL").count() == 1
+    both = cast_sales(df, timestamp_formats=(*TIMESTAMP_FORMATS, FRACTION_FORMAT))
+    assert [row[0].microsecond for row in both.select("ORDER_TIMESTAMP").collect()] == [250000, 0]
+
+
 def test_typed_input_stays_typed(spark, sample):
     once = cast_sales(read_csv(spark, sample["sales"]))
     assert rows(cast_sales(once)) == rows(once)

@@ -7,26 +7,32 @@ from decimal import Decimal
 import pytest
 from conftest import rows
 
-from tallymart.fixed_values import DATE_FORMATS, ISO_DATE_FORMAT
+from tallymart.fixed_values import (
+    DATE_FORMATS,
+    FRACTION_FORMAT,
+    ISO_DATE_FORMAT,
+    TIMESTAMP_FORMATS,
+)
 from tallymart.operators import upsert
 from tallymart.plans.daily_job import run_daily_job, verify_outputs
 from tallymart.session import owned_folder
 from tallymart.sources.published import read_published, table_path
 
-AS_OF = datetime(2026, 1, 6)
+AS_OF = datetime(2026, 3, 21)
+LAST_MOMENT = datetime(2026, 3, 20, 11)
 
 GOLDEN_CATEGORY = [
-    (date(2025, 12, 29), "IN", "Stationery", 1, 1, Decimal("15.00"), 0.18),
-    (date(2025, 12, 30), "UK", "Stationery", 1, 5, Decimal("125.00"), 157.5),
-    (date(2025, 12, 30), "US", "Electronics", 2, 5, Decimal("51.00"), 51.0),
-    (date(2026, 1, 5), "US", "Electronics", 4, 8, Decimal("243.00"), 243.0),
+    (date(2026, 3, 13), "BR", "Textiles", 1, 1, Decimal("22.00"), 4.4),
+    (date(2026, 3, 14), "CA", "Lighting", 2, 8, Decimal("84.75"), 42.375),
+    (date(2026, 3, 14), "JP", "Textiles", 1, 4, Decimal("120.00"), 0.96),
+    (date(2026, 3, 20), "CA", "Lighting", 4, 11, Decimal("202.25"), 101.125),
 ]
 GOLDEN_CUSTOMER = [
-    (1, date(2025, 12, 30), "UK", 1, 157.5, "Stationery"),
-    (1, date(2025, 12, 30), "US", 1, 21.0, "Electronics"),
-    (1, date(2026, 1, 5), "US", 4, 60.75, "Electronics"),
-    (2, date(2025, 12, 30), "US", 1, 30.0, "Electronics"),
-    (3, date(2025, 12, 29), "IN", 1, 0.18, "Stationery"),
+    ("ann", date(2026, 3, 14), "CA", 1, 12.375, "Lighting"),
+    ("ann", date(2026, 3, 14), "JP", 1, 0.96, "Textiles"),
+    ("ann", date(2026, 3, 20), "CA", 4, 25.28125, "Lighting"),
+    ("bob", date(2026, 3, 14), "CA", 1, 30.0, "Lighting"),
+    ("eve", date(2026, 3, 13), "BR", 1, 4.4, "Textiles"),
 ]
 
 
@@ -66,7 +72,8 @@ def test_golden_run(spark, sample, tmp_path, caplog):
             spark, sample["sales"], sample["products"], sample["rates"], out, AS_OF
         )
     assert done == {"category_summary": "created", "customer_summary": "created"}
-    assert "Rows before: 11, after: 8, dropped: 3" in caplog.text
+    assert "Sales lines read: 11, complete: 8, left out as incomplete: 3" in caplog.text
+    assert "Lines priced: 8 of 8" in caplog.text
     assert category(spark, out) == GOLDEN_CATEGORY
     assert customer(spark, out) == GOLDEN_CUSTOMER
     verify_outputs(spark, out)
@@ -79,8 +86,8 @@ def test_golden_run(spark, sample, tmp_path, caplog):
 def test_second_run_touches_only_its_day(spark, sample, tmp_path):
     out = str(tmp_path / "out")
     run_daily_job(spark, sample["sales"], sample["products"], sample["rates"], out, AS_OF)
-    changed = open(sample["sales"]).read().replace("1006,1,P01,2,90", "1006,1,P01,4,90")
-    changed = changed.replace("1003,1,P03,5,25", "1003,1,P03,9,25")
+    changed = open(sample["sales"]).read().replace("5106,ann,T20,2,64", "5106,ann,T20,4,64")
+    changed = changed.replace("5103,ann,T45,4,30", "5103,ann,T45,9,30")
     open(sample["sales"], "w").write(changed)
     done = run_daily_job(
         spark,
@@ -88,28 +95,28 @@ def test_second_run_touches_only_its_day(spark, sample, tmp_path):
         sample["products"],
         sample["rates"],
         out,
-        datetime(2026, 1, 5, 11),
+        LAST_MOMENT,
     )
     assert done == {"category_summary": "merged", "customer_summary": "merged"}
     assert category(spark, out) == [
         *GOLDEN_CATEGORY[:3],
-        (date(2026, 1, 5), "US", "Electronics", 4, 10, Decimal("423.00"), 423.0),
+        (date(2026, 3, 20), "CA", "Lighting", 4, 13, Decimal("330.25"), 165.125),
     ]
     assert customer(spark, out) == [
         *GOLDEN_CUSTOMER[:2],
-        (1, date(2026, 1, 5), "US", 4, 105.75, "Electronics"),
+        ("ann", date(2026, 3, 20), "CA", 4, 41.28125, "Lighting"),
         *GOLDEN_CUSTOMER[3:],
     ]
     stored = spark.read.parquet(f"{owned_folder(spark, out)}/priced_sales")
     assert [tuple(row) for row in stored.select("ORDER_DATE").distinct().collect()] == [
-        (date(2026, 1, 5),)
+        (date(2026, 3, 20),)
     ]
 
 
 def test_gate_judges_every_line_on_later_runs(spark, sample, tmp_path):
     out = str(tmp_path / "out")
     run_daily_job(spark, sample["sales"], sample["products"], sample["rates"], out, AS_OF)
-    changed = open(sample["sales"]).read().replace("1003,1,P03,5,25", "1003,1,P03,0,25")
+    changed = open(sample["sales"]).read().replace("5103,ann,T45,4,30", "5103,ann,T45,0,30")
     open(sample["sales"], "w").write(changed)
     with pytest.raises(ValueError, match="Column 'QUANTITY' has 1 non-positive values"):
         run_daily_job(
@@ -118,7 +125,7 @@ def test_gate_judges_every_line_on_later_runs(spark, sample, tmp_path):
             sample["products"],
             sample["rates"],
             out,
-            datetime(2026, 1, 5, 11),
+            LAST_MOMENT,
         )
     assert category(spark, out) == GOLDEN_CATEGORY
 
@@ -137,7 +144,7 @@ def test_interrupted_first_load_is_repeated_in_full(spark, sample, tmp_path, mon
     with pytest.raises(KeyboardInterrupt):
         run_daily_job(spark, *inputs, AS_OF)
     monkeypatch.setattr(upsert, "_write", genuine)
-    done = run_daily_job(spark, *inputs, datetime(2026, 1, 5, 11))
+    done = run_daily_job(spark, *inputs, LAST_MOMENT)
     assert done["customer_summary"] == "created"
     assert customer(spark, out) == GOLDEN_CUSTOMER
 
@@ -145,9 +152,9 @@ def test_interrupted_first_load_is_repeated_in_full(spark, sample, tmp_path, mon
 @pytest.mark.parametrize(
     ("as_of", "message"),
     [
-        (datetime(2026, 1, 5, 10), "Column 'ORDER_TIMESTAMP' has 1 future timestamp"),
+        (datetime(2026, 3, 20, 10), "Column 'ORDER_TIMESTAMP' has 1 future timestamp"),
         (
-            datetime(2026, 3, 29, 9, 0, 1),
+            datetime(2026, 6, 11, 8, 15, 1),
             "Column 'ORDER_TIMESTAMP' has 1 records outside last 90 days",
         ),
     ],
@@ -160,7 +167,7 @@ def test_gate_stops_publishing(spark, sample, tmp_path, as_of, message):
         verify_outputs(spark, out)
 
 
-@pytest.mark.parametrize("as_of", [datetime(2026, 1, 5, 11), datetime(2026, 3, 29, 9)])
+@pytest.mark.parametrize("as_of", [LAST_MOMENT, datetime(2026, 6, 11, 8, 15)])
 def test_gate_limits_are_inclusive(spark, sample, tmp_path, as_of):
     out = str(tmp_path / "out")
     run_daily_job(spark, sample["sales"], sample["products"], sample["rates"], out, as_of)
@@ -179,13 +186,13 @@ def test_exact_rates(spark, sample, tmp_path):
         rate_type="decimal(10,6)",
     )
     totals = [row[6] for row in category(spark, out)]
-    assert totals == [Decimal("0.18"), Decimal("157.5"), Decimal("51"), Decimal("243")]
+    assert totals == [Decimal("4.4"), Decimal("42.375"), Decimal("0.96"), Decimal("101.125")]
     assert customer(spark, out) == GOLDEN_CUSTOMER
 
 
 def test_iso_dates_in_rates_on_request(spark, sample, tmp_path):
     text = open(sample["rates"]).read()
-    open(sample["rates"], "w").write(text.replace("12/30/2025", "2025-12-30"))
+    open(sample["rates"], "w").write(text.replace("3/14/2026", "2026-03-14"))
     inputs = (sample["sales"], sample["products"], sample["rates"])
     run_daily_job(spark, *inputs, str(tmp_path / "strict"), AS_OF)
     assert category(spark, str(tmp_path / "strict")) == [GOLDEN_CATEGORY[0], GOLDEN_CATEGORY[3]]
@@ -217,3 +224,57 @@ def test_missing_input_raises(spark, sample, tmp_path):
         run_daily_job(
             spark, "/nowhere/sales.csv", sample["products"], sample["rates"], str(tmp_path), AS_OF
         )
+
+
+def test_numeric_ids_on_request(spark, sample, tmp_path):
+    text = open(sample["sales"]).read()
+    for at, name in enumerate(("ann", "bob", "eve")):
+        text = text.replace(name, str(at + 1))
+    open(sample["sales"], "w").write(text)
+    inputs = (sample["sales"], sample["products"], sample["rates"])
+    run_daily_job(spark, *inputs, str(tmp_path / "out"), AS_OF, customer_id_type="bigint")
+    assert customer(spark, str(tmp_path / "out"))[0][0] == 1
+
+
+def test_lines_that_cannot_be_priced_are_reported(spark, sample, tmp_path, caplog):
+    text = open(sample["sales"]).read()
+    text = text.replace("3/14/2026 7:05", "2026-03-14 07:05:00.000").replace("5104,eve", "n/a,eve")
+    open(sample["sales"], "w").write(text)
+    inputs = (sample["sales"], sample["products"], sample["rates"])
+    with caplog.at_level(logging.INFO, logger="tallymart"):
+        run_daily_job(spark, *inputs, str(tmp_path / "out"), AS_OF)
+    assert "without a readable ORDER_TIMESTAMP: 1" in caplog.text
+    assert "without a readable ORDER_ID: 1" in caplog.text
+    assert "Lines priced: 7 of 8" in caplog.text
+    caplog.clear()
+    formats = (*TIMESTAMP_FORMATS, FRACTION_FORMAT)
+    with caplog.at_level(logging.INFO, logger="tallymart"):
+        run_daily_job(spark, *inputs, str(tmp_path / "all"), AS_OF, timestamp_formats=formats)
+    assert "Lines priced: 8 of 8" in caplog.text
+
+
+def test_table_without_rows_is_merged_into(spark, sample, tmp_path):
+    """A first run on an empty sales file loads empty tables; the next publishes its day only."""
+    out, full = str(tmp_path / "out"), open(sample["sales"]).read()
+    open(sample["sales"], "w").write(full.splitlines()[0] + "\n")
+    inputs = (sample["sales"], sample["products"], sample["rates"], out)
+    run_daily_job(spark, *inputs, AS_OF)
+    verify_outputs(spark, out)
+    open(sample["sales"], "w").write(full)
+    done = run_daily_job(spark, *inputs, LAST_MOMENT)
+    assert set(done.values()) == {"appended"}
+    assert category(spark, out) == GOLDEN_CATEGORY[3:]
+    verify_outputs(spark, out)
+    verify_outputs(spark, out, LAST_MOMENT)
+
+
+def test_partitions_are_the_callers_choice(spark, sample, tmp_path):
+    out = str(tmp_path / "out")
+    inputs = (sample["sales"], sample["products"], sample["rates"], out)
+    run_daily_job(spark, *inputs, AS_OF, category_partitions=["ORDER_DATE"])
+    old = {f: f.stat().st_mtime_ns for f in (tmp_path / "out").rglob("ORDER_DATE=2026-03-1*/*")}
+    assert old
+    done = run_daily_job(spark, *inputs, LAST_MOMENT, category_partitions=["ORDER_DATE"])
+    assert done["category_summary"] == "merged"
+    assert all(f.stat().st_mtime_ns == stamp for f, stamp in old.items())
+    assert category(spark, out) == GOLDEN_CATEGORY

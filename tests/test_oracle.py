@@ -8,15 +8,17 @@ import pytest
 from compare import compare
 
 import __spark_entry__ as registered
+from tallymart.plans import catalog, oracle
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
+    assert set(catalog.queries()) <= set(registered.queries())
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_equals_sql(spark, name):
     assert compare(spark, FOLDER, name) == ""
 

@@ -222,16 +222,36 @@ def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
     assert read_published(spark, table_path(str(tmp_path), "t")).count() == 90000
 
 
-def test_merge_prunes_the_target_to_touched_partitions(spark, tmp_path):
+def files_read(df) -> int:
+    """Files that the scans of ``df`` opened."""
+    df.collect()
+    scans = df._jdf.queryExecution().executedPlan().collectLeaves()
+    counts = []
+    for i in range(scans.size()):
+        metrics = scans.apply(i).metrics()
+        if metrics.contains("numFiles"):
+            counts.append(metrics.apply("numFiles").value())
+    return sum(counts)
+
+
+def test_merge_reads_the_touched_partitions_only_however_large_the_day(spark, tmp_path):
     target_path, source_path = str(tmp_path / "target"), str(tmp_path / "source")
-    mart(spark).write.partitionBy("COUNTRY").parquet(target_path)
+    mart(spark).repartition(4).write.partitionBy("COUNTRY").parquet(target_path)
     mart(spark).where("COUNTRY = 'C1'").write.parquet(source_path)
     schema = mart(spark).schema
     source = increment(spark.read.schema(schema).parquet(source_path), "ORDER_DATE", DAY)
-    df = touched_rows(spark.read.schema(schema).parquet(target_path), source, ["COUNTRY"])
-    assert {row.COUNTRY for row in df.select("COUNTRY").distinct().collect()} == {"C1"}
-    text = plan(df)
-    assert "dynamicpruning" in text
+    with settings(
+        spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"
+    ):
+        for target in (
+            spark.read.schema(schema).parquet(target_path),
+            increment(spark.read.schema(schema).parquet(target_path), "ORDER_DATE", DAY),
+        ):
+            df = touched_rows(target, source, ["COUNTRY"])
+            assert files_read(df.select("COUNTRY", "k")) == 4
+            assert {row.COUNTRY for row in df.select("COUNTRY").distinct().collect()} == {"C1"}
+            matched = df.join(source.select("COUNTRY", "k"), ["COUNTRY", "k"], "left_semi")
+            assert "Exchange" in plan(matched) and "C1" in plan(matched)
 
 
 def test_published_read_is_pruned(spark, tmp_path):

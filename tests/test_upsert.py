@@ -168,6 +168,48 @@ def test_interrupted_rewrite_is_completed_by_the_next_run(table, monkeypatch):
     assert table.rows() == complete
 
 
+@pytest.mark.parametrize("nulls", [False, True])
+def test_interrupted_append_is_completed_by_the_run_of_the_next_day(table, monkeypatch, nulls):
+    table.publish(*OLD)
+    days = [date(2026, 1, 6), date(2026, 1, 7)]
+    second = [(c, days[0], k, "new") for c in ("US", "UK") for k in (1, 2)]
+    if nulls:  # rows that no key tells apart, one there before
+        table.publish(("US", days[0], None, "same"), as_of=days[0])
+        second += [("US", days[0], None, "same")] * 2
+    before = table.rows()
+    lose_driver(monkeypatch, "append")
+    with pytest.raises(DriverLost):
+        table.publish(*second, as_of=days[0])
+    assert len(table.rows()) == len(before) + 1
+    third = [("DE", days[1], 1, "newer")]
+    assert table.publish(*third, as_of=days[1]) == "appended"
+    assert table.rows() == expect(*before, *second, *third)
+
+
+def test_interrupted_rewrite_is_known_under_another_spelling_of_the_path(
+    spark, tmp_path, monkeypatch
+):
+    table = Table(spark, str(tmp_path / "out"), ["COUNTRY"])
+    table.publish(*OLD)
+    new = [("US", DAY, 1, "new"), ("UK", DAY, 1, "new"), ("DE", DAY, 1, "new")]
+    lose_driver(monkeypatch, "overwrite")
+    with pytest.raises(DriverLost):
+        table.publish(*new)
+    # What the next run needs lies beside the table, not in a scratch folder of the session.
+    assert (tmp_path / "out" / "_t" / "merged").exists()
+    other = Table(spark, f"file:{tmp_path}/out", ["COUNTRY"])
+    late = ("FR", date(2026, 1, 6), 1, "late")
+    assert other.publish(late, as_of=date(2026, 1, 6)) == "appended"
+    kept = [row for row in OLD if row[:3] not in {row[:3] for row in new}]
+    assert table.rows() == expect(*kept, *new, late)
+
+
+def test_table_without_rows_is_a_table(table):
+    assert table.publish() == "created"
+    assert table.publish(*OLD) == "appended"
+    assert table.rows() == expect(*(row for row in OLD if row[1] == DAY))
+
+
 def test_interrupted_first_load_starts_again(table, monkeypatch):
     lose_driver(monkeypatch, "overwrite")
     with pytest.raises(DriverLost):
