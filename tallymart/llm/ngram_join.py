@@ -11,7 +11,7 @@ ceil(0.8 n) + 1 of each, and a pair of shingles among the first p + 1.
 *Light.* Small sets enumerate the 2-subsets of their first p + 1 shingles; two small sets are
 candidates when they share one. *Heavy.* Large sets scan the inverted lists of their first p
 shingles, which hold all sets. The size that divides them is the one with the least cost: subsets
-written by the small, list entries read by the large (``choose_boundary``). Private shingles, which
+written by the small, lists read by the large (``choose_boundary``). Private shingles, which
 only one set holds, are never written.
 
 *Links.* Only what the links connect is asked for, so pairs inside a group of copies are not
@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.components import components
-from tallymart.llm.frames import Shelf, pick, text_key
+from tallymart.llm.frames import Shelf, pick, small_batches, text_key
 from tallymart.llm.words import WHITE, byte_class, mix, word_blocks
 
 SIZE = 5
@@ -142,14 +142,36 @@ def _profiles(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(profile, ", ".join(f"{x} {'int' if x == 'kind' else 'long'}" for x in PROFILE))
 
 
-SENT = "bucket int, chunk long, rest int, head binary, low binary, high binary"
+SENT = "bucket int, chunk long, rest int, head binary, low binary, high binary, more binary"
+SENT_TYPES = (pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 4)
 
 
-def _send(docs: DataFrame, common: np.ndarray, bits: int) -> DataFrame:
-    """Each chunk's shingles by bucket (number of them per set, 48 bits of each), and, in a row of
-    bucket -1, its sets: ids, sizes, and common shingles in order.
+def _sent_table(rows: list[tuple]) -> pa.Table:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(SENT_TYPES)
+    return pa.table(
+        [pa.array(c, t) for c, t in zip(columns, SENT_TYPES, strict=True)],
+        names=[part.split()[0] for part in SENT.split(", ")],
+    )
+
+
+def _split_keys(keys: np.ndarray) -> tuple[bytes, bytes]:
+    """The lower 48 bits, as 32 and 16: what is sent of a shingle."""
+    low = (keys & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
+    return low, ((keys >> np.uint64(32)) & np.uint64(0xFFFF)).astype("<u2").tobytes()
+
 
-    ``common`` is in order; equal sets of a chunk are sent once.
+def _join_keys(low: bytes, high: bytes) -> np.ndarray:
+    return np.frombuffer(low, "<u4").astype(np.int64) | (
+        np.frombuffer(high, "<u2").astype(np.int64) << 32
+    )
+
+
+def _send(docs: DataFrame, common: np.ndarray, bits: int, heads: bool) -> DataFrame:
+    """Each chunk's shingles by bucket (number of them per set, 48 bits of each); or, with ``heads``,
+    a row of bucket -1 with its sets: ids, sizes, and common shingles in order.
+
+    ``common`` is in order; equal sets of a chunk are sent once. Heads are made in a pass of their own,
+    which costs less than storing what the first pass sends.
     """
     known = np.sort(common)
     rank = np.argsort(common, kind="stable")  # place in the order of each of ``known``
@@ -176,16 +198,12 @@ def _send(docs: DataFrame, common: np.ndarray, bits: int) -> DataFrame:
                 else:
                     common_keys = np.empty(0, np.int64)
                     common_count = np.zeros(len(sizes), np.int64)
-                rows = [
-                    (
-                        -1,
-                        chunk,
-                        len(sizes),
-                        np.concatenate([ids, sizes, common_count]).astype("<i8").tobytes(),
-                        common_keys.astype("<i8").tobytes(),
-                        b"",
-                    )
-                ]
+                if heads:
+                    facts = np.concatenate([ids, sizes, common_count]).astype("<i8").tobytes()
+                    keys = common_keys.astype("<i8").tobytes()
+                    yield from _sent_table([(-1, chunk, len(sizes), facts, keys, b"", b"")]).to_batches()
+                    continue
+                rows = []
                 bucket = (shingles >> np.uint64(64 - bits)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")  # by bucket, then by set
                 bucket, shingles, owner = bucket[order], shingles[order], owner[order]
@@ -200,16 +218,12 @@ def _send(docs: DataFrame, common: np.ndarray, bits: int) -> DataFrame:
                             chunk,
                             int(wide),
                             held.astype("<u4" if wide else "<u2").tobytes(),
-                            (shingles[mine] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(),
-                            ((shingles[mine] >> np.uint64(32)) & np.uint64(0xFFFF)).astype("<u2").tobytes(),
+                            *_split_keys(shingles[mine]),
+                            b"",
                         )
                     )
-                types = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
                 for i in range(0, len(rows), 64):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*rows[i : i + 64]), types, strict=True)],
-                        ["bucket", "chunk", "rest", "head", "low", "high"],
-                    )
+                    yield from _sent_table(rows[i : i + 64]).to_batches()
 
     return pick(docs, "text").mapInArrow(send, SENT)
 
@@ -220,21 +234,16 @@ def key_of(shingles: np.ndarray, bits: int) -> np.ndarray:
     return (high | (shingles & np.uint64((1 << 48) - 1))).view(np.int64)
 
 
-SHARED = "chunk long, owners binary, keys binary, counts binary"
-
-
 def _count(table: pa.Table) -> pa.Table:
-    """Of one bucket: for each chunk the shingles that another set holds too, and by how many."""
+    """Of one bucket: for each chunk the shingles that another set holds too (``head``: their sets,
+    ``more``: by how many sets each is held)."""
     keys, owners = [], []
     for wide, head, low, high in zip(
         *(table.column(c).to_pylist() for c in ("rest", "head", "low", "high")), strict=True
     ):
         held = np.frombuffer(head, "<u4" if wide else "<u2").astype(np.int64)
         owners.append(np.repeat(np.arange(len(held), dtype=np.int32), held))
-        keys.append(
-            np.frombuffer(low, "<u4").astype(np.int64)
-            | (np.frombuffer(high, "<u2").astype(np.int64) << 32)
-        )
+        keys.append(_join_keys(low, high))
     sizes = [len(x) for x in keys]
     every = np.concatenate(keys)
     order = np.argsort(every)
@@ -243,27 +252,20 @@ def _count(table: pa.Table) -> pa.Table:
     repeats = np.diff(edges)
     count = np.empty(len(every), np.int64)
     count[order] = np.repeat(repeats, repeats)
-    bucket = np.int64(table.column("bucket")[0].as_py()) << 48
+    bucket = table.column("bucket")[0].as_py()
     out, at = [], 0
     for chunk, size, owner in zip(table.column("chunk").to_pylist(), sizes, owners, strict=True):
         mine = slice(at, at + size)
         shared = count[mine] > 1
         at += size
         if shared.any():
-            out.append(
-                (
-                    chunk,
-                    owner[shared].astype("<u4").tobytes(),
-                    (every[mine][shared] | bucket).astype("<i8").tobytes(),
-                    np.minimum(count[mine][shared], (1 << 32) - 1).astype("<u4").tobytes(),
-                )
-            )
-    columns = list(zip(*out)) if out else [[], [], [], []]
-    types = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
-    return pa.table(
-        [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-        names=["chunk", "owners", "keys", "counts"],
-    )
+            held = owner[shared]
+            wide = held[-1] >= 1 << 16  # owners ascend
+            counts = np.minimum(count[mine][shared], (1 << 32) - 1).astype("<u4")
+            owners_ = held.astype("<u4" if wide else "<u2").tobytes()
+            keys_ = _split_keys(every[mine][shared].view(np.uint64))
+            out.append((bucket, chunk, int(wide), owners_, *keys_, counts.tobytes()))
+    return _sent_table(out)
 
 
 SETS = "sid long, n int, private int, prefix array<long>, scan long, shared array<long>"
@@ -273,7 +275,8 @@ def _prefixes(chunk: pa.Table) -> pa.Table:
     """Of one chunk: each set that shares a shingle of its prefix.
 
     ``private`` shingles come before ``prefix``, which goes up to place p (from 0); ``shared`` are
-    all shingles that another set holds; ``scan`` is the length of the inverted lists of the first p.
+    all shingles that another set holds; ``scan`` is the price of
+    reading the inverted lists of the first p.
     """
     head = chunk.filter(pc.equal(chunk.column("bucket"), -1))
     n_sets = head.column("rest")[0].as_py()
@@ -281,12 +284,15 @@ def _prefixes(chunk: pa.Table) -> pa.Table:
     ids, sizes, common_count = facts
     common = np.frombuffer(head.column("low")[0].as_py(), "<i8")
     rest = chunk.filter(pc.not_equal(chunk.column("bucket"), -1))
-    parts = [
-        [np.frombuffer(x, kind) for x in rest.column(c).to_pylist()]
-        for c, kind in (("head", "<u4"), ("low", "<i8"), ("high", "<u4"))
-    ]
-    empty = [np.empty(0, np.int64)]
-    owner, key, count = (np.concatenate(p or empty).astype(np.int64) for p in parts)
+    parts: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in range(3)]
+    for bucket, wide, owners, low, high, counts in zip(
+        *(rest.column(c).to_pylist() for c in ("bucket", "rest", "head", "low", "high", "more")),
+        strict=True,
+    ):
+        parts[0].append(np.frombuffer(owners, "<u4" if wide else "<u2"))
+        parts[1].append(_join_keys(low, high) | (np.int64(bucket) << 48))
+        parts[2].append(np.frombuffer(counts, "<u4"))
+    owner, key, count = (np.concatenate(p).astype(np.int64) for p in parts)
     # Common shingles come last, in the order sent; their counts are not needed but for the cost.
     owner = np.concatenate([owner, np.repeat(np.arange(n_sets), common_count)])
     place = np.concatenate([count, (1 << 33) + np.arange(len(common))])
@@ -323,8 +329,8 @@ def _prefixes(chunk: pa.Table) -> pa.Table:
 
 
 def choose_boundary(costs: list[tuple[int, int, int]]) -> int:
-    """Sizes up to the result are small. ``costs``: (size, subsets to write, list entries to read)
-    of all sets of that size; the last size stands for all from there on."""
+    """Sizes up to the result are small. ``costs``: (size, subsets to write, price of the lists to
+    read) of all sets of that size; the last size stands for all from there on."""
     best, least = 0, sum(scan for _, _, scan in costs)
     total = least
     for size, subsets, scan in sorted(costs):
@@ -396,7 +402,8 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def linked_sets(docs: DataFrame, shelf: Shelf) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, sid and text key of each row; sid and the component's root of linked sets)."""
-    profiles = shelf.put(_profiles(docs), "profiles")
+    with small_batches(docs.sparkSession):
+        profiles = shelf.put(_profiles(docs), "profiles")
     rows = profiles.where("kind = 0").drop("kind")
     n_rows, n_shingles = rows.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     often = (
@@ -410,20 +417,11 @@ def linked_sets(docs: DataFrame, shelf: Shelf) -> tuple[DataFrame, DataFrame]:
     counts = np.array([r.n for r in often], np.int64)
     common = hashes[np.lexsort((hashes, counts))]
     bits = max(4, int(np.ceil(np.log2(max(1, n_shingles / CHUNK)))))
-    sent = shelf.put(_send(docs, common, bits), "sent")
-    shared = sent.where("bucket >= 0").groupBy("bucket").applyInArrow(_count, SHARED)
-    heads = sent.where("bucket < 0").select("bucket", "chunk", "rest", "head", "low", "high")
-    returned = shared.select(
-        F.lit(0).alias("bucket"),
-        "chunk",
-        F.lit(0).alias("rest"),
-        F.col("owners").alias("head"),
-        F.col("keys").alias("low"),
-        F.col("counts").alias("high"),
-    )
-    sets = heads.unionAll(returned).groupBy("chunk").applyInArrow(_prefixes, SETS)
-    sets = shelf.put(sets.dropDuplicates(["sid"]), "sets")
-    shelf.drop("sent")
+    shared = _send(docs, common, bits, heads=False).groupBy("bucket").applyInArrow(_count, SENT)
+    heads = _send(docs, common, bits, heads=True)
+    sets = heads.unionAll(shared).groupBy("chunk").applyInArrow(_prefixes, SETS)
+    with small_batches(docs.sparkSession):
+        sets = shelf.put(sets.dropDuplicates(["sid"]), "sets")
     m = F.size("prefix").cast("long")
     costs = (
         sets.groupBy(F.least("n", F.lit(SMALL_LIMIT)).alias("size"))
