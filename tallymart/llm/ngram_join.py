@@ -307,7 +307,10 @@ def _prefixes(chunk: pa.Table) -> pa.Table:
     starts = ends - held
     first = np.maximum(np.minimum(p + 1 - private, held), 0)
     some = np.flatnonzero(np.minimum(p - private, held) > 0)
-    cost = np.concatenate([[0], np.cumsum(np.minimum(place, 1 << 33))])
+    # A member meets its list's head, and later the members that are still apart: its price grows
+    # with the list, but far slower than the list.
+    price = 1 + np.log2(np.maximum(np.minimum(place, 1 << 33), 1)).astype(np.int64)
+    cost = np.concatenate([[0], np.cumsum(price)])
     upto = starts + np.minimum(np.maximum(p - private, 0), held)
 
     def lists(sizes_: np.ndarray) -> pa.Array:
