@@ -5,8 +5,9 @@ each hashed to one of ``BUCKETS``; a text has a term or not. The machine adds, t
 the terms present, the inner products of their factors over all pairs. So an insult near a group's
 name can weigh more than both alone, which a linear model cannot express.
 
-Terms whose presence differs between the classes by less than ``Z`` standard errors have neither
-weight nor factor; that keeps long harmless texts from adding up noise. The fit is AdaGrad on the
+Terms whose presence differs between the classes by less than ``Z`` standard errors, or less than the
+largest of so many would differ by chance, have neither weight nor factor; that keeps long harmless
+texts from adding up noise. The fit is AdaGrad on the
 logistic loss, over a bounded sample (``ROWS`` a class, whole texts); the intercept is then moved
 from the sample's share of toxic rows to that of all labelled rows.
 """
@@ -105,7 +106,9 @@ def fit(
     in0 = np.bincount(bucket, 1 - y[owner], BUCKETS)
     pooled = (in1 + in0 + 1) / (n1 + n0 + 2)
     error = np.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n0))
-    telling = np.flatnonzero((np.abs(in1 / n1 - in0 / n0) >= z * error) & (in1 + in0 >= 3))
+    met = in1 + in0 >= 3
+    z = max(z, float(np.sqrt(2 * np.log(max(met.sum(), 1)))))  # so many terms stray by chance
+    telling = np.flatnonzero((np.abs(in1 / n1 - in0 / n0) >= z * error) & met)
     place = np.zeros(BUCKETS, np.int32)
     place[telling] = np.arange(1, len(telling) + 1)
     row = place[bucket].astype(np.int64)
