@@ -210,6 +210,8 @@ def text_probabilities(net: Network, raw: np.ndarray, offsets: np.ndarray) -> np
     """(texts, languages): the mean over all positions; zeros for empty texts."""
     count = len(offsets) - 1
     out = np.zeros((count, len(net.languages)))
+    if not net.languages:
+        return out
     start, length, text = segments(raw, offsets)
     order = np.argsort(-length, kind="stable")  # full segments need no mask
     for at in range(0, len(order), BATCH):

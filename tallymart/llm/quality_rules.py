@@ -100,6 +100,8 @@ def _per_text(places: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def repeated_lines(words: Words) -> np.ndarray:
     """Lines with a word that equal an earlier line of their text, per text."""
     raw, offsets = words.raw, words.raw_offsets
+    if not len(raw):
+        return np.zeros(len(offsets) - 1, np.int64)
     breaks = np.flatnonzero(raw == 10)
     edges = np.unique(np.concatenate([breaks + 1, offsets[:-1]]))
     starts = edges[edges < len(raw)]
