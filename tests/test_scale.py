@@ -16,8 +16,9 @@ from tallymart.operators.clean import drop_audit_columns, remove_nulls
 from tallymart.operators.enrich import add_revenue, enrich_sales, join_rates
 from tallymart.operators.marts import daily_category_summary, daily_customer_summary
 from tallymart.operators.quality import gate_rules, quality_report
+from tallymart.operators import upsert
 from tallymart.operators.upsert import increment, publish, touched_rows
-from tallymart.plans import catalog
+from tallymart.plans import catalog, daily_job
 from tallymart.session import stage
 from tallymart.sources.published import read_published, table_path
 
@@ -43,10 +44,22 @@ def plan(df) -> str:
 
 
 @pytest.mark.parametrize("name", sorted(catalog.queries()))
-def test_no_cross_join_and_no_python(spark, name):
-    text = plan(catalog.queries()[name](spark, SMALL))
-    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
-        assert unwanted not in text
+def test_no_cross_join_and_no_python(spark, name, monkeypatch):
+    """In the plan of the result and in those of everything written on the way."""
+    plans = []
+    for module, writer in ((upsert, "_write"), (upsert, "_staged"), (daily_job, "stage")):
+
+        def watched(df, *arguments, genuine=getattr(module, writer), **options):
+            plans.append(plan(df))
+            return genuine(df, *arguments, **options)
+
+        monkeypatch.setattr(module, writer, watched)
+    plans.append(plan(catalog.queries()[name](spark, SMALL)))
+    if name.startswith(("upsert", "daily_job", "publish")):
+        assert len(plans) > 1
+    for text in plans:
+        for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
+            assert unwanted not in text
 
 
 def hot_sales(spark, path):
