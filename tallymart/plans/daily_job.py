@@ -4,7 +4,8 @@ The inputs are parsed once. Cleaned lines and priced lines are each written once
 folder, and both counts the job needs (drop audit, quality gate) ride along on those writes: they
 are observed in the stage that commits the files, where a lost executor cannot make a row count
 twice. The two tables then read only the columns they need from the stored lines. Once both tables
-exist, only the lines of the as-of day are stored for them; the gate still judges every line.
+exist, the cleaned lines of other days are stored without their ids, for the gate alone, and only the
+priced lines of the as-of day are stored for the tables.
 """
 
 from __future__ import annotations
@@ -43,7 +44,13 @@ from tallymart.operators.clean import (
 )
 from tallymart.operators.enrich import enrich_sales
 from tallymart.operators.marts import daily_category_summary, daily_customer_summary
-from tallymart.operators.quality import enforce, gate_rules, null_scan, rule_counters
+from tallymart.operators.quality import (
+    enforce,
+    gate_rules,
+    moment,
+    null_scan,
+    rule_counters,
+)
 from tallymart.operators.upsert import increment, is_loaded, publish
 from tallymart.schemas import PRODUCT_COLUMNS, RATE_COLUMNS, SALES_COLUMNS, require_columns
 from tallymart.session import stage
@@ -96,7 +103,14 @@ def run_daily_job(
     watched = sales.observe(
         audit, *drop_audit_columns(sales, REQUIRED_SALES_COLUMNS), *loss_columns()
     )
-    prepared = stage(prep_sales(watched), output, "prepared_sales")
+    prepared = prep_sales(watched)
+    later = all(is_loaded(spark, output, name) for name in (CATEGORY_TABLE, CUSTOMER_TABLE))
+    if later:
+        # The gate judges every line, but ids are needed of the day's lines only.
+        today = F.col(INCREMENT_COLUMN) == moment(as_of, "date")
+        ids = ("ORDER_ID", "CUSTOMER_ID")
+        prepared = prepared.withColumns({name: F.when(today, F.col(name)) for name in ids})
+    prepared = stage(prepared, output, "prepared_sales")
     counts = audit.get
     log.info(
         "Sales lines read: %s, complete: %s, left out as incomplete: %s",
@@ -119,7 +133,7 @@ def run_daily_job(
     )
     gate = Observation("quality_gate")
     lines = lines.observe(gate, *rule_counters(rules), F.count(F.lit(1)).alias("priced"))
-    if all(is_loaded(spark, output, name) for name in (CATEGORY_TABLE, CUSTOMER_TABLE)):
+    if later:
         # The gate has seen every line; only those of the day are needed further on.
         lines = increment(lines, INCREMENT_COLUMN, as_of)
     lines = stage(lines, output, "priced_sales")

@@ -113,6 +113,19 @@ def test_second_run_touches_only_its_day(spark, sample, tmp_path):
     ]
 
 
+def test_later_runs_store_ids_of_their_day_only(spark, sample, tmp_path):
+    out = str(tmp_path / "out")
+    inputs = (sample["sales"], sample["products"], sample["rates"], out)
+    run_daily_job(spark, *inputs, AS_OF)
+    run_daily_job(spark, *inputs, LAST_MOMENT)
+    stored = spark.read.parquet(f"{owned_folder(spark, out)}/prepared_sales")
+    assert stored.count() == 8
+    kept = stored.where("ORDER_ID IS NOT NULL OR CUSTOMER_ID IS NOT NULL")
+    assert [row[0] for row in rows(kept.select("ORDER_ID"))] == [5106, 5107, 5108, 5109]
+    assert category(spark, out) == GOLDEN_CATEGORY
+    assert customer(spark, out) == GOLDEN_CUSTOMER
+
+
 def test_gate_judges_every_line_on_later_runs(spark, sample, tmp_path):
     out = str(tmp_path / "out")
     run_daily_job(spark, sample["sales"], sample["products"], sample["rates"], out, AS_OF)
