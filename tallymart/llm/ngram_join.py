@@ -166,12 +166,11 @@ def _join_keys(low: bytes, high: bytes) -> np.ndarray:
     )
 
 
-def _send(docs: DataFrame, common: np.ndarray, bits: int, heads: bool) -> DataFrame:
-    """Each chunk's shingles by bucket (number of them per set, 48 bits of each); or, with ``heads``,
-    a row of bucket -1 with its sets: ids, sizes, and common shingles in order.
+def _send(docs: DataFrame, common: np.ndarray, bits: int) -> DataFrame:
+    """Each chunk's shingles by bucket (number of them per set, 48 bits of each), and a row of a
+    negative bucket with its sets: ids, sizes, and common shingles in order.
 
-    ``common`` is in order; equal sets of a chunk are sent once. Heads are made in a pass of their own,
-    which costs less than storing what the first pass sends.
+    ``common`` is in order; equal sets of a chunk are sent once.
     """
     known = np.sort(common)
     rank = np.argsort(common, kind="stable")  # place in the order of each of ``known``
@@ -198,12 +197,10 @@ def _send(docs: DataFrame, common: np.ndarray, bits: int, heads: bool) -> DataFr
                 else:
                     common_keys = np.empty(0, np.int64)
                     common_count = np.zeros(len(sizes), np.int64)
-                if heads:
-                    facts = np.concatenate([ids, sizes, common_count]).astype("<i8").tobytes()
-                    keys = common_keys.astype("<i8").tobytes()
-                    yield from _sent_table([(-1, chunk, len(sizes), facts, keys, b"", b"")]).to_batches()
-                    continue
-                rows = []
+                facts = np.concatenate([ids, sizes, common_count]).astype("<i8").tobytes()
+                keys = common_keys.astype("<i8").tobytes()
+                aside = -1 - chunk % (1 << bits)
+                rows = [(aside, chunk, len(sizes), facts, keys, b"", b"")]
                 bucket = (shingles >> np.uint64(64 - bits)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")  # by bucket, then by set
                 bucket, shingles, owner = bucket[order], shingles[order], owner[order]
@@ -236,7 +233,9 @@ def key_of(shingles: np.ndarray, bits: int) -> np.ndarray:
 
 def _count(table: pa.Table) -> pa.Table:
     """Of one bucket: for each chunk the shingles that another set holds too (``head``: their sets,
-    ``more``: by how many sets each is held)."""
+    ``more``: by how many sets each is held). Rows of negative buckets pass as they are."""
+    if table.column("bucket")[0].as_py() < 0:
+        return table
     keys, owners = [], []
     for wide, head, low, high in zip(
         *(table.column(c).to_pylist() for c in ("rest", "head", "low", "high")), strict=True
@@ -278,12 +277,12 @@ def _prefixes(chunk: pa.Table) -> pa.Table:
     all shingles that another set holds; ``scan`` is the price of
     reading the inverted lists of the first p.
     """
-    head = chunk.filter(pc.equal(chunk.column("bucket"), -1))
+    head = chunk.filter(pc.less(chunk.column("bucket"), 0))
     n_sets = head.column("rest")[0].as_py()
     facts = np.frombuffer(head.column("head")[0].as_py(), "<i8").reshape(3, n_sets)
     ids, sizes, common_count = facts
     common = np.frombuffer(head.column("low")[0].as_py(), "<i8")
-    rest = chunk.filter(pc.not_equal(chunk.column("bucket"), -1))
+    rest = chunk.filter(pc.greater_equal(chunk.column("bucket"), 0))
     parts: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in range(3)]
     for bucket, wide, owners, low, high, counts in zip(
         *(rest.column(c).to_pylist() for c in ("bucket", "rest", "head", "low", "high", "more")),
@@ -420,9 +419,8 @@ def linked_sets(docs: DataFrame, shelf: Shelf) -> tuple[DataFrame, DataFrame]:
     counts = np.array([r.n for r in often], np.int64)
     common = hashes[np.lexsort((hashes, counts))]
     bits = max(4, int(np.ceil(np.log2(max(1, n_shingles / CHUNK)))))
-    shared = _send(docs, common, bits, heads=False).groupBy("bucket").applyInArrow(_count, SENT)
-    heads = _send(docs, common, bits, heads=True)
-    sets = heads.unionAll(shared).groupBy("chunk").applyInArrow(_prefixes, SETS)
+    counted = _send(docs, common, bits).groupBy("bucket").applyInArrow(_count, SENT)
+    sets = counted.groupBy("chunk").applyInArrow(_prefixes, SETS)
     with small_batches(docs.sparkSession):
         sets = shelf.put(sets.dropDuplicates(["sid"]), "sets")
     m = F.size("prefix").cast("long")
