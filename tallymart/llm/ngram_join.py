@@ -43,7 +43,8 @@ from tallymart.llm.words import WHITE, byte_class, mix, word_blocks
 SIZE = 5
 SIMILAR = 80  # in hundredths
 WORDS = byte_class(WHITE, lower=True)
-CHUNK = 2_000_000  # shingles counted or sent at once
+CHUNK = 2_000_000  # shingles sent at once
+BUCKET = 1_000_000  # shingles counted at once
 SMALL_LIMIT = 128  # sizes up to which enumerating subsets is considered
 FEW = 8  # a shingle of fewer sets is never common
 
@@ -418,7 +419,7 @@ def linked_sets(docs: DataFrame, shelf: Shelf) -> tuple[DataFrame, DataFrame]:
     hashes = np.array([r.sid for r in often], np.int64).view(np.uint64)
     counts = np.array([r.n for r in often], np.int64)
     common = hashes[np.lexsort((hashes, counts))]
-    bits = max(4, int(np.ceil(np.log2(max(1, n_shingles / CHUNK)))))
+    bits = max(4, int(np.ceil(np.log2(max(1, n_shingles / BUCKET)))))
     counted = _send(docs, common, bits).groupBy("bucket").applyInArrow(_count, SENT)
     sets = counted.groupBy("chunk").applyInArrow(_prefixes, SETS)
     with small_batches(docs.sparkSession):
