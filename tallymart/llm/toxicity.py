@@ -63,15 +63,15 @@ def _distinct(owner: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.nda
     return keys // BUCKETS, keys % BUCKETS
 
 
-def _matrix(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    owners, buckets = [], []
-    for first, _, owner, bucket in terms(pa.array(texts, pa.large_string())):
+def _rows(place: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(text, row of the machine) of each text's terms that have one, each once, text by text."""
+    owners, rows = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for first, _, owner, bucket in terms(texts):
         owner, bucket = _distinct(owner, bucket)
-        owners.append(owner + first)
-        buckets.append(bucket)
-    if not owners:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(owners), np.concatenate(buckets)
+        row = place[bucket].astype(np.int64)
+        owners.append(owner[row > 0] + first)
+        rows.append(row[row > 0])
+    return np.concatenate(owners), np.concatenate(rows)
 
 
 def raw_scores(model: Machine, count: int, owner: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -100,10 +100,14 @@ def fit(
     empty = Machine(prior, np.zeros(BUCKETS, np.int32), np.zeros(1), np.zeros((1, FACTORS)))
     if not len(y) or y.min() == y.max():
         return empty
-    owner, bucket = _matrix([text for text, _ in rows])
+    texts = pa.array([text for text, _ in rows], pa.large_string())
     n1, n0 = int(y.sum()), int((1 - y).sum())
-    in1 = np.bincount(bucket, y[owner], BUCKETS)
-    in0 = np.bincount(bucket, 1 - y[owner], BUCKETS)
+    in1, in0 = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for first, _, owner, bucket in terms(texts):  # the terms of all texts at once would be large
+        owner, bucket = _distinct(owner, bucket)
+        toxic = y[owner + first]
+        in1 += np.bincount(bucket, toxic, BUCKETS)
+        in0 += np.bincount(bucket, 1 - toxic, BUCKETS)
     pooled = (in1 + in0 + 1) / (n1 + n0 + 2)
     error = np.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n0))
     met = in1 + in0 >= 3
@@ -111,8 +115,7 @@ def fit(
     telling = np.flatnonzero((np.abs(in1 / n1 - in0 / n0) >= z * error) & met)
     place = np.zeros(BUCKETS, np.int32)
     place[telling] = np.arange(1, len(telling) + 1)
-    row = place[bucket].astype(np.int64)
-    owner, row = owner[row > 0], row[row > 0]
+    owner, row = _rows(place, texts)
     edges = np.searchsorted(owner, np.arange(len(y) + 1))
     rng = np.random.default_rng(0)
     w = np.zeros(len(telling) + 1)

@@ -212,9 +212,7 @@ def test_machine_learns_a_pair_that_single_terms_miss():
     model = toxicity.fit(rows, {0: 600, 1: 300})
 
     def value(*texts):
-        owner, bucket = toxicity._matrix(list(texts))
-        row = model.place[bucket].astype(np.int64)
-        return toxicity.raw_scores(model, len(texts), owner[row > 0], row[row > 0])
+        return toxicity.raw_scores(model, len(texts), *toxicity._rows(model.place, pa.array(texts)))
 
     both, one, other, none = value(text("insult", "group"), text("insult"), text("group"), text())
     assert both > 0 > max(one, other, none)
