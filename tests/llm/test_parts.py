@@ -281,6 +281,78 @@ def test_bands_reject_by_script():
     assert rows[1]["kept"]
 
 
+def _inside(text):
+    script = quality_rules.script_of(text)
+    return script, quality_rules.BANDS[script].holds(*quality_rules.fertility(text, PIECES))
+
+
+NOISE = {
+    "letters": "abcdefghijklmnopqrstuvwxyz",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "hex": "0123456789abcdef",
+    "digits": "0123456789",
+    "marks": "!?;:.,#*$%&|<>()[]{}~^_=+-/",
+    "emoji": (0x1F300, 0x1F5FF),
+    "mathematics": (0x2200, 0x22FF),
+    "boxes": (0x2500, 0x257F),
+    "private": (0xE000, 0xE0FF),
+    "replaced": "\ufffd",
+    "latin beyond ASCII": (0x100, 0x24F),
+    "cyrillic": (0x430, 0x44F),
+    "han": (0x4E00, 0x9FFF),
+    "hangul": (0xAC00, 0xD7A3),
+    "arabic": (0x621, 0x64A),
+    "hebrew": (0x5D0, 0x5EA),
+    "devanagari": (0x905, 0x939),
+    "thai": (0xE01, 0xE2E),
+    "georgian": (0x10D0, 0x10F0),
+    "cuneiform": (0x12000, 0x12399),
+}
+
+
+@pytest.mark.parametrize("kind", NOISE)
+def test_bands_reject_noise(kind):
+    dice = random.Random(kind)
+    drawn = NOISE[kind]
+    signs = drawn if isinstance(drawn, str) else [chr(i) for i in range(drawn[0], drawn[1] + 1)]
+    for count in (60, 400):
+        text = " ".join("".join(dice.choices(signs, k=6)) for _ in range(count))
+        (row,) = quality_rules.verdicts(pa.array([text]), PIECES, quality_rules.BANDS).to_pylist()
+        assert not row["kept"] and (not row["base_failed"] or kind == "replaced"), row
+
+
+def test_bands_reject_words_filled_with_marks():
+    dice = random.Random(3)
+    syllables = ["the", "on", "er", "ing", "st", "ha", "nd", "re", "ti", "ou", "ble", "ly", "at", "ed", "an", "wh"]
+    words = ["".join(dice.choices(syllables, k=dice.randint(1, 3))) for _ in range(400)]
+    assert _inside(" ".join(words))[0] == "latin"
+    marked = " ".join(w + dice.choice(["***", "$$$", "###", "&&&", "%%%"]) for w in words)
+    assert _inside(marked) == ("latin", False)
+
+
+@pytest.mark.parametrize(
+    ("script", "text"),
+    [
+        ("latin", "The harbour town woke slowly while gulls argued over scraps near the old customs house."),
+        ("latin", "Ráno v přístavu rybáři vytahují sítě a ženy chodí na trh pro čerstvý chléb a zeleninu."),
+        ("latin_marked", "Buổi sáng ở bến cảng thật yên tĩnh, những người đánh cá kéo lưới lên bờ và bán cá tươi."),
+        ("cyrillic", "Утром в порту рыбаки вытаскивают сети, а женщины идут на рынок за свежим хлебом и овощами."),
+        ("greek", "Το πρωί στο λιμάνι οι ψαράδες μαζεύουν τα δίχτυα τους και οι γυναίκες πηγαίνουν στην αγορά."),
+        ("cjk", "清晨的港口很安靜,漁民們把漁網拉上岸,把新鮮的魚賣給附近的居民。孩子們沿著河邊的小路去上學。"),
+        ("kana", "朝の港はとても静かで、漁師たちは網を引き上げ、新鮮な魚を近所の人々に売っています。"),
+        ("hangul", "아침 항구는 매우 조용하고 어부들은 그물을 걷어 올려 신선한 생선을 이웃 사람들에게 팔고 있습니다."),
+        ("arabic", "في الصباح يكون الميناء هادئا جدا ويسحب الصيادون شباكهم ويبيعون السمك الطازج لأهل المدينة."),
+        ("hebrew", "בבוקר הנמל שקט מאוד והדייגים מושכים את הרשתות ומוכרים דגים טריים לאנשי העיר."),
+        ("devanagari", "सुबह बंदरगाह बहुत शांत होता है और मछुआरे अपने जाल खींचकर शहर के लोगों को मछली बेचते हैं।"),
+        ("thai", "ตอนเช้าท่าเรือเงียบมาก ชาวประมงดึงอวนขึ้นฝั่งและขายปลาสดให้ชาวเมือง"),
+        ("georgian", "დილით ნავსადგური ძალიან მშვიდია და მეთევზეები ბადეებს ეწევიან და ახალ თევზს ჰყიდიან."),
+        ("none", "12 345 6789, 10.5 % + 77 = 88; 1999-12-31"),
+    ],
+)
+def test_bands_keep_natural_text(script, text):
+    assert _inside(text) == (script, script != "none")
+
+
 def test_words_and_sets_against_python():
     dice = random.Random(2)
     texts = ["".join(dice.choices("aB \t\né,", k=dice.randint(0, 90))) for _ in range(60)] + ["", "A a A a A a A"]
