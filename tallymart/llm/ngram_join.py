@@ -14,11 +14,14 @@ shingles, which hold all sets. The size that divides them is the one with the le
 written by the small, lists read by the large (``choose_boundary``). Private shingles, which
 only one set holds, are never written.
 
-*Links.* Only what the links connect is asked for, so pairs inside a group of copies are not
-enumerated: equal sets are one class; each list first links its members to its head, the member for
-which fewest rarer shingles come first; only members that are still in different components are then
-paired. Size and place in the order bound each pair's overlap before it is verified on the
-sets. A link that is skipped joins two documents that are connected already.
+*Components.* ``ngram_join`` asks only for what the links connect, so pairs inside a group of copies
+are not enumerated: equal sets are one class; each list first links its members to its head, the member
+for which fewest rarer shingles come first; only members that are still in different components are
+then paired. A link that is skipped joins two documents that are connected already.
+
+*Links.* ``links`` and ``link_counts`` skip none: all candidate pairs of different sets are verified.
+Size and place in the order bound which members of a list are paired (``_paired``), before the pairs
+are verified on the sets.
 
 *Work.* Shingles are hashed to 64 bits in numpy. Counting them moves 6 bytes a shingle: the first
 bits of the hash name the bucket whose task counts it, the next 48 are sent. A false match needs two
@@ -46,6 +49,7 @@ WORDS = byte_class(WHITE, lower=True)
 CHUNK = 2_000_000  # shingles sent at once
 BUCKET = 1_000_000  # shingles counted at once
 SMALL_LIMIT = 128  # sizes up to which enumerating subsets is considered
+CLASSES = 10  # size classes of lists for each factor e
 FEW = 8  # a shingle of fewer sets is never common
 
 
@@ -345,7 +349,7 @@ def choose_boundary(costs: list[tuple[int, int, int]]) -> int:
 
 def _lists(sets: DataFrame, boundary: int) -> DataFrame:
     """Members of the lists: key, whether any two members are candidates (a list of small sets), sid,
-    n, at (place of the shingle in the set's order) and large."""
+    n, at (place of the shingle, or of the second of two, in the set's order) and large."""
     p = F.col("n") - F.ceil(F.col("n") * SIMILAR / 100).cast("int") + 1
     facts = ["sid", "n", (F.col("n") > boundary).alias("large")]
     single = sets.select(
@@ -364,13 +368,16 @@ def _lists(sets: DataFrame, boundary: int) -> DataFrame:
             F.sequence(F.lit(1), F.size("prefix") - 1),
             lambda i: F.transform(
                 F.slice("prefix", i + 1, F.size("prefix")),
-                lambda other: F.xxhash64(F.element_at("prefix", i), other),
+                lambda other, k: F.struct(
+                    F.xxhash64(F.element_at("prefix", i), other).alias("key"),
+                    (F.col("private") + i + k).cast("int").alias("at"),
+                ),
             ),
         )
     )
-    double = small.select(*facts, F.explode(pairs).alias("key"))
+    double = small.select(*facts, F.col("private"), F.explode(pairs).alias("pair"))
     return single.unionAll(
-        double.select("key", F.lit(True).alias("light"), "sid", "n", F.lit(0).alias("at"), "large")
+        double.select("pair.key", F.lit(True).alias("light"), "sid", "n", "pair.at", "large")
     )
 
 
@@ -388,8 +395,38 @@ def _may_link() -> Column:
     return sizes & (F.col("light") | (enough & (c("a", "large") | c("b", "large"))))
 
 
+def _paired(members: DataFrame, also: Column | None = None) -> DataFrame:
+    """The pairs (u, v) of members "a" and "b" of a list that may link and meet ``also``.
+
+    A list is the first that a pair of linked sets shares if the shingles before it are not shared,
+    so the overlap there is at most what comes from its shingles on, and that bounds the size of the
+    other set (``reach``). The larger member looks for the smaller, which is only there if its reach
+    goes beyond its own size; both go by classes of size, so members out of each other's reach do not
+    meet. Every linked pair is found in the first list it shares.
+    """
+    seen = F.when(F.col("light"), 2).otherwise(1)
+    most = seen + F.col("n") - F.col("at") - 1
+    members = members.withColumn("reach", F.floor(most * (100 + SIMILAR) / SIMILAR).cast("long") - F.col("n"))
+    least = F.ceil(F.col("n") * SIMILAR / 100)
+    furthest = F.least("n", "reach")
+    size_class = lambda n: F.floor(F.log(n.cast("double")) * CLASSES + 1e-6).cast("int")
+    # The larger of two is large if either is.
+    looking = members.where((furthest >= least) & (F.col("light") | F.col("large"))).withColumn(
+        "class", F.explode(F.sequence(size_class(least), size_class(furthest)))
+    )
+    found = members.where("reach >= n").withColumn("class", size_class(F.col("n")))
+    larger = (F.col("a.n") > F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.sid") > F.col("b.sid")))
+    near = (F.col("b.n") <= F.col("a.reach")) & (F.col("a.n") <= F.col("b.reach"))
+    pairs = looking.alias("a").join(found.alias("b"), ["key", "light", "class"])
+    return (
+        pairs.where(larger & near & _may_link() & (F.lit(True) if also is None else also))
+        .select(F.greatest("a.sid", "b.sid").alias("u"), F.least("a.sid", "b.sid").alias("v"))
+        .distinct()
+    )
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) that link."""
+    """The pairs (u, v) that link, with the sizes n_u and n_v and the overlap ``both``."""
     own = sets.select("sid", "n", "shared")
     u = own.toDF("u", "n_u", "shared_u")
     v = own.toDF("v", "n_v", "shared_v")
@@ -399,12 +436,12 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         .join(v, "v")
         .withColumn("both", both)
         .where(F.col("both") * (100 + SIMILAR) >= (F.col("n_u") + F.col("n_v")) * SIMILAR)
-        .select("u", "v")
+        .select("u", "v", "n_u", "n_v", "both")
     )
 
 
-def linked_sets(docs: DataFrame, shelf: Shelf) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, sid and text key of each row; sid and the component's root of linked sets)."""
+def _indexed(docs: DataFrame, shelf: Shelf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, n, sid and text key of each row; sets that share a shingle of their prefix; lists)."""
     with small_batches(docs.sparkSession):
         profiles = shelf.put(_profiles(docs), "profiles")
     rows = profiles.where("kind = 0").drop("kind")
@@ -431,7 +468,12 @@ def linked_sets(docs: DataFrame, shelf: Shelf) -> tuple[DataFrame, DataFrame]:
         .collect()  # a row for each size up to SMALL_LIMIT
     )
     boundary = choose_boundary([(r["size"], r.subsets, r.scan) for r in costs])
-    lists = _lists(sets, boundary)
+    return rows, sets, _lists(sets, boundary)
+
+
+def linked_sets(docs: DataFrame, shelf: Shelf) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, sid and text key of each row; sid and the component's root of linked sets)."""
+    rows, sets, lists = _indexed(docs, shelf)
     heads = (
         lists.groupBy("key", "light")
         .agg(F.count("*").alias("members"), F.min(F.struct("at", "n", "sid", "large")).alias("head"))
@@ -446,7 +488,7 @@ def linked_sets(docs: DataFrame, shelf: Shelf) -> tuple[DataFrame, DataFrame]:
         .select(F.greatest("a.sid", "b.sid").alias("u"), F.least("a.sid", "b.sid").alias("v"))
         .distinct()
     )
-    first = components(_verified(to_head, sets), shelf, "first")
+    first = components(_verified(to_head, sets).select("u", "v"), shelf, "first")
     placed = (
         lists.join(first, F.col("sid") == F.col("node"), "left")
         .withColumn("part", F.coalesce("root", "sid"))
@@ -513,6 +555,52 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     )
 
 
+def _all_links(docs: DataFrame, shelf: Shelf) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, sid of each row; all linked pairs of different sets)."""
+    rows, sets, lists = _indexed(docs, shelf)
+    return rows, _verified(_paired(lists), sets)
+
+
+def links(docs: DataFrame) -> DataFrame:
+    """All links between different sets: set_u, set_v (set_u > set_v), doc_u and doc_v (the least
+    doc_id of each set), n_u, n_v and n_both (the sizes and the overlap).
+
+    Equal sets are one class, which links to another class once; every candidate pair of classes is
+    verified, none is skipped because its sets are connected already. The count of the rows is the
+    number of links.
+    """
+    rows, found = _all_links(docs, Shelf(docs.sparkSession, "ngram_links"))
+    classes = rows.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("least"))
+    return (
+        found.join(classes.toDF("u", "doc_u"), "u")
+        .join(classes.toDF("v", "doc_v"), "v")
+        .select(
+            F.col("u").alias("set_u"),
+            F.col("v").alias("set_v"),
+            "doc_u",
+            "doc_v",
+            F.col("n_u").cast("long").alias("n_u"),
+            F.col("n_v").cast("long").alias("n_v"),
+            F.col("both").cast("long").alias("n_both"),
+        )
+    )
+
+
+def link_counts(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, set_id and n_links (links of the row's set to other sets) of each row."""
+    shelf = Shelf(docs.sparkSession, "ngram_link_counts")
+    rows, found = _all_links(docs, shelf)
+    found = shelf.put(found.select("u", "v"), "links", slim=True)
+    ends = found.select(F.col("u").alias("own")).unionAll(found.select("v"))
+    counts = ends.groupBy("own").agg(F.count("*").alias("n_links"))
+    return rows.join(counts, (F.col("sid") == F.col("own")) & (F.col("n") > 0), "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.col("sid").alias("set_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    )
+
+
 ORACLE = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(

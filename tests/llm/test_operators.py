@@ -199,6 +199,49 @@ def test_join_against_all_pairs(spark, monkeypatch, few, boundary):
     assert joined(spark, rows) == brute_components(rows)
 
 
+def brute_links(rows):
+    """{frozenset of two sets: overlap} of all linked pairs of different sets."""
+    sets = set()
+    for _, text in rows:
+        w = WORDS.findall((text or "").translate(UPPER))
+        if w:
+            sets.add(frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))))
+    sets = list(sets)
+    return sorted(
+        (*sorted((len(a), len(b))), len(a & b))
+        for i, a in enumerate(sets)
+        for b in sets[:i]
+        if 100 * len(a & b) >= 80 * len(a | b)
+    )
+
+
+@pytest.mark.parametrize(("few", "boundary"), [(8, None), (10**9, 0), (2, 128)])
+def test_all_links_are_found(spark, monkeypatch, few, boundary):
+    """Also those between sets that are connected already; equal sets link as one."""
+    monkeypatch.setattr(ngram_join, "FEW", few)
+    if boundary is not None:
+        monkeypatch.setattr(ngram_join, "choose_boundary", lambda costs: boundary)
+    dice = random.Random(few % 89)
+    word = lambda: f"w{dice.randrange(4000)}"
+    rows = [(a, b) for a, b, *_ in hard_rows()]
+    for _ in range(10):
+        base = [word() for _ in range(dice.choice([5, 9, 16, 30, 60, 150]))]
+        for _ in range(7):
+            text = list(base)
+            for _ in range(dice.randrange(3)):
+                text[dice.randrange(len(text))] = word()
+            rows.append((len(rows) * 3, " ".join(text[: len(text) - dice.randrange(3)])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = ngram_join.links(df).collect()
+    want = brute_links(rows)
+    assert sorted((*sorted((r.n_u, r.n_v)), r.n_both) for r in found) == want
+    assert len(want) > 30 and all(r.set_u > r.set_v for r in found)
+    ends = [x for r in found for x in (r.set_u, r.set_v)]
+    counted = ngram_join.link_counts(df).collect()
+    assert len(counted) == len(rows)
+    assert all(r.n_links == (ends.count(r.set_id) if r.n_shingles else 0) for r in counted)
+
+
 def test_components_of_chains_and_stars(spark):
     dice = random.Random(4)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(30)] + [(300, 299)]
