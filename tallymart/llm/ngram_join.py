@@ -20,8 +20,10 @@ for which fewest rarer shingles come first; only members that are still in diffe
 then paired. A link that is skipped joins two documents that are connected already.
 
 *Links.* ``links`` and ``link_counts`` skip none: all candidate pairs of different sets are verified.
-Size and place in the order bound which members of a list are paired (``_paired``), before the pairs
-are verified on the sets.
+
+*Pairing.* Wherever members of a list are paired, size and place in the order bound who meets whom
+(``_paired``), before the pairs are verified on the sets. Rows of one template that are not similar
+enough share a list, but are out of each other's reach there and never meet.
 
 *Work.* Shingles are hashed to 64 bits in numpy. Counting them moves 6 bytes a shingle: the first
 bits of the hash name the bucket whose task counts it, the next 48 are sent. A false match needs two
@@ -502,14 +504,7 @@ def linked_sets(docs: DataFrame, shelf: Shelf) -> tuple[DataFrame, DataFrame]:
         .select("key", "light")
     )
     left = placed.join(mixed, ["key", "light"])
-    across = (
-        left.alias("a")
-        .join(left.alias("b"), ["key", "light"])
-        .where(F.col("a.part") < F.col("b.part"))
-        .where(_may_link())
-        .select(F.greatest("a.sid", "b.sid").alias("u"), F.least("a.sid", "b.sid").alias("v"))
-        .distinct()
-    )
+    across = _paired(left, F.col("a.part") != F.col("b.part"))
     more = _verified(across, sets)
     part = first.select(F.col("node").alias("x"), F.col("root").alias("y"))
     lifted = (

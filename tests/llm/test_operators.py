@@ -242,6 +242,18 @@ def test_all_links_are_found(spark, monkeypatch, few, boundary):
     assert all(r.n_links == (ends.count(r.set_id) if r.n_shingles else 0) for r in counted)
 
 
+def test_rows_of_a_template_are_not_paired(spark, monkeypatch):
+    """12 shingles, 10 of them shared by all: similarity 10 / 14, so no two can link."""
+    paired, verified = [], ngram_join._verified
+    monkeypatch.setattr(
+        ngram_join, "_verified", lambda pairs, sets: paired.append(pairs.count()) or verified(pairs, sets)
+    )
+    template = " ".join(f"t{i}" for i in range(14))
+    rows = [(i, f"{template} a{i} b{i}") for i in range(60)]
+    assert joined(spark, rows) == brute_components(rows)
+    assert paired[1] == 0
+
+
 def test_components_of_chains_and_stars(spark):
     dice = random.Random(4)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(30)] + [(300, 299)]
