@@ -3,8 +3,9 @@
 A text's bytes are read in segments of ``SEGMENT`` positions, forwards and backwards, by two gated
 recurrent layers. Both states at a position give it a probability for each language, and a text's
 probabilities are the mean over all its positions. Numpy does both the reading and the training
-(back-propagation through time, Adam), the latter on a bounded sample: ``ROWS`` texts a language and
-at most ``SEGMENTS`` segments of a text, spread over the whole of it.
+(back-propagation through time, Adam), the latter on a bounded sample: ``rows_per_language`` texts a
+language and, of a text, at most ``segments_per_text`` segments drawn from the whole of it (None: all).
+Judging reads whole texts.
 
 Gates are (1 + tanh(a)) / 2, which is the logistic curve of 2a.
 """
@@ -162,7 +163,11 @@ def _cut(raw: np.ndarray, start: np.ndarray, length: np.ndarray, size: int):
 
 
 def train(
-    rows: list[tuple[str, str]], hidden: int = HIDDEN, epochs: int = 4, step: float = 0.02
+    rows: list[tuple[str, str]],
+    hidden: int = HIDDEN,
+    epochs: int = 4,
+    step: float = 0.02,
+    segments_per_text: int | None = SEGMENTS,
 ) -> Network:
     """Languages are the labels met, sorted; a single one needs no training."""
     languages = sorted({label for _, label in rows})
@@ -176,8 +181,8 @@ def train(
         if not len(raw):
             continue
         start, length, _ = segments(raw, np.array([0, len(raw)]))
-        if len(start) > SEGMENTS:
-            some = np.sort(rng.choice(len(start), SEGMENTS, replace=False))
+        if segments_per_text is not None and len(start) > segments_per_text:
+            some = np.sort(rng.choice(len(start), segments_per_text, replace=False))
             start, length = start[some], length[some]
         x, mask = _cut(raw, start, length, SEGMENT)
         xs.append(x)
@@ -250,23 +255,34 @@ def predict(net: Network, text: Column | str) -> Column:
     return predicted.asNondeterministic()(text)
 
 
-def train_on(docs: DataFrame, may_learn: Column, rows_per_language: int = ROWS) -> Network:
+def train_on(
+    docs: DataFrame,
+    may_learn: Column,
+    rows_per_language: int = ROWS,
+    segments_per_text: int | None = SEGMENTS,
+) -> Network:
     """Train on text and lang of documents that meet ``may_learn`` (a condition on doc_id)."""
     rows, _ = sample(docs, docs, "lang", may_learn, rows_per_language)
-    return train(rows)
+    return train(rows, segments_per_text=segments_per_text)
 
 
 def languages(
-    docs: DataFrame, folds: int = 4, held: int = 2, rows_per_language: int = ROWS
+    docs: DataFrame,
+    folds: int = 4,
+    held: int = 2,
+    rows_per_language: int = ROWS,
+    segments_per_text: int | None = SEGMENTS,
 ) -> DataFrame:
     """doc_id, held_out, lang_pred and score of each row.
 
-    Documents whose crc32(doc_id as text) modulo ``folds`` is ``held`` are not learnt from. Each row
+    Documents whose crc32(doc_id as text) modulo ``folds`` is ``held`` are not learnt from. Of each
+    text learnt from, at most ``segments_per_text`` segments of 128 bytes are used (None: all). Each row
     is judged on its whole text alone: repeated rows are judged alike, texts that are null, empty or
     without a letter are "und" with score 0 (as is everything when no lang is given at all), and an
     empty table gives no rows.
     """
-    net = train_on(docs, remainder("doc_id", folds) != held, rows_per_language)
+    may_learn = remainder("doc_id", folds) != held
+    net = train_on(docs, may_learn, rows_per_language, segments_per_text)
     judged = pick(docs, "doc_id", "text").select(
         "doc_id",
         (remainder("doc_id", folds) == held).alias("held_out"),

@@ -198,6 +198,15 @@ def test_language_is_learnt_and_positions_are_all_read():
     assert np.allclose(alone[0], p[0], atol=1e-4)
 
 
+@pytest.mark.parametrize(("bound", "want"), [(8, 8), (3, 3), (None, 20)])
+def test_language_learns_from_as_many_segments_as_asked(monkeypatch, bound, want):
+    seen, cut = [], language._cut
+    monkeypatch.setattr(language, "_cut", lambda raw, start, *a: seen.append(len(start)) or cut(raw, start, *a))
+    text = "a bc " * (20 * language.SEGMENT // 5)
+    language.train([(text, "x"), (text.upper(), "y")], epochs=1, segments_per_text=bound)
+    assert seen == [want, want]
+
+
 def test_machine_learns_a_pair_that_single_terms_miss():
     rng = random.Random(0)
 
