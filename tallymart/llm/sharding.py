@@ -6,7 +6,8 @@ order has the mixture of the whole, so cutting it into equal stretches gives sha
 
 Both ranks are counted in two steps, so that a source with most rows is no single task: rows fall
 into buckets by the value they are sorted by, a running sum over the buckets' counts gives each
-bucket its base, and rows are numbered within their bucket.
+bucket its base, and rows are numbered within their bucket. A fractional rank that many rows have, as
+0.5 where most sources have one row, is spread over buckets by the hash (``_bands``).
 """
 
 from __future__ import annotations
@@ -44,6 +45,39 @@ def _numbered(
     )
 
 
+def _bands(ranked: DataFrame, rows: DataFrame, bands: int) -> tuple[DataFrame, Column]:
+    """``ranked`` and the bucket of a row by fraction, then _hash.
+
+    A fraction is hot if sources of at most 2 * ``bands`` rows give it a share of 1 / (2 * ``bands``)
+    of all rows; the larger sources are too few to add as much again. Hot fractions, 2 * ``bands`` at
+    most, have buckets of their own by ranges of _hash.
+    """
+    total = rows.count()
+    own = rows.groupBy("source").agg(F.count("*").alias("n")).where(F.col("n") <= 2 * bands)
+    places = own.groupBy("n").agg(F.count("*").alias("sources")).select(
+        "n", "sources", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("k")
+    )
+    hot = (
+        places.groupBy(((F.col("k") + 0.5) / F.col("n")).alias("at"))
+        .agg(F.sum("sources").alias("held"))
+        .where(F.col("held") * (2 * bands) >= total)
+        .withColumn("parts", F.ceil(F.col("held") * bands / F.lit(max(total, 1))))
+        .groupBy(F.floor(F.col("at") * bands).alias("_near"))
+        .agg(F.collect_list(F.struct("at", "parts")).alias("_hot"))
+    )
+    band = F.floor(F.col("fraction") * bands)
+    none = F.col("_hot").isNull()
+    same = F.filter("_hot", lambda x: x["at"] == F.col("fraction"))
+    below = F.size(F.filter("_hot", lambda x: x["at"] < F.col("fraction")))
+    part = F.floor(F.col("_hash") * F.get(same, F.lit(0))["parts"] / HASH_SPACE)
+    bucket = F.struct(
+        band.alias("band"),
+        F.when(none, 0).otherwise(2 * below + F.size(same)).alias("cell"),
+        F.coalesce(part, F.lit(0)).alias("part"),
+    )
+    return ranked.join(F.broadcast(hot), band == F.col("_near"), "left"), bucket
+
+
 def shards(
     docs: DataFrame, n_shards: int = 16, seed: int = 17, buckets: int | None = None
 ) -> DataFrame:
@@ -80,10 +114,11 @@ def shards(
     ranked = ranked.withColumn(
         "fraction", (F.col("source_rank") + 0.5) / F.col("source_rank_of")
     )
+    banded, bucket = _bands(ranked, rows, 8 * buckets)
     placed = _numbered(
-        ranked.withColumn("_all", F.lit(0)),
+        banded.withColumn("_all", F.lit(0)),
         ["_all"],
-        F.floor(F.col("fraction") * (8 * buckets)),
+        bucket,
         ["fraction", "_hash", "source", *ties],
         "_place",
     )

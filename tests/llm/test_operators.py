@@ -269,6 +269,29 @@ def test_components_of_chains_and_stars(spark):
 # Sharding
 
 
+def test_small_sources_are_spread_over_buckets(spark, monkeypatch):
+    """Rows of equal fraction share no bucket, and the order is that of one plain sort."""
+    largest, numbered = [], sharding._numbered
+
+    def spy(df, keys, bucket, *rest):
+        largest.append(df.groupBy(bucket.alias("b")).count().agg(F.max("count")).first()[0])
+        return numbered(df, keys, bucket, *rest)
+
+    monkeypatch.setattr(sharding, "_numbered", spy)
+    sources = [f"a{i}" for i in range(2000)] + [f"b{i // 2}" for i in range(800)] + ["c"] * 300
+    rows = [(i, f"text {i}", s) for i, s in enumerate(sources)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = sharding.shards(df, buckets=2).withColumn(
+        "h", F.pmod(F.xxhash64(F.lit(17), "doc_id", "source", "text_crc32", "size"), F.lit(1 << 32))
+    )
+    order = sorted(found.collect(), key=lambda r: (r.fraction, r.h, r.source, r.doc_id))
+    n = len(rows)
+    assert len(order) == n
+    for p, r in enumerate(order):
+        assert r.shard == p * 16 // n and r.slot == p - -(-r.shard * n // 16)
+    assert largest[1] < n / 8
+
+
 def test_shards_match_the_mixture(spark):
     rows = [(i, f"text {i}", None, "hot" if i % 3 else f"s{i % 5}", 0) for i in range(1003)]
     df = spark.createDataFrame(rows, SCHEMA)
