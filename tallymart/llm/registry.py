@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallymart.llm import (
     decontamination,
+    embedding_dedup,
     language,
     ngram_join,
     packing,
     quality_model,
     quality_rules,
     sharding,
+    spelling,
     token_counts,
     token_files,
     toxicity,
+    whitening,
 )
 from tallymart.llm.frames import Shelf, read_table
 
@@ -72,6 +75,18 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read_table(spark, folder, "documents"))
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling(read_table(spark, folder, "documents"))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, folder, "embeddings"))
+
+
+def op13_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.embedding_dedup(read_table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -84,6 +99,9 @@ def queries() -> dict[str, Query]:
         "op8_language": op8_language,
         "op9_token_counts": op9_token_counts,
         "op10_packing": op10_packing,
+        "op11_spelling": op11_spelling,
+        "op12_whitening": op12_whitening,
+        "op13_embedding_dedup": op13_embedding_dedup,
     }
 
 

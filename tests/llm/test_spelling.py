@@ -1,0 +1,105 @@
+"""Spelling variants against all pairs of words."""
+
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from tallymart.llm import spelling
+
+SCHEMA = "doc_id long, text string"
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) == len(short) + 1 and any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def brute(rows):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+    near = {w: [x for x in words if one_edit(w, x)] for w in words}
+    best = {w: min(near[w], key=lambda x: (-words[x], x), default=None) for w in words}
+    form = {w: b if b and words[b] >= 2 * words[w] else None for w, b in best.items()}
+    out = []
+    for w, n in words.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, n, len(near[w]), words[form[w]] if form[w] else None))
+    return sorted(out)
+
+
+def invented(seed):
+    """Few letters, so that many words are near each other and runs of one letter are common."""
+    dice = random.Random(seed)
+    words = ["".join(dice.choice("abAÀÿ×") for _ in range(dice.randrange(3, 10))) for _ in range(400)]
+    rows = []
+    for i in range(300):
+        chosen = dice.choices(words, weights=[1 / (k + 1) for k in range(400)], k=30)
+        rows.append((i - 5, dice.choice([" ", "-", "Ā", "1"]).join(chosen)))
+    long = "ab" * 3000
+    rows += [(900 + i, f"{long} {long[:-1]} {long[:99]}b{long[99:]} {long[:4000]}") for i in range(4)]
+    return rows + [(None, "aaaaab aaaaab"), (None, None), (7, ""), (8, " \n 12"), (8, " \n 12")]
+
+
+@pytest.mark.parametrize("sizes", [{}, {"slice_words": 40, "copy_words": 25, "wide": 3}])
+def test_words_against_all_pairs(spark, sizes):
+    rows = invented(len(sizes))
+    got = spelling.spelling(spark.createDataFrame(rows, SCHEMA), **sizes)
+    expected = brute(rows)
+    assert sorted(tuple(r) for r in got.collect()) == expected
+    assert sum(r[4] for r in expected) > 500 and any(r[1] and r[2] != r[1] for r in expected)
+
+
+def test_tables_without_words(spark):
+    for rows in ([], [(1, None), (2, ""), (3, "one two three 12345")]):
+        got = spelling.spelling(spark.createDataFrame(rows, SCHEMA))
+        assert got.collect() == []
+        assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+
+
+def test_clashing_columns_are_not_read(spark):
+    rows = [(1, "abcde abcde abcde abcdf", "x", 5, 1)] * 3
+    clashing = "doc_id long, text string, TEXT string, word int, `a.b` int"
+    got = spelling.spelling(spark.createDataFrame(rows, clashing)).orderBy("word").collect()
+    assert [tuple(r) for r in got] == brute([row[:2] for row in rows])
+
+
+def test_spans_cut_no_run(monkeypatch):
+    monkeypatch.setattr(spelling, "SPAN", 7)
+    text = "abcdefghijk lm nopéqrstu v wxyz" * 3
+    parts = list(spelling.spans(text))
+    assert "".join(parts) == text and len(parts) > 5
+    found = [run for part in parts for run in spelling.LETTERS.findall(part)]
+    assert found == spelling.LETTERS.findall(text)
+
+
+def test_slices_know_what_lies_outside():
+    """Edges of slices together are those of one slice."""
+    dice = random.Random(4)
+    words = sorted({"".join(dice.choice("ab") for _ in range(dice.randrange(1, 9))) for _ in range(200)})
+    whole = sorted(spelling.edges(words, 0, [], [], len(words), 10, 4))
+    for size in (1, 7, 60):
+        slices = [words[i : i + size] for i in range(0, len(words), size)]
+        facts = [(s[0], s[-1], len(s), spelling.backward(s), spelling.forward(s)) for s in slices]
+        parts = [
+            edge
+            for some, places in zip(slices, spelling.outside(facts), strict=True)
+            for edge in spelling.edges(some, *places, len(words), 10, 4)
+        ]
+        assert sorted(parts) == whole
+    assert {node + label for _, _, node, label, _, _ in whole} >= set(words)
