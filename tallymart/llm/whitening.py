@@ -11,7 +11,6 @@ from zero.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -178,15 +177,8 @@ def jacobi_davidson(
     )
 
 
-def _whole_numbers(values: np.ndarray) -> np.ndarray:
-    x = np.floor(STEP * values.astype(np.float64))
-    if np.abs(x).max(initial=0.0) > LARGEST:
-        raise OverflowError(f"An entry is beyond {LARGEST // STEP} in size")
-    return (x.astype(np.int64) + SHIFT).astype("<i4")
-
-
 def whole_vectors(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, x as little-endian 32-bit numbers) of the rows whose vector is whole and finite."""
+    """(vec_id, x as little-endian 32-bit numbers) of the rows whose vector is whole and in range."""
     narrow = dict(pick(embeddings, "embedding").dtypes)["embedding"] == "array<float>"
     kind = pa.large_list(pa.float32() if narrow else pa.float64())
 
@@ -197,10 +189,10 @@ def whole_vectors(embeddings: DataFrame) -> DataFrame:
                 values = vector.values if vector.is_valid else None
                 if values is None or values.null_count or not len(values):
                     continue
-                values = values.to_numpy()
-                if np.isfinite(values).all():
+                x = np.floor(STEP * values.to_numpy().astype(np.float64))
+                if np.abs(x).max() <= LARGEST:  # so not where an entry is not finite
                     ids.append(vec_id)
-                    out.append(_whole_numbers(values).tobytes())
+                    out.append((x.astype(np.int64) + SHIFT).astype("<i4").tobytes())
             columns = [pa.array(ids, pa.int64()), pa.array(out, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["vec_id", "x"])
 
@@ -325,8 +317,8 @@ def whiten(embeddings: DataFrame, components: int = COMPONENTS) -> DataFrame:
     """vec_id, component, n, deviation, whitened, explained and identity_error of every whole vector.
 
     Rows whose vector is null, empty or holds null or non-finite entries give nothing, nor do rows of
-    another dimension than most rows have. Entries beyond 33 million in size raise an OverflowError in
-    the task. A row of any vec_id, null included, counts; repeated rows are projected each, but fitted
+    another dimension than most rows have, or with an entry of over 33 million in size, whose x has no
+    place in 32 bits. A row of any vec_id, null included, counts; repeated rows are projected each, but fitted
     once. Components whose eigenvalue is zero up to rounding can't be scaled and are left out, so a table
     of one distinct vector gives no rows, as an empty one does. ``deviation`` is null beyond 64 bits.
     Other columns are not read.

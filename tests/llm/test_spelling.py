@@ -46,10 +46,10 @@ def brute(rows):
 def invented(seed):
     """Few letters, so that many words are near each other and runs of one letter are common."""
     dice = random.Random(seed)
-    words = ["".join(dice.choice("abAÀÿ×") for _ in range(dice.randrange(3, 10))) for _ in range(400)]
+    words = ["".join(dice.choice("abA×") for _ in range(dice.randrange(4, 8))) for _ in range(400)]
     rows = []
     for i in range(300):
-        chosen = dice.choices(words, weights=[1 / (k + 1) for k in range(400)], k=30)
+        chosen = dice.choices(words, weights=[1 / (k + 1) for k in range(400)], k=60)
         rows.append((i - 5, dice.choice([" ", "-", "Ā", "1"]).join(chosen)))
     long = "ab" * 3000
     rows += [(900 + i, f"{long} {long[:-1]} {long[:99]}b{long[99:]} {long[:4000]}") for i in range(4)]
