@@ -251,13 +251,14 @@ def trie(words: DataFrame, total: int, shelf: Shelf, slice_words: int, copy_word
         return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     found = shelf.put(ordered.groupBy("slice").applyInArrow(branches, EDGES), "edges")
-    child = F.when(F.col("out") > 0, F.concat("node", "label"))
     follow = (
         found.where("node = page")
         .groupBy(F.col("page").alias("child"))
         .agg(F.concat_ws("", F.collect_list(F.substring("label", 1, 1))).alias("follow"))  # bounded: letters
     )
-    return found.withColumn("child", child).join(follow, "child", "left").drop("child")
+    inner = found.where("out = 0").withColumn("follow", F.lit(""))
+    leading = found.where("out > 0").withColumn("child", F.concat("node", "label"))
+    return inner.unionByName(leading.join(follow, "child", "left").drop("child"))
 
 
 class Pages:
@@ -369,7 +370,7 @@ def _walk(states: pa.Table, edge_rows: pa.Table) -> pa.Table:
 def near_words(words: DataFrame, shelf: Shelf, slice_words: int, copy_words: int, wide: int) -> DataFrame:
     """(word, near) of each pair of words one edit apart, in one of its two orders."""
     total = words.count()
-    buckets = 1 + total // copy_words
+    buckets = 1 + 4 * total // copy_words
     bucket = F.pmod(F.hash("page", "copy"), F.lit(buckets)).alias("bucket")
     pages = trie(words, total, shelf, slice_words, copy_words, wide)
     pages = pages.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
