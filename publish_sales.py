@@ -5,7 +5,13 @@ from __future__ import annotations
 import argparse
 import logging
 
-from tallymart.fixed_values import DATE_FORMATS, RATE_TYPE, TIMESTAMP_FORMATS
+from tallymart.fixed_values import (
+    CATEGORY_PARTITIONS,
+    CUSTOMER_PARTITIONS,
+    DATE_FORMATS,
+    RATE_TYPE,
+    TIMESTAMP_FORMATS,
+)
 from tallymart.plans.daily_job import run_daily_job, verify_outputs
 from tallymart.session import make_session
 
@@ -17,6 +23,14 @@ def main() -> None:
     parser.add_argument("--id-type", default="bigint")
     parser.add_argument("--customer-id-type", help="cast customer ids; left as they are otherwise")
     parser.add_argument("--rate-type", default=RATE_TYPE)
+    for name, columns in (("category", CATEGORY_PARTITIONS), ("customer", CUSTOMER_PARTITIONS)):
+        parser.add_argument(
+            f"--{name}-partitions",
+            nargs="*",
+            default=list(columns),
+            help="columns among the table's keys; to be the same in every run",
+        )
+    parser.add_argument("--check-all", action="store_true", help="check every day, not the as-of day")
     parser.add_argument("--date-format", action="append", help="instead of the default formats")
     parser.add_argument("--timestamp-format", action="append", help="instead of the default formats")
     arguments = parser.parse_args()
@@ -35,8 +49,10 @@ def main() -> None:
         arguments.date_format or DATE_FORMATS,
         arguments.timestamp_format or TIMESTAMP_FORMATS,
         arguments.customer_id_type,
+        arguments.category_partitions,
+        arguments.customer_partitions,
     )
-    verify_outputs(spark, arguments.output)
+    verify_outputs(spark, arguments.output, None if arguments.check_all else arguments.as_of)
 
 
 if __name__ == "__main__":

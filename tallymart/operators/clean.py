@@ -119,6 +119,11 @@ def loss_columns() -> list[Column]:
     ]
 
 
+def malformed_column(name: str) -> Column:
+    """Aggregate for the lines that ``read_csv`` marked in column ``name``."""
+    return F.count_if(F.col(name).isNotNull()).alias("malformed")
+
+
 def add_order_date(sales: DataFrame) -> DataFrame:
     return sales.withColumn("ORDER_DATE", F.to_date("ORDER_TIMESTAMP"))
 

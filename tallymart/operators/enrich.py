@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.functions import local_revenue, usd_revenue
+from tallymart.functions import all_present, local_revenue, usd_revenue
 
 
 def join_products(sales: DataFrame, products: DataFrame) -> DataFrame:
@@ -52,6 +52,44 @@ def enrich_sales(sales: DataFrame, products: DataFrame, rates: DataFrame) -> Dat
     return add_revenue(wanted)
 
 
+def repeated_keys(products: DataFrame, rates: DataFrame) -> DataFrame:
+    """One row: product ids and days with country (of a rate) that are listed more than once."""
+
+    def repeats(df: DataFrame, kind: str, *keys: str) -> DataFrame:
+        counted = df.where(all_present(keys)).groupBy(*keys).count().where("count > 1")
+        return counted.select(F.lit(kind).alias("kind"))
+
+    found = repeats(products, "product", "PRODUCT_ID").unionAll(repeats(rates, "rate", "DATE", "COUNTRY"))
+    return found.agg(
+        F.count_if(F.col("kind") == "product").alias("products"),
+        F.count_if(F.col("kind") == "rate").alias("rates"),
+    )
+
+
+def gain_audit(sales: DataFrame, products: DataFrame, rates: DataFrame) -> DataFrame:
+    """One row: what repeated products and rates add to the priced lines, and so to the revenue.
+
+    ``matched``: lines with a product and a rate; ``priced``: lines after the joins; ``gained``: the
+    difference; ``of_repeated_products`` and ``of_repeated_rates``: matched lines whose key is listed
+    more than once. Lists are counted by key first, so the joins multiply nothing.
+    """
+    listed = products.groupBy(F.col("PRODUCT_ID").alias("known")).agg(F.count("*").alias("listings"))
+    quoted = rates.groupBy(F.col("DATE").alias("day"), F.col("COUNTRY").alias("place")).agg(
+        F.count("*").alias("quotes")
+    )
+    matched = sales.join(listed, F.col("PRODUCT_ID") == F.col("known")).join(
+        quoted, (F.col("ORDER_DATE") == F.col("day")) & (F.col("COUNTRY") == F.col("place"))
+    )
+    priced = F.coalesce(F.sum(F.col("listings") * F.col("quotes")), F.lit(0))
+    return matched.agg(
+        F.count(F.lit(1)).alias("matched"),
+        F.count_if(F.col("listings") > 1).alias("of_repeated_products"),
+        F.count_if(F.col("quotes") > 1).alias("of_repeated_rates"),
+        priced.alias("priced"),
+        (priced - F.count(F.lit(1))).alias("gained"),
+    )
+
+
 def loss_audit(sales: DataFrame, products: DataFrame, rates: DataFrame) -> DataFrame:
     """One row: the prepared lines, and how many of them the joins lose, by the first reason.
 

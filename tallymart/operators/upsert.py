@@ -19,15 +19,16 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date, datetime
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.functions import all_present
 from tallymart.operators.quality import moment
 from tallymart.schemas import require_columns
 from tallymart.sources.published import (
+    file_system,
     find_published,
     path_exists,
     read_published,
@@ -37,8 +38,10 @@ from tallymart.sources.published import (
 )
 
 CREATING, REWRITING, APPENDING, NOTHING = "creating", "rewriting", "appending", "nothing"
-# Partitions of one merge that are named one by one in the scan's filter.
-NAMED_PARTITIONS = 1000
+# Partitions of one merge that are named in the scan's filter; each is a short row on the driver.
+NAMED_PARTITIONS = 10_000
+# File systems on which moving a folder touches no data. Elsewhere staged rows are copied.
+RENAMING = ("file", "hdfs", "viewfs", "abfs", "abfss")
 
 
 def increment(df: DataFrame, inc_col: str, as_of: date | datetime | str) -> DataFrame:
@@ -134,28 +137,105 @@ def _interrupted(spark: SparkSession, path: str) -> tuple[str, str]:
 def is_loaded(spark: SparkSession, base: str, table: str) -> bool:
     """True when the first load is complete, so that only the as-of day matters from now on."""
     path = table_path(base, table)
-    return path_exists(spark, path) and _interrupted(spark, path)[0] != CREATING
+    step = _interrupted(spark, path)[0]
+    return step == REWRITING or (path_exists(spark, path) and step != CREATING)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _named(value: str | None, kind: str) -> str:
+    """SQL of one partition value, given as text."""
+    if value is None:
+        return f"CAST(NULL AS {kind})"
+    return "CAST('" + value.replace("\\", "\\\\").replace("'", "\\'") + f"' AS {kind})"
+
+
+def in_partitions(values: Sequence[Sequence[str | None]], kinds: dict[str, str]) -> Column:
+    """Rows whose partition columns (``kinds``: name to type) hold one of the rows of ``values``.
+
+    One flat list of values, whatever their number, so the predicate is two levels deep; as it is on
+    partition columns alone, the scan evaluates it on the folders. In a list of several columns NULL
+    equals NULL; for one column it is asked for on its own.
+    """
+    names = list(kinds)
+    if len(names) == 1:
+        some = [_named(row[0], kinds[names[0]]) for row in values if row[0] is not None]
+        listed = F.expr(f"{_quoted(names[0])} IN ({', '.join(some)})") if some else F.lit(False)
+        found = F.coalesce(listed, F.lit(False))
+        return found | F.col(_quoted(names[0])).isNull() if len(some) < len(values) else found
+    rows = ", ".join(
+        "struct(" + ", ".join(_named(v, kinds[p]) for p, v in zip(names, row, strict=True)) + ")"
+        for row in values
+    )
+    return F.expr(f"struct({', '.join(map(_quoted, names))}) IN ({rows})") if values else F.lit(False)
 
 
 def touched_rows(target: DataFrame, source: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Target rows of the partitions that ``source`` writes to.
 
-    The partitions are named in the filter of the scan, which then lists and reads those folders
-    only, however many rows ``source`` has. Beyond NAMED_PARTITIONS they are joined instead.
+    Up to NAMED_PARTITIONS they are named in the filter of the scan, which then lists and reads those
+    folders only, however many rows ``source`` has. Beyond that they are joined, and the scan is
+    still pruned by each column that has few enough values.
     """
     if not partitions:
         return target
-    named = source.select(*partitions).distinct()
-    values = named.limit(NAMED_PARTITIONS + 1).collect()
-    if len(values) > NAMED_PARTITIONS:
-        same = reduce(and_, (target[p].eqNullSafe(named[p]) for p in partitions))
-        return target.join(named, same, "left_semi")
-    kinds = {p: target.schema[p].dataType for p in partitions}
-    chosen = (
-        reduce(and_, (F.col(p).eqNullSafe(F.lit(row[p]).cast(kinds[p])) for p in partitions))
-        for row in values
+    kinds = {p: target.schema[p].dataType.simpleString() for p in partitions}
+    texts = [F.col(_quoted(p)).cast(kinds[p]).cast("string").alias(p) for p in partitions]
+    named = source.select(*map(_quoted, partitions)).distinct()
+    values = named.select(*texts).limit(NAMED_PARTITIONS + 1).collect()
+    if len(values) <= NAMED_PARTITIONS:
+        return target.where(in_partitions(values, kinds))
+    for p in partitions:
+        own = named.select(F.col(_quoted(p)).cast(kinds[p]).cast("string")).distinct()
+        some = own.limit(NAMED_PARTITIONS + 1).collect()
+        if len(some) <= NAMED_PARTITIONS:
+            target = target.where(in_partitions(some, {p: kinds[p]}))
+    same = reduce(and_, (target[p].eqNullSafe(named[p]) for p in partitions))
+    return target.join(named, same, "left_semi")
+
+
+def late_rows(
+    df: DataFrame,
+    base: str,
+    table: str,
+    keys: Sequence[str],
+    inc_col: str,
+    as_of: date | datetime | str,
+    partitions: Sequence[str] | None = None,
+) -> DataFrame:
+    """One row: the rows of ``df`` of days before the as-of day, and how many of them the published
+    table lacks (``missing``: no such key) or holds with other values (``differing``).
+
+    A run publishes its own day only, so these stay unpublished; this tells how many there are and
+    publishes nothing. The table is read in the partitions these rows lie in. A key with a NULL is
+    never in the table. All rows are missing where there is no table.
+    """
+    spark, keys = df.sparkSession, list(keys)
+    require_columns(df.columns, [*keys, inc_col])
+    kind = dict(df.dtypes)[inc_col]
+    late = df.where(F.col(inc_col) < moment(as_of, kind))
+    path = table_path(base, table)
+    stored = find_published(spark, path, df.schema)
+    if stored is None:
+        stored = df.limit(0)
+    stored = touched_rows(stored.where(F.col(inc_col) < moment(as_of, kind)), late, list(partitions or []))
+    values = [name for name in df.columns if name not in keys]
+    held = stored.select(
+        *(F.col(_quoted(name)).alias(f"key_{i}") for i, name in enumerate(keys)),
+        F.struct(*map(_quoted, values), F.lit(True).alias("_there")).alias("_stored"),
+    )
+    same_key = reduce(and_, (F.col(_quoted(name)) == F.col(f"key_{i}") for i, name in enumerate(keys)))
+    there = F.col("_stored._there").isNotNull()
+    as_stored = reduce(
+        and_, (F.col(_quoted(v)).eqNullSafe(F.col(f"_stored.{_quoted(v)}")) for v in values), F.lit(True)
+    )
+    return late.join(held, same_key, "left").agg(
+        F.count(F.lit(1)).alias("late"),
+        F.count_if(~there).alias("missing"),
+        F.count_if(there & ~as_stored).alias("differing"),
     )
-    return target.where(reduce(or_, chosen, F.lit(False)))
 
 
 def publish(
@@ -182,15 +262,15 @@ def publish(
 
     sort_by = "" if inc_col in partitions else inc_col
     step, noted_as_of = _interrupted(spark, path)
+    if step == REWRITING:  # the table may be gone until its staged rows are moved in
+        rewrite(spark, path, partitions, df, sort_by)
     if step == CREATING or not path_exists(spark, path):
         with _noted(spark, path, CREATING):
             columns = spark.range(1).select(F.lit(df.schema.json()).alias("columns"))
             columns.coalesce(1).write.mode("overwrite").parquet(schema_note(path))
             _write(df, path, partitions, "overwrite", replace="static")
         return "created"
-    if step == REWRITING:
-        rewrite(spark, path, partitions, df, sort_by)
-    elif step == APPENDING:
+    if step == APPENDING:
         complete_append(spark, path, partitions, df, inc_col, noted_as_of)
     target = find_published(spark, path, df.schema)
     require_same_columns(target, df, partitions)
@@ -222,7 +302,7 @@ def publish(
         merged = history.unionByName(merge_rows(day, source, keys))
     else:
         merged = merge_rows(day, source, keys)
-    _staged(merged, path, "merged")
+    _write(merged, _beside(path, "merged"), partitions, "overwrite", "static", sort_by)
     rewrite(spark, path, partitions, df, sort_by)
     return "merged"
 
@@ -234,10 +314,45 @@ def rewrite(
     like: DataFrame,
     sort_by: str = "",
 ) -> None:
-    """Put the staged merge result in place; doing it twice changes nothing."""
-    merged = spark.read.schema(like.schema).parquet(_beside(path, "merged"))
+    """Put the staged merge result in place; doing it twice changes nothing.
+
+    Staged rows lie in folders as the table's. Where moving a folder touches no data (RENAMING), each
+    replaces its partition as it is, so rows are written once; a run that is cut short leaves the
+    folders it has not moved yet. Elsewhere the rows are copied.
+    """
+    staged = _beside(path, "merged")
     with _noted(spark, path, REWRITING):
-        _write(merged, path, list(partitions), "overwrite", sort_by=sort_by)
+        if file_system(spark, path).getScheme() in RENAMING:
+            _swap_in(spark, staged, path, len(partitions))
+        else:
+            merged = spark.read.schema(like.schema).parquet(staged)
+            _write(merged, path, list(partitions), "overwrite", sort_by=sort_by)
+
+
+def _swap_in(spark: SparkSession, staged: str, path: str, depth: int) -> None:
+    """Move the folders of ``depth`` levels below ``staged`` (itself, if none) to ``path``."""
+    files = file_system(spark, path)
+    as_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+
+    def move(source: str, to: str) -> None:
+        files.delete(as_path(to), True)
+        files.mkdirs(as_path(to).getParent())
+        if not files.rename(as_path(source), as_path(to)):
+            raise OSError(f"Cannot move {source} to {to}")
+
+    def walk(folder: str, to: str, levels: int) -> None:
+        for status in files.listStatus(as_path(folder)):
+            name = status.getPath().getName()
+            if status.isDirectory():
+                step = walk if levels > 1 else lambda a, b, _: move(a, b)
+                step(f"{folder}/{name}", f"{to}/{name}", levels - 1)
+
+    if not files.exists(as_path(staged)):
+        return
+    if depth:
+        walk(staged, path, depth)
+    else:
+        move(staged, path)
 
 
 def complete_append(

@@ -40,17 +40,19 @@ from tallymart.operators.clean import (
     add_order_date,
     cast_sales,
     drop_audit,
+    malformed_column,
     prep_sales,
     remove_nulls,
 )
 from tallymart.operators.enrich import (
     add_revenue,
     enrich_sales,
+    gain_audit,
     join_products,
     join_rates,
     loss_audit,
 )
-from tallymart.operators.upsert import increment, publish
+from tallymart.operators.upsert import increment, late_rows, publish
 from tallymart.plans import retail_tables as tables
 from tallymart.plans.daily_job import run_daily_job, verify_outputs
 from tallymart.session import recommended, shared_folder
@@ -390,9 +392,70 @@ def upsert_insert(spark: SparkSession, folder: str) -> DataFrame:
     return read_stored(spark, _publish_customers(spark, lines, output))
 
 
+def upsert_many_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """All lines as of one day, in a folder for each country and category, that are all merged into but
+    those of small lines."""
+    lines = _lines(spark, folder).withColumn("ORDER_DATE", F.lit(PUBLISH_DAY).cast("date"))
+    lines = lines.withColumn("CATEGORY", F.concat_ws("/", "CATEGORY", F.col("PRODUCT_ID") % 12))
+    output = _output(spark, "upsert_many_partitions")
+
+    def load(some: DataFrame) -> None:
+        rows = marts.daily_category_summary(some)
+        by = ["COUNTRY", "CATEGORY"]
+        publish(rows, output, CATEGORY_TABLE, CATEGORY_KEYS, INCREMENT_COLUMN, PUBLISH_DAY, by)
+
+    load(lines)
+    load(_dearer(lines.where("QUANTITY > 10")))
+    return read_stored(spark, table_path(output, CATEGORY_TABLE))
+
+
+def late_rows_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines over 25 units arrive after the first load, those of earlier days too late."""
+    lines, output = _lines(spark, folder), _output(spark, "late_rows")
+    _publish_categories(spark, lines.where("QUANTITY <= 25"), output)
+    return late_rows(
+        marts.daily_category_summary(lines),
+        output,
+        CATEGORY_TABLE,
+        CATEGORY_KEYS,
+        INCREMENT_COLUMN,
+        PUBLISH_DAY,
+        CATEGORY_PARTITIONS,
+    )
+
+
 # Inputs with gaps
 
 
+def csv_malformed(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of which some lack the last field and some have one more, by country."""
+    path = f"{_output(spark, 'csv_malformed')}/sales_csv"
+    sales = tables.sales(spark, folder).withColumn("ORDER_TIMESTAMP", F.date_format("ORDER_TIMESTAMP", "M/d/yyyy H:mm"))
+    names = ["ORDER_ID", "PRODUCT_ID", "QUANTITY", "ORDER_TIMESTAMP", "COUNTRY"]
+    whole = F.concat_ws(",", *names)
+    text = (
+        F.when(F.col("ORDER_ID") % 10 == 3, F.concat_ws(",", *names[:-1]))
+        .when(F.col("ORDER_ID") % 10 == 7, F.concat(whole, F.lit(",more")))
+        .otherwise(whole)
+    )
+    # One column whose name and values hold the commas: a line of any number of fields.
+    sales.select(text.alias(",".join(names))).write.csv(path, header=True, sep="\u0001")
+    marked = read_csv(spark, path, malformed="LINE")
+    return marked.groupBy("COUNTRY").agg(
+        F.count(F.lit(1)).alias("LINES"),
+        malformed_column("LINE"),
+        F.sum(F.col("QUANTITY").cast("long")).alias("QUANTITY"),
+    )
+
+
+def gain_audit_report(spark: SparkSession, folder: str) -> DataFrame:
+    return gain_audit(
+        prep_sales(_typed(spark, folder)),
+        _text_ids(tables.products_with_gaps(spark, folder)),
+        tables.rates(spark, folder),
+    )
+
+
 def join_product_gaps(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of missing products drop, lines of a product listed twice appear twice."""
     listed = tables.products_with_gaps(spark, folder)
@@ -542,6 +605,10 @@ def _entries() -> dict[str, Query]:
         "join_product_gaps": join_product_gaps,
         "dq_rate_nonpositive": dq_rate_nonpositive,
         "loss_audit": loss_audit_report,
+        "gain_audit": gain_audit_report,
+        "csv_malformed": csv_malformed,
+        "late_rows": late_rows_report,
+        "upsert_many_partitions": upsert_many_partitions,
         "customer_summary_text_ids": customer_summary_text_ids,
         "daily_job_categories": daily_job_categories,
         "daily_job_customers": daily_job_customers,

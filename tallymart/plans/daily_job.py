@@ -40,14 +40,14 @@ from tallymart.operators.clean import (
     cast_types,
     drop_audit_columns,
     loss_columns,
+    malformed_column,
     prep_sales,
 )
-from tallymart.operators.enrich import enrich_sales
+from tallymart.operators.enrich import enrich_sales, repeated_keys
 from tallymart.operators.marts import daily_category_summary, daily_customer_summary
 from tallymart.operators.quality import (
     enforce,
     gate_rules,
-    moment,
     null_scan,
     rule_counters,
 )
@@ -60,8 +60,13 @@ from tallymart.sources.published import path_exists, read_stored, table_path
 log = logging.getLogger("tallymart")
 
 
-def _read(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:
-    df = read_csv(spark, path)
+MALFORMED = "_MALFORMED_LINE"
+
+
+def _read(
+    spark: SparkSession, path: str, columns: tuple[str, ...], malformed: str | None = None
+) -> DataFrame:
+    df = read_csv(spark, path, malformed=malformed)
     require_columns(df.columns, columns)
     return df
 
@@ -89,7 +94,7 @@ def run_daily_job(
     Raises ValueError when the quality gate fails; nothing is published then.
     """
     sales, products, rates = cast_types(
-        _read(spark, sales_path, SALES_COLUMNS),
+        _read(spark, sales_path, SALES_COLUMNS, MALFORMED),
         _read(spark, products_path, PRODUCT_COLUMNS),
         _read(spark, rates_path, RATE_COLUMNS),
         id_type,
@@ -101,15 +106,16 @@ def run_daily_job(
 
     audit = Observation("drop_audit")
     watched = sales.observe(
-        audit, *drop_audit_columns(sales, REQUIRED_SALES_COLUMNS), *loss_columns()
-    )
+        audit,
+        *drop_audit_columns(sales, REQUIRED_SALES_COLUMNS),
+        *loss_columns(),
+        malformed_column(MALFORMED),
+    ).drop(MALFORMED)
     prepared = prep_sales(watched)
     later = all(is_loaded(spark, output, name) for name in (CATEGORY_TABLE, CUSTOMER_TABLE))
     if later:
-        # The gate judges every line, but ids are needed of the day's lines only.
-        today = F.col(INCREMENT_COLUMN) == moment(as_of, "date")
-        ids = ("ORDER_ID", "CUSTOMER_ID")
-        prepared = prepared.withColumns({name: F.when(today, F.col(name)) for name in ids})
+        # Every line is counted in the tasks that write the day's, no other line is stored.
+        prepared = increment(prepared, INCREMENT_COLUMN, as_of)
     prepared = stage(prepared, output, "prepared_sales")
     counts = audit.get
     log.info(
@@ -118,26 +124,40 @@ def run_daily_job(
         counts["rows_after"],
         counts["rows_dropped"],
     )
+    if counts["malformed"]:
+        log.warning("Sales lines with fewer or more fields than the header: %s", counts["malformed"])
     for name in ("order_timestamp", "order_id", "product_id"):
         if missing := counts[f"without_{name}"]:
             log.warning("Complete lines without a readable %s: %s", name.upper(), missing)
 
+    repeated = repeated_keys(products, rates).first()
+    if repeated.products or repeated.rates:
+        log.warning(
+            "Listed more than once, so that lines multiply: %s products, %s rates",
+            repeated.products,
+            repeated.rates,
+        )
+
     lines = enrich_sales(prepared, products, rates)
+    # On a later run the gate judges all lines from the text, in an aggregate that stores none.
+    every = enrich_sales(prep_sales(sales.drop(MALFORMED)), products, rates) if later else lines
     rules = gate_rules(
-        lines,
+        every,
         GATE_MISSING_COLUMNS,
         GATE_NUMERIC_COLUMNS,
         GATE_DATE_COLUMN,
         GATE_RATE_COLUMN,
         as_of,
     )
-    gate = Observation("quality_gate")
-    lines = lines.observe(gate, *rule_counters(rules), F.count(F.lit(1)).alias("priced"))
+    counters = [*rule_counters(rules), F.count(F.lit(1)).alias("priced")]
     if later:
-        # The gate has seen every line; only those of the day are needed further on.
-        lines = increment(lines, INCREMENT_COLUMN, as_of)
+        judged = every.agg(*counters).first()
+    else:
+        gate = Observation("quality_gate")
+        lines = lines.observe(gate, *counters)
     lines = stage(lines, output, "priced_sales")
-    judged = gate.get
+    if not later:
+        judged = gate.get
     log.info("Lines priced: %s of %s", judged["priced"], counts["rows_after"])
     enforce(rules, judged)
     log.info("All rules of the quality gate hold")

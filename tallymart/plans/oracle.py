@@ -448,6 +448,46 @@ def oracle_sql() -> dict[str, str]:
                      AS without_rate,
                    count(*) FILTER (WHERE day IS NOT NULL AND listed AND quoted) AS priced
             FROM met""",
+        "gain_audit": _with(ORDER_LINES, RAW, TYPED, RATES)
+        + """, met AS (
+              SELECT CASE WHEN p.p_partkey % 11 = 0 THEN 2 ELSE 1 END AS listings
+              FROM typed t JOIN part p ON cast(p.p_partkey AS varchar) = t.PRODUCT_ID
+              JOIN rates r ON r.RATE_COUNTRY = t.COUNTRY
+                AND r.RATE_DATE = cast(t.ORDER_TIMESTAMP AS date)
+              WHERE QUANTITY IS NOT NULL AND PRICE IS NOT NULL AND p.p_partkey % 7 <> 0)
+            SELECT count(*) AS matched, count(*) FILTER (WHERE listings > 1) AS of_repeated_products,
+                   cast(0 AS bigint) AS of_repeated_rates, cast(sum(listings) AS bigint) AS priced,
+                   cast(sum(listings) - count(*) AS bigint) AS gained
+            FROM met""",
+        "csv_malformed": _with(ORDER_LINES, SALES)
+        + """ SELECT CASE WHEN ORDER_ID % 10 <> 3 THEN COUNTRY END AS COUNTRY, count(*) AS LINES,
+                     count(*) FILTER (WHERE ORDER_ID % 10 IN (3, 7)) AS malformed,
+                     cast(sum(QUANTITY) AS bigint) AS QUANTITY
+              FROM sales GROUP BY 1""",
+        "late_rows": f"""{CLEAN}, early AS (SELECT * FROM lines WHERE QUANTITY <= 25),
+            fresh AS (SELECT * FROM ({categories}) AS c WHERE c.ORDER_DATE < {day}),
+            held AS ({CATEGORY_ROWS.format(source="early")})
+            SELECT count(*) AS late, count(*) FILTER (WHERE h.orders IS NULL) AS missing,
+                   count(*) FILTER (WHERE h.orders <> f.orders OR h.units <> f.units
+                     OR h.local_total <> f.local_total OR h.usd_total <> f.usd_total) AS differing
+            FROM fresh f LEFT JOIN held h ON f.ORDER_DATE = h.ORDER_DATE
+              AND f.COUNTRY = h.COUNTRY AND f.CATEGORY = h.CATEGORY""",
+        "upsert_many_partitions": f"""{CLEAN}, one_day AS (
+              SELECT {day} AS ORDER_DATE, COUNTRY, CATEGORY || '/' || (PRODUCT_ID % 12) AS CATEGORY,
+                     ORDER_ID, QUANTITY, PRICE, EXCHANGE_RATE_TO_USD, REVENUE_LOCAL, REVENUE_USD
+              FROM lines),
+            dearer AS (
+              SELECT ORDER_DATE, COUNTRY, CATEGORY, ORDER_ID, QUANTITY,
+                     QUANTITY * (PRICE + 1) AS REVENUE_LOCAL,
+                     cast(QUANTITY * (PRICE + 1) AS decimal(23,2)) * EXCHANGE_RATE_TO_USD
+                       AS REVENUE_USD
+              FROM one_day WHERE QUANTITY > 10),
+            first_load AS ({CATEGORY_ROWS.format(source="one_day")}),
+            second AS ({CATEGORY_ROWS.format(source="dearer")})
+            SELECT {CATEGORY_COLUMNS} FROM (
+              SELECT * FROM second UNION ALL
+              SELECT f.* FROM first_load f ANTI JOIN second s
+                ON f.COUNTRY = s.COUNTRY AND f.CATEGORY = s.CATEGORY) AS c""",
         "customer_summary_text_ids": (
             f"{DIRTY} SELECT {CUSTOMER_COLUMNS.replace('CUSTOMER_ID AS', CUSTOMER_TEXT)} "
             f"FROM ({customers}) AS c"

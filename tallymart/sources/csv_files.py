@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_csv(
@@ -10,6 +11,7 @@ def read_csv(
     path: str,
     fail_fast: bool = False,
     infer: bool = False,
+    malformed: str | None = None,
 ) -> DataFrame:
     """CSV rows as text, columns bound by the names in the header.
 
@@ -17,8 +19,17 @@ def read_csv(
     pass that type inference needs is saved (``infer=True`` brings it back). Files of one folder
     whose headers differ raise instead of landing in the wrong columns. A missing path raises
     Spark's own PATH_NOT_FOUND on any file system. ``fail_fast=True`` reads one row right away.
+
+    A line with fewer fields than the header has NULL in the rest, further fields are left out.
+    ``malformed`` names a column that keeps the whole text of such lines and is NULL elsewhere.
     """
     df = spark.read.csv(path, header=True, inferSchema=infer, enforceSchema=False)
+    if malformed:
+        df = spark.read.schema(df.schema.add(malformed, "string")).csv(
+            path, header=True, enforceSchema=False, columnNameOfCorruptRecord=malformed
+        )
+        # A filter on the column itself would reach the parser, before it has marked the line.
+        df = df.withColumn(malformed, F.when(F.col(malformed).isNotNull(), F.col(malformed)))
     if fail_fast:
         df.isEmpty()
     return df

@@ -24,10 +24,16 @@ def read_published(spark: SparkSession, path: str, schema: StructType | None = N
     return reader.parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system that ``path`` lies in."""
     context = spark.sparkContext
     folder = context._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(context._jsc.hadoopConfiguration()).exists(folder)
+    return folder.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return file_system(spark, path).exists(folder)
 
 
 def find_published(

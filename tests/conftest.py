@@ -9,39 +9,36 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from tallymart.session import make_session  # noqa: E402
 
-# Sample inputs of FIXTURES.md: text customer ids, unpadded times, one missing price, two blank rows,
-# one rate without sales.
+# Sample inputs of FIXTURES.md, invented: four time formats, a blank row, a missing quantity, an order of
+# two lines, a product and rates without sales.
 SALES_CSV = """\
 ORDER_ID,CUSTOMER_ID,PRODUCT_ID,QUANTITY,PRICE,ORDER_TIMESTAMP,COUNTRY
-5101,ann,T20,3,8.25,3/14/2026 7:05,CA
-5102,bob,T31,2,,3/14/2026 9:40,CA
-5103,ann,T45,4,30,3/14/2026 16:20,JP
-5104,eve,T52,1,22,3/13/2026 8:15,BR
-5105,bob,T31,5,12,3/14/2026 11:30,CA
-5106,ann,T20,2,64,3/20/2026 10:00,CA
-5107,ann,T20,3,8.25,3/20/2026 11:00,CA
-5108,ann,T20,3,8.25,3/20/2026 8:00,CA
-5109,ann,T20,3,8.25,3/20/2026 8:00,CA
-,,,,,,
+880,kim,B-7,6,1.5,2026-05-04 18:30:00,NO
+881,kim,A-1,1,40,2026-05-04 18:31:00,NO
 ,,,,,,
+882,lou,C-3,10,0.75,5/6/2026 0:05,NO
+883,mo,A-1,2,40.5,2026/05/06 12:00:00,KE
+884,mo,A-2,,12,5/6/2026 13:00,KE
+885,lou,A-2,3,12,05/06/2026 23:59:59,NO
+886,kim,C-3,4,0.75,5/7/2026 9:15,NO
+886,kim,B-7,2,2,5/7/2026 9:15,NO
 """
 PRODUCTS_CSV = """\
 PRODUCT_ID,PRODUCT_NAME,CATEGORY
-T20,Lamp,Lighting
-T31,Bulb,Lighting
-T45,Rug,Textiles
-T52,Towel,Textiles
+C-3,Seeds,Garden
+A-1,Kettle,Kitchen
+D-9,Chair,Office
+B-7,Rope,Garden
+A-2,Pan,Kitchen
 """
 RATES_CSV = """\
 DATE,COUNTRY,CURRENCY,EXCHANGE_RATE_TO_USD
-3/13/2026,CA,CAD,0.5
-3/13/2026,JP,JPY,0.01
-3/13/2026,BR,BRL,0.2
-3/14/2026,CA,CAD,0.5
-3/14/2026,JP,JPY,0.008
-3/14/2026,BR,BRL,0.21
-3/20/2026,CA,CAD,0.5
-3/21/2026,CA,CAD,0.75
+5/7/2026,KE,KES,0.125
+5/7/2026,NO,NOK,0.25
+5/6/2026,NO,NOK,0.5
+5/6/2026,KE,KES,0.125
+5/4/2026,NO,NOK,0.25
+5/8/2026,NO,NOK,0.3
 """
 
 

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from conftest import rows
 
-from tallymart.operators.enrich import enrich_sales
+from tallymart.operators.enrich import enrich_sales, gain_audit, repeated_keys
 
 SALES = (
     "ORDER_ID bigint, CUSTOMER_ID bigint, PRODUCT_ID string, QUANTITY int, "
@@ -81,3 +81,16 @@ def test_duplicate_products_and_rates_fan_out(spark):
     twice = [("P1", "Keyboard", "Electronics")] * 2
     assert run(spark, [line(1)], products=twice).count() == 2
     assert run(spark, [line(1)], products=twice, rates=[(DAY, "US", "USD", 1.0)] * 3).count() == 6
+
+
+def test_gains_are_found_from_repeated_keys(spark):
+    lines = [line(1), line(2), line(3, product="P9"), line(4, country="UK"), line(5, product=None)]
+    sales = spark.createDataFrame(lines, SALES)
+    products = [("P1", "Keyboard", "Electronics")] * 2 + [(None, "x", "y")] * 2
+    rates = [(DAY, "US", "USD", 1.0)] * 3 + [(DAY, "FR", "EUR", 1.0)] * 2
+    products = spark.createDataFrame(products, "PRODUCT_ID string, PRODUCT_NAME string, CATEGORY string")
+    rates = spark.createDataFrame(rates, "DATE date, COUNTRY string, CURRENCY string, EXCHANGE_RATE_TO_USD double")
+    assert tuple(gain_audit(sales, products, rates).first()) == (2, 2, 2, 12, 10)
+    assert tuple(repeated_keys(products, rates).first()) == (1, 2)
+    assert tuple(gain_audit(sales.limit(0), products, rates).first()) == (0, 0, 0, 0, 0)
+    assert enrich_sales(sales, products, rates).count() == 12

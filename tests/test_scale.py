@@ -267,6 +267,45 @@ def test_merge_reads_the_touched_partitions_only_however_large_the_day(spark, tm
             assert "Exchange" in plan(matched) and "C1" in plan(matched)
 
 
+@pytest.mark.parametrize("touched", [1000, 5000])
+@pytest.mark.parametrize("columns", [["a"], ["a", "b"]])
+def test_merge_touches_thousands_of_partitions(spark, tmp_path, touched, columns):
+    """On the default stack; the scan opens the touched files alone. Odd values, NULL among them."""
+    total = touched + 200
+    value = F.when(F.col("id") == 7, None).when(F.col("id") == 8, "it's \\ 100% `q`")
+    frame = spark.range(total).select(
+        F.coalesce(value, F.when(F.col("id") != 7, F.concat(F.lit("v"), "id"))).alias("a"),
+        (F.col("id") % 3).cast("int").alias("b"),
+        F.lit(DAY).cast("date").alias("ORDER_DATE"),
+        F.col("id").alias("n"),
+    )
+    frame.repartition(8, "a").write.partitionBy(*columns).parquet(str(tmp_path / "t"))
+    target = spark.read.schema(frame.schema).parquet(str(tmp_path / "t"))
+    source = frame.where(F.col("n") < touched)
+    read = touched_rows(target, source, columns)
+    assert files_read(read.select(*columns, "n")) == touched
+    assert rows(read.agg(F.count("*"), F.sum("n"))) == [(touched, touched * (touched - 1) // 2)]
+    if touched == 1000:
+        merged = source.withColumn("n", F.col("n") + 10_000)
+        done = publish(merged, str(tmp_path), "t", ["a", "b", "ORDER_DATE"], "ORDER_DATE", DAY, columns)
+        assert done == "merged"
+        table = read_published(spark, str(tmp_path / "t"), frame.schema)
+        nulls = 1  # its key never matches, so it is added
+        assert table.count() == total + nulls
+        assert table.where("n >= 10000").count() == touched
+
+
+def test_merge_beyond_the_named_partitions_is_joined(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(upsert, "NAMED_PARTITIONS", 20)
+    frame = spark.range(90).select((F.col("id") % 30).alias("a"), (F.col("id") % 2).alias("b"), "id")
+    frame.write.partitionBy("a", "b").parquet(str(tmp_path / "t"))
+    target = spark.read.schema(frame.schema).parquet(str(tmp_path / "t"))
+    source = frame.where("a < 25 AND b = 1 AND a <> 3")
+    read = touched_rows(target, source, ["a", "b"])
+    assert rows(read.select("id")) == rows(frame.where("a < 25 AND b = 1 AND a <> 3").select("id"))
+    assert "b" in plan(read).split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_published_read_is_pruned(spark, tmp_path):
     path = str(tmp_path / "t")
     mart(spark).write.partitionBy("COUNTRY").parquet(path)

@@ -79,3 +79,13 @@ def test_recommended_settings_fill_gaps_only(spark):
     assert session.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
     assert session.conf.get("spark.sql.files.maxPartitionBytes") == "1MB"
     assert session.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_malformed_lines_keep_their_text(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text('a,b,c\n1,2,3\n4,5\n6,7,8,9\n"x, y",,\n')
+    df = read_csv(spark, str(path), malformed="bad")
+    plain = read_csv(spark, str(path))
+    assert sorted(map(str, df.drop("bad").collect())) == sorted(map(str, plain.collect()))
+    assert sorted(r.bad for r in df.collect() if r.bad) == ["4,5", "6,7,8,9"]
+    assert df.where("bad IS NOT NULL AND a IS NOT NULL").count() == 2
