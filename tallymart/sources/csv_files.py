@@ -25,9 +25,9 @@ def read_csv(
     """
     df = spark.read.csv(path, header=True, inferSchema=infer, enforceSchema=False)
     if malformed:
-        df = spark.read.schema(df.schema.add(malformed, "string")).csv(
-            path, header=True, enforceSchema=False, columnNameOfCorruptRecord=malformed
-        )
+        # Lines are told by the number of their fields, so all have to be parsed.
+        reader = spark.read.schema(df.schema.add(malformed, "string")).option("columnPruning", False)
+        df = reader.csv(path, header=True, enforceSchema=False, columnNameOfCorruptRecord=malformed)
         # A filter on the column itself would reach the parser, before it has marked the line.
         df = df.withColumn(malformed, F.when(F.col(malformed).isNotNull(), F.col(malformed)))
     if fail_fast:
