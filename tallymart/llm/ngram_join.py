@@ -43,13 +43,14 @@ from pyspark.sql import functions as F
 
 from tallymart.llm.components import components
 from tallymart.llm.frames import Shelf, pick, small_batches, text_key
+from tallymart.llm.vocab import release
 from tallymart.llm.words import WHITE, byte_class, mix, word_blocks
 
 SIZE = 5
 SIMILAR = 80  # in hundredths
 WORDS = byte_class(WHITE, lower=True)
-CHUNK = 2_000_000  # shingles sent at once
-BUCKET = 1_000_000  # shingles counted at once
+CHUNK = 1_000_000  # shingles sent at once
+BUCKET = 600_000  # shingles counted at once
 SMALL_LIMIT = 128  # sizes up to which enumerating subsets is considered
 CLASSES = 10  # size classes of lists for each factor e
 FEW = 8  # a shingle of fewer sets is never common
@@ -111,6 +112,7 @@ def _profiles(docs: DataFrame) -> DataFrame:
     has it often."""
 
     def profile(batches):
+        release()  # the process may hold what an earlier stage needed
         for batch in batches:
             for first, sizes, shingles in _chunks(batch.column(1)):
                 rows = len(sizes)

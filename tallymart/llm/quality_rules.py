@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.frames import pick
-from tallymart.llm.vocab import sentence_tokenizer
+from tallymart.llm.token_counts import CHUNK, id_parts
+from tallymart.llm.vocab import hold, sentence_tokenizer
 from tallymart.llm.words import WHITE, Words, byte_class, hash_spans, mix, word_blocks
 
 WORDS = byte_class(WHITE, lower=False)
@@ -105,18 +106,22 @@ BANDS = {
 }
 
 
-@cache
 def _byte_tokens(vocabulary: str) -> np.ndarray:
     """Fallback bytes but white space, which this vocabulary writes as bytes in any text."""
-    tokenizer = sentence_tokenizer(vocabulary)
-    out = np.zeros(tokenizer.get_piece_size(), bool)
-    for i in range(len(out)):
-        if tokenizer.is_byte(i) and int(tokenizer.id_to_piece(i)[1:-1], 16) not in (9, 10, 13):
-            out[i] = True
-    return out
+
+    def make() -> np.ndarray:
+        tokenizer = sentence_tokenizer(vocabulary)
+        out = np.zeros(tokenizer.get_piece_size(), bool)
+        for i in range(len(out)):
+            if tokenizer.is_byte(i) and int(tokenizer.id_to_piece(i)[1:-1], 16) not in (9, 10, 13):
+                out[i] = True
+        return out
+
+    return hold(vocabulary, "bytes", make)
 
 
 NAMES = [*SCRIPTS, "other"]
+PART = 1 << 20  # code points looked at together
 BLANK = 255
 
 
@@ -136,26 +141,37 @@ def _letters() -> np.ndarray:
 
 def script_of(text: str) -> str:
     """The script with most letters (ties: the first listed), or "none"."""
-    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
-    scripts = _letters()[points]
-    counts = np.bincount(scripts, minlength=BLANK + 1)
+    counts, marked = np.zeros(BLANK + 1, np.int64), 0
+    for at in range(0, len(text), PART):
+        points = np.frombuffer(text[at : at + PART].encode("utf-32-le"), "<u4")
+        scripts = _letters()[points]
+        counts += np.bincount(scripts, minlength=BLANK + 1)
+        marked += int(((scripts == 1) & (points >= 0x80)).sum())
     own = counts[1 : len(NAMES) + 1]
-    if not own.any() or 3 * own.sum() < len(points) - counts[BLANK]:
+    if not own.any() or 3 * own.sum() < len(text) - counts[BLANK]:
         return "none"
     best = NAMES[int(own.argmax())]
-    if best == "latin" and ((scripts == 1) & (points >= 0x80)).sum() >= MARKED * own[0]:
-        return "latin_marked"
-    return best
+    return "latin_marked" if best == "latin" and marked >= MARKED * own[0] else best
 
 
 def fertility(text: str, vocabulary: str) -> tuple[int, float, float, float]:
     """(tokens, characters per token, share of fallback bytes, entropy); zeros without tokens."""
-    ids = np.array(sentence_tokenizer(vocabulary).encode(text, num_threads=1), np.int64)
-    if not len(ids):
+    if len(text) <= CHUNK:
+        ids = np.array(sentence_tokenizer(vocabulary).encode(text, num_threads=1), np.int64)
+        found, counts = np.unique(ids, return_counts=True)
+    else:
+        every = np.zeros(sentence_tokenizer(vocabulary).get_piece_size(), np.int64)
+        for part in id_parts(text, vocabulary):
+            every += np.bincount(np.array(part, np.int64), minlength=len(every))
+        found = np.flatnonzero(every)
+        counts = every[found]
+    total = int(counts.sum())
+    if not total:
         return 0, 0.0, 0.0, 0.0
-    share = np.unique(ids, return_counts=True)[1] / len(ids)
+    share = counts / total
     entropy = float(-(share * np.log2(share)).sum())
-    return len(ids), len(text) / len(ids), float(_byte_tokens(vocabulary)[ids].mean()), entropy
+    fallback = int(counts[_byte_tokens(vocabulary)[found]].sum())
+    return total, len(text) / total, fallback / total, entropy
 
 
 def _per_text(places: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -277,7 +293,7 @@ def quality_rules(
     """doc_id and the verdict's columns for each row.
 
     Null and empty texts have no words and fail the base rule; every row is judged on its own, so
-    repeated rows and null ids need no care.
+    repeated rows and null ids need no care. An empty table gives no rows.
     """
     judged = pick(docs, "doc_id", "text").select("doc_id", verdict("text", vocabulary, bands).alias("v"))
     return judged.select("doc_id", "v.*")

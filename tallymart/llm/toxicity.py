@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tallymart.llm.frames import pick
 from tallymart.llm.labelled import remainder, sample
+from tallymart.llm.vocab import release
 from tallymart.llm.words import NOT_ALPHANUMERIC, byte_class, hash_spans, word_blocks
 
 BUCKETS = 1 << 18
@@ -163,6 +164,7 @@ def score(model: Machine, text: Column | str) -> Column:
 
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
+        release()  # the process may hold what an earlier stage needed
         out = np.zeros(len(texts))
         for first, end, owner, bucket in terms(texts):
             row = model.place[bucket]

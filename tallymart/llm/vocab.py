@@ -1,9 +1,9 @@
-"""Public tokenizers by file name; each worker process loads a vocabulary once."""
+"""Public tokenizers by file name; a worker process loads a vocabulary once and holds one at a time."""
 
 from __future__ import annotations
 
 import os
-from functools import cache
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -11,8 +11,26 @@ import pyarrow as pa
 from tallymart.llm.words import blocks, hash_spans
 
 # Units a process remembers: a bound of memory. When it is reached, all are forgotten.
-REMEMBERED = 1_500_000
-SLOTS = 1 << 22
+REMEMBERED = 500_000
+FEWEST_SLOTS = 1 << 14  # of the table at first; it is doubled when half of it is taken
+
+_held: dict[tuple, object] = {}
+
+
+def hold(name: str, kind: str, make: Callable[[], object]):
+    """What ``make`` gives, kept until another vocabulary is asked for: worker processes are used again by
+    later stages, which need the memory."""
+    if any(key[0] != name for key in _held):
+        release()
+    if (name, kind) not in _held:
+        made = make()
+        _held[name, kind] = made
+    return _held[name, kind]
+
+
+def release() -> None:
+    """Forget the vocabulary that this process holds."""
+    _held.clear()
 
 
 def place(name: str) -> str:
@@ -24,22 +42,26 @@ def place(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@cache
 def library_tokenizer(name: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    def make():
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(place(name))
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return tokenizer
+        tokenizer = Tokenizer.from_file(place(name))
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
+    return hold(name, "library", make)
 
 
-@cache
 def sentence_tokenizer(name: str):
-    import sentencepiece
+    def make():
+        import sentencepiece
+
+        return sentencepiece.SentencePieceProcessor(model_file=place(name))
 
-    return sentencepiece.SentencePieceProcessor(model_file=place(name))
+    return hold(name, "sentences", make)
 
 
 def _flags(*numbers: int | range) -> np.ndarray:
@@ -83,7 +105,8 @@ class UnitEncoder:
     """Ids of whole texts, with the library encoding each distinct unit once.
 
     The ids of a text are the ids of its units (see ``unit_starts``) in order. Units are looked up
-    by 64-bit hash and length in an open-addressing table of numpy arrays.
+    by 64-bit hash in an open-addressing table of numpy arrays, and compared byte by byte with what is
+    there; units whose hash belongs to another are encoded each time.
 
     Words of letters alone are encoded many at a time: each is one pre-token, so its ids begin with
     the one id that holds the blank (``blank_first``) or end with the one that ends a word. A batch
@@ -99,11 +122,13 @@ class UnitEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.keys = np.zeros(SLOTS, np.uint64)
-        self.entry = np.zeros(SLOTS, np.int32)
-        self.first = np.zeros(REMEMBERED + 1, np.int64)  # entry i has pool[first[i]:first[i + 1]]
+        self.keys = np.zeros(FEWEST_SLOTS, np.uint64)
+        self.entry = np.zeros(FEWEST_SLOTS, np.int32)
+        self.known = 0  # entries that have a key
+        # Entry i has ids pool[first[i]:first[i + 1]] and bytes text[begin[i]:begin[i + 1]].
         self.count = 0
-        self.pool = np.zeros(1 << 20, np.uint32)
+        self.first, self.begin = np.zeros(FEWEST_SLOTS, np.int64), np.zeros(FEWEST_SLOTS, np.int64)
+        self.pool, self.text = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.uint8)
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -128,55 +153,93 @@ class UnitEncoder:
     def _find(self, hashes: np.ndarray) -> np.ndarray:
         """Entry of each hash, -1 for unknown ones."""
         out = np.full(len(hashes), -1, np.int64)
-        slots = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        last = len(self.keys) - 1
+        slots = (hashes & np.uint64(last)).astype(np.int64)
         open_ = np.arange(len(hashes))
         while len(open_):
             keys = self.keys[slots]
             hit = keys == hashes[open_]
             out[open_[hit]] = self.entry[slots[hit]]
             go = ~hit & (keys != 0)
-            open_, slots = open_[go], (slots[go] + 1) & (SLOTS - 1)
+            open_, slots = open_[go], (slots[go] + 1) & last
         return out
 
-    def _remember(self, hashes: np.ndarray, ids: list[np.ndarray]) -> None:
-        """``hashes`` are distinct and unknown."""
-        sizes = np.array([len(x) for x in ids])
-        base, new = self.count, len(hashes)
-        self.first[base + 1 : base + new + 1] = self.first[base] + np.cumsum(sizes)
-        top = int(self.first[base + new])
-        if top > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(max(top, len(self.pool)), np.uint32)])
-        self.pool[self.first[base] : top] = np.concatenate(ids)
+    def _append(self, ids: list[np.ndarray], units: list[bytes]) -> np.ndarray:
+        """New entries."""
+        base, new = self.count, len(ids)
+
+        def extend(bounds: np.ndarray, held: np.ndarray, sizes: list[int], values: np.ndarray):
+            if base + new + 1 > len(bounds):
+                bounds = np.concatenate([bounds, np.zeros(max(new + 1, len(bounds)), np.int64)])
+            bounds[base + 1 : base + new + 1] = bounds[base] + np.cumsum(sizes)
+            top = int(bounds[base + new])
+            if top > len(held):
+                held = np.concatenate([held, np.zeros(max(top - len(held), len(held)), held.dtype)])
+            held[bounds[base] : top] = values
+            return bounds, held
+
+        self.first, self.pool = extend(self.first, self.pool, [len(x) for x in ids], np.concatenate(ids))
+        joined = np.frombuffer(b"".join(units), np.uint8)
+        self.begin, self.text = extend(self.begin, self.text, [len(x) for x in units], joined)
         self.count += new
-        slots = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
-        entries = np.arange(base, base + new)
+        return np.arange(base, base + new)
+
+    def _put(self, hashes: np.ndarray, entries: np.ndarray) -> None:
+        """Give entries their keys: distinct and unknown ones."""
+        self.known += len(hashes)
+        if 2 * self.known > len(self.keys):
+            taken = self.keys != 0
+            hashes = np.concatenate([self.keys[taken], hashes])
+            entries = np.concatenate([self.entry[taken], entries])
+            slots = 1 << int(4 * self.known - 1).bit_length()
+            self.keys, self.entry = np.zeros(slots, np.uint64), np.zeros(slots, np.int32)
+        last = len(self.keys) - 1
+        slots = (hashes & np.uint64(last)).astype(np.int64)
         while len(slots):
             free = self.keys[slots] == 0
             self.keys[slots[free]] = hashes[free]
             mine = self.keys[slots] == hashes
             self.entry[slots[mine]] = entries[mine]
-            hashes, entries, slots = hashes[~mine], entries[~mine], (slots[~mine] + 1) & (SLOTS - 1)
+            hashes, entries, slots = hashes[~mine], entries[~mine], (slots[~mine] + 1) & last
+
+    def _others(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, found: np.ndarray) -> np.ndarray:
+        """The units that are not those of the entries found for them."""
+        size, begin = ends - starts, self.begin[found]
+        same = size == self.begin[found + 1] - begin
+        rows = np.flatnonzero(same)
+        for first in range(0, len(rows), 1 << 16):
+            some = rows[first : first + (1 << 16)]
+            length = size[some]
+            upto = np.cumsum(length)
+            within = np.arange(upto[-1]) - np.repeat(upto - length, length)
+            mine = raw[np.repeat(starts[some], length) + within]
+            differs = mine != self.text[np.repeat(begin[some], length) + within]
+            if differs.any():
+                same[np.repeat(some, length)[differs]] = False
+        return np.flatnonzero(~same)
 
     def _entries(self, raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        if self.count > REMEMBERED:
+            self._forget()
         ends = np.append(starts[1:], len(raw))
         hashes = hash_spans(raw, starts, ends) | np.uint64(1)  # 0 marks a free slot
         found = self._find(hashes)
+        view = raw.tobytes()
+
+        def encoded(where: np.ndarray) -> tuple[list[np.ndarray], list[bytes]]:
+            units = [view[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]
+            return self._encode_units([unit.decode() for unit in units]), units
+
         unknown = np.flatnonzero(found < 0)
         if len(unknown):
             distinct, where = np.unique(hashes[unknown], return_index=True)
-            if self.count + len(distinct) > REMEMBERED:
-                self._forget()
-                if len(distinct) < len(hashes):
-                    return self._entries(raw, starts)
-            where = unknown[where]
-            view = raw.tobytes()
-            units = [
-                view[a:b].decode() for a, b in zip(starts[where].tolist(), ends[where].tolist())
-            ]
-            for i in range(0, len(units), 1 << 15):
+            for i in range(0, len(distinct), 1 << 15):
                 part = slice(i, i + (1 << 15))
-                self._remember(distinct[part], self._encode_units(units[part]))
+                self._put(distinct[part], self._append(*encoded(unknown[where[part]])))
             found[unknown] = self._find(hashes[unknown])
+        others = self._others(raw, starts, ends, found)
+        if len(others):
+            found[others] = self._append(*encoded(others))
         return found
 
     def encode_block(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,9 +262,8 @@ class UnitEncoder:
         return np.concatenate(parts), total[np.searchsorted(starts, offsets)]
 
 
-@cache
 def unit_encoder(name: str, blank_first: bool) -> UnitEncoder:
-    return UnitEncoder(name, blank_first)
+    return hold(name, "units", lambda: UnitEncoder(name, blank_first))
 
 
 def encoded_blocks(texts: pa.Array, encoder: UnitEncoder):

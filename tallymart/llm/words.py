@@ -1,25 +1,22 @@
 """Words of whole texts as 64-bit hashes, computed for many texts at once on their bytes.
 
-Every separator used here is ASCII, so working on UTF-8 bytes equals working on characters. The
-hash of a word is a polynomial in its bytes modulo 2**64, taken from one running sum over the block
-of texts; an odd base has an inverse, which moves each word to the same place. A final mix spreads
-the bits.
+Every separator used here is ASCII, so working on UTF-8 bytes equals working on characters. A word
+is hashed 8 bytes at a time, all words of a block together. Words of up to 8 bytes and equal length have
+different hashes. Longer ones pass through two states that are mixed differently at every step, so that
+no arithmetic of their bytes makes two alike; very long ones are hashed by BLAKE2.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 20
-BASE = 0x9E3779B97F4A7C15  # any odd number
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit values (the finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -27,7 +24,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64))
+# What is kept of 8 bytes, little-endian, of which only the first 0 to 8 belong to a word.
+KEPT = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+ODD = np.uint64(0x9E3779B97F4A7C15)
+LONG = 256  # bytes from which on a word is hashed on its own
 
 
 def byte_class(separators: str | range | list[int], lower: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -44,20 +44,6 @@ WHITE = [0x20, *range(0x09, 0x0E)]
 NOT_ALPHANUMERIC = [*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]
 
 
-@cache
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    def run(base: int) -> np.ndarray:
-        out = np.ones(size, np.uint64)
-        done = 1
-        while done < size:
-            step = np.uint64(pow(base, done, 1 << 64))
-            out[done : 2 * done] = out[: min(done, size - done)] * step
-            done *= 2
-        return out
-
-    return run(BASE), run(pow(BASE, -1, 1 << 64))
-
-
 def _bounds(is_word: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of words; none reaches over a text's bounds."""
     size = len(is_word)
@@ -89,26 +75,45 @@ class Words:
     raw_offsets: np.ndarray
 
 
-def _hash_span(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    power, inverse = _powers(1 << max(20, len(values).bit_length()))
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(BYTE_VALUES[values] * power[: len(values)], out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * inverse[starts]
-    return mix(hashes + (ends - starts).astype(np.uint64))
+def _eight(words: np.ndarray, places: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place on as a number, those from ``left`` on zero."""
+    at, shift = places >> 3, ((places & 7) << 3).astype(np.uint64)
+    out = words[at] >> shift
+    high = words[at + 1] << (np.uint64(64) - np.maximum(shift, np.uint64(1)))
+    out |= np.where(shift > 0, high, np.uint64(0))
+    return out & KEPT[np.minimum(left, 8)]
 
 
 def hash_spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each of the ascending spans of bytes; of much data, part by part."""
-    if len(values) <= 4 * BLOCK_BYTES or not len(starts):
-        return _hash_span(values, starts, ends)
-    parts, first = [], 0
-    while first < len(starts):
-        base = starts[first]
-        last = max(first + 1, int(np.searchsorted(ends, base + BLOCK_BYTES, "right")))
-        part = slice(first, last)
-        parts.append(_hash_span(values[base : ends[last - 1]], starts[part] - base, ends[part] - base))
-        first = last
-    return np.concatenate(parts)
+    """Hash of each of the spans of bytes."""
+    padded = np.zeros((len(values) + 23) & ~7, np.uint8)
+    padded[: len(values)] = values
+    words, size = padded.view("<u8"), ends - starts
+    seed = mix(size.astype(np.uint64) * ODD)
+    first = _eight(words, starts, size)
+    out = mix(seed ^ first)
+    long = np.flatnonzero(size > 8)
+    if not len(long):
+        return out
+    other = first[long] * ODD + seed[long]
+    place, left, one = starts[long] + 8, size[long] - 8, out[long]
+    for i in np.flatnonzero(left > LONG):
+        digest = blake2b(values[place[i] : place[i] + left[i]], digest_size=16).digest()
+        a, b = np.frombuffer(digest, "<u8")
+        one[i], other[i], left[i] = one[i] ^ a, other[i] ^ b, 0
+    going = np.flatnonzero(left > 0)
+    while len(going):
+        eight = _eight(words, place[going], left[going])
+        one[going] = mix(one[going] ^ eight)
+        turned = other[going]
+        turned = ((turned << np.uint64(23)) | (turned >> np.uint64(41))) + eight
+        turned *= ODD
+        other[going] = turned ^ (turned >> np.uint64(29))
+        place[going] += 8
+        left[going] -= 8
+        going = going[left[going] > 0]
+    out[long] = mix(one ^ mix(other))
+    return out
 
 
 def _words(raw: np.ndarray, offsets: np.ndarray, kind: tuple[np.ndarray, np.ndarray]) -> Words:

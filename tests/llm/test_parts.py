@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -12,8 +13,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallymart.llm import language, ngram_join, packing, quality_model, quality_rules, toxicity
-from tallymart.llm.token_counts import count_tokens
+from tallymart.llm import language, ngram_join, packing, quality_model, quality_rules, toxicity, vocab
+from tallymart.llm.token_counts import count_tokens, id_parts
 from tallymart.llm.token_files import (
     Decoder,
     canonical_codes,
@@ -23,7 +24,7 @@ from tallymart.llm.token_files import (
     unpack_segment,
 )
 from tallymart.llm.vocab import encoded_blocks, sentence_tokenizer, unit_encoder
-from tallymart.llm.words import WHITE, byte_class, word_blocks
+from tallymart.llm.words import WHITE, byte_class, hash_spans, word_blocks
 
 ODD = [
     None, "", " ", "  a  b ", " a", "a ", "<|endoftext|> x<|endoftext|>y <|startoftext|>",
@@ -402,3 +403,64 @@ def test_counts_of_one_chunk_and_bucket():
     assert [(r["chunk"], Counter(np.frombuffer(r["more"], "<u4").tolist())) for r in counted] == [
         (7, Counter({2: 3})), (8, Counter({2: 1})),
     ]
+
+
+def test_texts_without_blanks_are_spliced_in_linear_time():
+    """Two megabytes of one line in a few seconds, and the library's ids."""
+    dice = random.Random(2)
+    common = [chr(0x4E00 + dice.randrange(3000)) for _ in range(900)]
+    text = "".join(dice.choice(common) for _ in range(700_000))
+    started = time.perf_counter()
+    parts = list(id_parts(text, PIECES))
+    assert time.perf_counter() - started < 20
+    assert len(parts) > 20
+    assert list(itertools.chain(*parts)) == sentence_tokenizer(PIECES).encode(text)
+
+
+def test_measures_of_huge_texts_equal_those_of_whole_encoding():
+    dice = random.Random(3)
+    words = ["".join(dice.choice("etaoin shrdlu我é") for _ in range(7)) for _ in range(3000)]
+    text = " ".join(dice.choice(words) for _ in range(60_000))
+    ids = np.array(sentence_tokenizer(PIECES).encode(text))
+    share = np.unique(ids, return_counts=True)[1] / len(ids)
+    tokens, per_token, _, entropy = quality_rules.fertility(text, PIECES)
+    assert (tokens, per_token) == (len(ids), len(text) / len(ids))
+    assert abs(entropy + (share * np.log2(share)).sum()) < 1e-9
+
+
+def test_spans_of_every_length_have_hashes_of_their_own():
+    """Also those that polynomials confuse, and spans that differ in one byte, at every place."""
+    raw = np.frombuffer(bytes(random.Random(1).randrange(256) for _ in range(3000)), np.uint8)
+    spans = [(a, a + n) for n in [*range(40), 255, 264, 265, 700, 1500] for a in range(0, 1500, 7)]
+    starts, ends = np.array(spans).T
+    hashes = hash_spans(raw, starts, ends)
+    texts = [raw[a:b].tobytes() for a, b in spans]
+    assert len(set(hashes.tolist())) == len(set(texts))
+    again = {t: h for t, h in zip(texts, hashes.tolist(), strict=True)}
+    for text in texts[::97]:  # the same wherever it stands
+        moved = np.frombuffer(b"abc" + text + b"xyz", np.uint8)
+        assert hash_spans(moved, np.array([3]), np.array([3 + len(text)]))[0] == again[text]
+    long = bytearray(texts[-1][:600])
+    base = hash_spans(np.frombuffer(bytes(long), np.uint8), np.array([0]), np.array([600]))[0]
+    for place in range(0, 600, 11):
+        other = bytearray(long)
+        other[place] ^= 1
+        assert hash_spans(np.frombuffer(bytes(other), np.uint8), np.array([0]), np.array([600]))[0] != base
+
+
+def test_units_of_one_hash_are_told_apart(monkeypatch):
+    """With a hash of 8 bits nearly all units meet another's entry."""
+    monkeypatch.setattr(vocab, "hash_spans", lambda raw, a, b: hash_spans(raw, a, b) & np.uint64(0xFE))
+    encoder = vocab.UnitEncoder("byte_bpe_50k.json", True)
+    texts = [" ".join(f"word{i * k}" for i in range(300)) for k in (1, 3, 7)]
+    library = [list(e.ids) for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert encoded(texts, encoder) == library == encoded(texts, encoder)
+
+
+def test_a_process_holds_one_vocabulary():
+    first = unit_encoder("byte_bpe_50k.json", True)
+    assert unit_encoder("byte_bpe_50k.json", True) is first
+    sentence_tokenizer(PIECES)
+    assert {key[0] for key in vocab._held} == {PIECES}
+    vocab.release()
+    assert not vocab._held
