@@ -1,10 +1,11 @@
 """Quality by naive Bayes support vectors.
 
-The features of a text are indicators of n-grams: of 1 to 3 bytes (ASCII letters are one symbol a
-case, so spelling does not matter but shouting, marks and numbers do), and of 1 to 4 words by their
+The features of a text are indicators of n-grams in two groups. Its wording: 1 and 2 words
+(alphanumeric, ASCII lower-cased) and 4 bytes. Its form: 1 to 3 bytes (ASCII letters are one symbol a
+case, so spelling does not matter but shouting, marks and numbers do), and 1 to 4 words by their
 form (case, marks, digits, length, and whether the word repeats one of the last words). Each
-indicator is scaled by the log-count ratio of the classes, and a linear hinge-loss model is fitted on
-these features by dual coordinate descent. As is usual for this model, its weights are mixed with
+indicator is scaled by the log-count ratio of the classes, each group of a text to length one, and a
+linear hinge-loss model is fitted on these features by dual coordinate descent. As is usual for this model, its weights are mixed with
 their mean magnitude. A logistic curve fitted on the margins of held-back rows gives scores.
 
 The fit takes up to ``ROWS`` whole texts a class.
@@ -21,12 +22,17 @@ from pyspark.sql import functions as F
 
 from tallymart.llm.frames import pick
 from tallymart.llm.labelled import remainder, sample
-from tallymart.llm.words import WHITE, byte_class, word_blocks
+from tallymart.llm.words import NOT_ALPHANUMERIC, WHITE, byte_class, mix, word_blocks
 
-BUCKETS = 1 << 14
+FORMS, WORDINGS = 1 << 14, 1 << 16  # columns of each group
+BUCKETS = FORMS + WORDINGS
+GROUPS = (slice(0, FORMS), slice(FORMS, BUCKETS))
+# Added to the counts of a form or wording in each class: words are many and mostly rare.
+SMOOTHED = np.where(np.arange(BUCKETS) < FORMS, 1.0, 4.0)
 ROWS = 2000
 MIXED = 0.25  # share of the support vectors' weights; the rest is their mean magnitude
 WORDS = byte_class(WHITE, lower=False)
+PLAIN_WORDS = byte_class(NOT_ALPHANUMERIC, lower=True)
 
 
 def _symbols() -> np.ndarray:
@@ -70,7 +76,8 @@ def indicators(texts: pa.Array):
 
     N-grams do not reach over a text's bounds.
     """
-    for first, end, words in word_blocks(texts, WORDS, rows=256):
+    both = zip(word_blocks(texts, WORDS, rows=64), word_blocks(texts, PLAIN_WORDS, rows=64), strict=True)
+    for (first, end, words), (_, _, plain_words) in both:
         count = end - first
         flags = np.zeros((count + 1, BUCKETS), np.uint8)  # the last row takes what spans two texts
         plain = flags.reshape(-1)
@@ -85,19 +92,41 @@ def indicators(texts: pa.Array):
                 if len(values) < size:
                     break
                 keys = keys[: len(values) - size + 1] * np.uint32(521) + values[size - 1 :]
-                place = (keys * np.uint32(0x9E3779B1)) >> np.uint32(32 - 14)
+                place = (keys * np.uint32(0x9E3779B1)) >> np.uint32(32 - 14)  # one of FORMS
                 place += row[: len(place)]
                 for back in range(1, size):
                     across = offsets[1:-1] - back
                     place[across[(across >= 0) & (across < len(place))]] = count * BUCKETS
                 plain[place] = 1
+        for owner, hashes in _wordings(plain_words):
+            flags[owner, FORMS + (hashes >> np.uint64(64 - 16)).astype(np.int64)] = 1
         yield first, end, flags[:count]
 
 
+def _wordings(words):
+    """(text, hash) of the words, pairs of words and 4 bytes of each text."""
+
+    def owners(offsets: np.ndarray) -> np.ndarray:
+        return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+
+    text = owners(words.offsets)
+    yield text, words.hashes
+    if len(text) > 1:
+        within = text[1:] == text[:-1]
+        yield text[1:][within], mix(words.hashes[:-1] * np.uint64(3) + words.hashes[1:])[within]
+    raw = PLAIN_WORDS[1][words.raw].astype(np.uint64)
+    if len(raw) > 3:
+        text = owners(words.raw_offsets)
+        within = text[3:] == text[:-3]
+        four = raw[:-3] | (raw[1:-2] << np.uint64(8)) | (raw[2:-1] << np.uint64(16)) | (raw[3:] << np.uint64(24))
+        yield text[3:][within], mix(four[within])
+
+
 @dataclass(frozen=True)
 class Model:
     """The probability of an indicator row x is the logistic of slope * margin + shift, where the
-    margin is x @ weights / |x * ratio| + bias; the ratios are multiplied into the weights."""
+    margin is the sum over the groups of x @ weights / |x * ratio|, plus the bias; the ratios are
+    multiplied into the weights."""
 
     weights: np.ndarray
     ratio: np.ndarray
@@ -106,9 +135,12 @@ class Model:
     shift: float
 
     def margins(self, flags: np.ndarray) -> np.ndarray:
-        x = flags.astype(np.float32)
-        both = x @ np.stack([self.weights, self.ratio**2], 1).astype(np.float32)
-        return both[:, 0] / np.sqrt(np.maximum(both[:, 1], 1e-9)) + self.bias
+        out = np.full(len(flags), self.bias)
+        for group in GROUPS:
+            x = flags[:, group].astype(np.float32)
+            both = x @ np.stack([self.weights[group], self.ratio[group] ** 2], 1).astype(np.float32)
+            out += both[:, 0] / np.sqrt(np.maximum(both[:, 1], 1e-9))
+        return out
 
     def scores(self, flags: np.ndarray) -> np.ndarray:
         value = self.slope * self.margins(flags).astype(np.float64) + self.shift
@@ -127,7 +159,7 @@ def dual_descent(
     ``features`` are (columns, values) of each row; ``y`` is -1 or 1; ``cost`` bounds a row's dual.
     """
     weights, alpha = np.zeros(size + 1), np.zeros(len(y))
-    norms = np.array([float(v @ v) + 1 for _, v in features])
+    norms = np.array([float(v @ v) + 1 for _, v in features])  # 1 for the bias
     rng = np.random.default_rng(0)
     for _ in range(passes):
         moved = 0.0
@@ -176,20 +208,27 @@ def fit(rows: list[tuple[str, int]], counts: dict[int, int], cost: float = 1.0)
         columns += [np.flatnonzero(row) for row in flags]
 
     def train(some: np.ndarray) -> Model:
-        present = np.ones((2, BUCKETS))
+        present = np.stack([SMOOTHED, SMOOTHED])
         for i in some:
             present[y[i], columns[i]] += 1
-        good, bad = present[1] / present[1].sum(), present[0] / present[0].sum()
-        ratio = np.log(good / bad)
+        ratio = np.zeros(BUCKETS)
+        for group in GROUPS:
+            good, bad = present[1, group], present[0, group]
+            ratio[group] = np.log((good / good.sum()) / (bad / bad.sum()))
+        ratio[(present == SMOOTHED).all(axis=0) & (np.arange(BUCKETS) >= FORMS)] = 0  # unknown words
         features = []
         for i in some:
-            values = ratio[columns[i]]
-            features.append((columns[i], values / max(np.linalg.norm(values), 1e-9)))
+            values, wording = ratio[columns[i]], columns[i] >= FORMS
+            for part in (wording, ~wording):
+                values[part] /= max(np.linalg.norm(values[part]), 1e-9)
+            features.append((columns[i], values))
         half = len(some) / 2
         costs = cost * np.where(y[some] == 1, half / y[some].sum(), half / (1 - y[some]).sum())
         w = dual_descent(features, 2.0 * y[some] - 1, BUCKETS, costs)
-        mean = np.abs(w[:-1]).mean()
-        mixed = ((1 - MIXED) * mean + MIXED * w[:-1]) * ratio
+        mixed = np.empty(BUCKETS)
+        for group in GROUPS:
+            mean = np.abs(w[:-1][group]).mean()
+            mixed[group] = ((1 - MIXED) * mean + MIXED * w[:-1][group]) * ratio[group]
         return Model(mixed, ratio, MIXED * w[-1], 1.0, 0.0)
 
     def margins(model: Model, some: np.ndarray) -> np.ndarray:

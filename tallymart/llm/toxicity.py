@@ -5,9 +5,11 @@ each hashed to one of ``BUCKETS``; a text has a term or not. The machine adds, t
 the terms present, the inner products of their factors over all pairs. So an insult near a group's
 name can weigh more than both alone, which a linear model cannot express.
 
-Terms whose presence differs between the classes by less than ``Z`` standard errors, or less than the
-largest of so many would differ by chance, have neither weight nor factor; that keeps long harmless
-texts from adding up noise. The fit is AdaGrad on the
+A term has a row of weight and factors if its presence differs between the classes by ``Z`` standard
+errors, and by more than the largest of so many would differ by chance; or, among the terms of at least
+``FREQUENT`` of the rows, if it is one of a pair whose presence together tells what its members' own
+presence does not (``interacting``). Other terms have none; that keeps long harmless texts from adding
+up noise. The fit is AdaGrad on the
 logistic loss, over a bounded sample (``ROWS`` a class, whole texts); the intercept is then moved
 from the sample's share of toxic rows to that of all labelled rows.
 """
@@ -29,6 +31,7 @@ from tallymart.llm.words import NOT_ALPHANUMERIC, byte_class, hash_spans, word_b
 BUCKETS = 1 << 18
 ROWS = 3000
 Z = 3.0
+FREQUENT = 0.05  # share of the rows from which on pairs of terms are tested
 FACTORS = 4
 PREFIXES = (4, 5)
 WORDS = byte_class(NOT_ALPHANUMERIC, lower=True)
@@ -85,6 +88,38 @@ def raw_scores(model: Machine, count: int, owner: np.ndarray, row: np.ndarray) -
     return model.intercept + linear + pairs / 2
 
 
+def interacting(present: np.ndarray, y: np.ndarray, z: float) -> np.ndarray:
+    """Which terms (columns of ``present``, 0 or 1) are in a pair that interacts.
+
+    For two terms the rows fall into four cells by presence; the contrast of the cells' log-odds of
+    being toxic is zero where the terms' weights add up. It is held against its standard error, and
+    against the largest of so many pairs by chance.
+    """
+    width = present.shape[1]
+    out = np.zeros(width, bool)
+    if width < 2:
+        return out
+    z = max(z, float(np.sqrt(2 * np.log(width * (width - 1) / 2))))
+    classes = [present[y == label].astype(np.float32) for label in (0, 1)]
+    totals = [part.sum(axis=0, dtype=np.float64) for part in classes]
+    for first in range(0, width, 256):
+        some = slice(first, first + 256)
+        contrast, variance, alone, others = 0.0, 0.0, 0.0, 0.0
+        for part, total, sign in zip(classes, totals, (-1, 1), strict=True):
+            both = (part[:, some].T @ part).astype(np.float64)
+            one, other = total[some, None] - both, total[None, :] - both
+            none = len(part) - both - one - other
+            alone, others = alone + one, others + other
+            for cell, turn in ((both, 1), (one, -1), (other, -1), (none, 1)):
+                contrast = contrast + sign * turn * np.log(cell + 0.5)
+                variance = variance + 1 / (cell + 0.5)
+        strong = np.abs(contrast) >= z * np.sqrt(variance)
+        # A term and itself, or its own prefix, have no rows with one alone.
+        strong &= (alone > 0) & (others > 0)
+        out[some] |= strong.any(axis=1)
+    return out
+
+
 def fit(
     rows: list[tuple[str, int]],
     counts: dict[int, int],
@@ -113,7 +148,16 @@ def fit(
     error = np.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n0))
     met = in1 + in0 >= 3
     z = max(z, float(np.sqrt(2 * np.log(max(met.sum(), 1)))))  # so many terms stray by chance
-    telling = np.flatnonzero((np.abs(in1 / n1 - in0 / n0) >= z * error) & met)
+    telling = (np.abs(in1 / n1 - in0 / n0) >= z * error) & met
+    frequent = np.flatnonzero(in1 + in0 >= max(3, FREQUENT * len(y)))
+    column = np.full(BUCKETS, -1, np.int64)
+    column[frequent] = np.arange(len(frequent))
+    present = np.zeros((len(y), len(frequent)), np.uint8)
+    for first, _, owner, bucket in terms(texts):
+        known = column[bucket] >= 0
+        present[owner[known] + first, column[bucket[known]]] = 1
+    telling[frequent[interacting(present, y, Z)]] = True
+    telling = np.flatnonzero(telling)
     place = np.zeros(BUCKETS, np.int32)
     place[telling] = np.arange(1, len(telling) + 1)
     owner, row = _rows(place, texts)

@@ -464,3 +464,70 @@ def test_a_process_holds_one_vocabulary():
     assert {key[0] for key in vocab._held} == {PIECES}
     vocab.release()
     assert not vocab._held
+
+
+def auc(scores, y):
+    order = np.argsort(np.argsort(scores)) + 1
+    n1 = int(y.sum())
+    return (order[y == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * (len(y) - n1))
+
+
+def test_pairs_are_learnt_whose_members_tell_nothing():
+    """An insult and a group, each in half of both classes; toxic where both or neither occur."""
+    dice = random.Random(5)
+    filler = [f"word{i}" for i in range(300)]
+    rows = []
+    for i in range(1600):
+        insult, group = i % 2, i // 2 % 2
+        words = dice.choices(filler, k=dice.randrange(8, 60)) + ["clodpate"] * insult + ["islanders"] * group
+        dice.shuffle(words)
+        rows.append((" ".join(words), int(insult == group)))
+    model = toxicity.fit(rows[:1000], {0: 500, 1: 500})
+    texts = pa.array([text for text, _ in rows[1000:]])
+    scores = toxicity.raw_scores(model, len(texts), *toxicity._rows(model.place, texts))
+    assert auc(scores, np.array([label for _, label in rows[1000:]])) > 0.97
+
+
+def test_value_of_the_machine_is_the_sum_over_pairs():
+    dice = np.random.default_rng(2)
+    model = toxicity.Machine(0.3, np.zeros(1), dice.standard_normal(9), dice.standard_normal((9, 4)))
+    for present in ([], [3], [1, 4, 8], list(range(1, 9))):
+        value = model.intercept + sum(model.weights[i] for i in present)
+        value += sum(float(model.factors[i] @ model.factors[j]) for i, j in itertools.combinations(present, 2))
+        found = toxicity.raw_scores(model, 1, np.zeros(len(present), int), np.array(present, int))
+        assert abs(found[0] - value) < 1e-9
+
+
+def test_quality_is_told_by_words_alone():
+    """Texts of one shape whose classes differ in vocabulary."""
+    dice = random.Random(9)
+    shared = ["".join(dice.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+    good, bad = shared[:120], shared[120:240]
+    rows = []
+    for i in range(600):
+        own = good if i % 2 else bad
+        words = [dice.choice(own) if dice.random() < 0.3 else dice.choice(shared) for _ in range(40)]
+        rows.append((" ".join(words) + ".", i % 2))
+    model = quality_model.fit(rows[:400], {0: 200, 1: 200})
+    flags = np.concatenate([f for _, _, f in quality_model.indicators(pa.array([t for t, _ in rows[400:]]))])
+    assert auc(model.scores(flags), np.array([label for _, label in rows[400:]])) > 0.95
+
+
+def test_dual_descent_against_the_primal():
+    """Its weights reach the least value of the hinge-loss objective that a plain search finds."""
+    dice = np.random.default_rng(4)
+    x = dice.standard_normal((60, 3))
+    y = np.sign(x @ [1.0, -2.0, 0.5] + 0.3 + dice.standard_normal(60) * 0.5)
+    cost = np.full(60, 0.7)
+    w = quality_model.dual_descent([(np.arange(3), row) for row in x], y, 3, cost, passes=400)
+
+    def objective(w):
+        return (w @ w) / 2 + (cost * np.maximum(0, 1 - y * (x @ w[:3] + w[3]))).sum()
+
+    best, least, step = w.copy(), objective(w), 0.05
+    for _ in range(4000):
+        other = best + dice.standard_normal(4) * step
+        if objective(other) < least:
+            best, least = other, objective(other)
+        step = max(step * 0.999, 1e-4)
+    assert objective(w) <= least * (1 + 1e-3)
