@@ -91,32 +91,34 @@ def raw_scores(model: Machine, count: int, owner: np.ndarray, row: np.ndarray) -
 def interacting(present: np.ndarray, y: np.ndarray, z: float) -> np.ndarray:
     """Which terms (columns of ``present``, 0 or 1) are in a pair that interacts.
 
-    For two terms the rows fall into four cells by presence; the contrast of the cells' log-odds of
-    being toxic is zero where the terms' weights add up. It is held against its standard error, and
-    against the largest of so many pairs by chance.
+    For two terms the rows fall into four cells by presence; the contrast of the cells' shares of toxic
+    rows is zero where the terms' effects add up. It has to be twice ``z`` standard errors, or twice the
+    largest of so many by chance: twice, as near copies among the rows are no independent witnesses.
     """
     width = present.shape[1]
     out = np.zeros(width, bool)
     if width < 2:
         return out
     z = max(z, float(np.sqrt(2 * np.log(width * (width - 1) / 2))))
-    classes = [present[y == label].astype(np.float32) for label in (0, 1)]
-    totals = [part.sum(axis=0, dtype=np.float64) for part in classes]
+    every, toxic = present.astype(np.float32), present[y == 1].astype(np.float32)
+    share = y.mean()
     for first in range(0, width, 256):
         some = slice(first, first + 256)
-        contrast, variance, alone, others = 0.0, 0.0, 0.0, 0.0
-        for part, total, sign in zip(classes, totals, (-1, 1), strict=True):
+
+        def cells(part: np.ndarray, some=some) -> list[np.ndarray]:
+            total = part.sum(axis=0, dtype=np.float64)
             both = (part[:, some].T @ part).astype(np.float64)
             one, other = total[some, None] - both, total[None, :] - both
-            none = len(part) - both - one - other
-            alone, others = alone + one, others + other
-            for cell, turn in ((both, 1), (one, -1), (other, -1), (none, 1)):
-                contrast = contrast + sign * turn * np.log(cell + 0.5)
-                variance = variance + 1 / (cell + 0.5)
-        strong = np.abs(contrast) >= z * np.sqrt(variance)
+            return [both, one, other, len(part) - both - one - other]
+
+        contrast, variance = 0.0, 0.0
+        rows, hits = cells(every), cells(toxic)
+        for n, t, sign in zip(rows, hits, (1, -1, -1, 1), strict=True):
+            contrast = contrast + sign * (t + share) / (n + 1)
+            variance = variance + share * (1 - share) / (n + 1)
+        strong = np.abs(contrast) >= 2 * z * np.sqrt(variance)
         # A term and itself, or its own prefix, have no rows with one alone.
-        strong &= (alone > 0) & (others > 0)
-        out[some] |= strong.any(axis=1)
+        out[some] |= (strong & (rows[1] > 0) & (rows[2] > 0)).any(axis=1)
     return out
 
 
