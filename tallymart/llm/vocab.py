@@ -8,10 +8,10 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-from tallymart.llm.words import blocks, hash_spans
+from tallymart.llm.words import blocks, hash_spans, heads
 
 # Units a process remembers: a bound of memory. When it is reached, all are forgotten.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 FEWEST_SLOTS = 1 << 14  # of the table at first; it is doubled when half of it is taken
 
 _held: dict[tuple, object] = {}
@@ -128,6 +128,7 @@ class UnitEncoder:
         # Entry i has ids pool[first[i]:first[i + 1]] and bytes text[begin[i]:begin[i + 1]].
         self.count = 0
         self.first, self.begin = np.zeros(FEWEST_SLOTS, np.int64), np.zeros(FEWEST_SLOTS, np.int64)
+        self.head = np.zeros(FEWEST_SLOTS, np.uint64)  # the first 8 of its bytes
         self.pool, self.text = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.uint8)
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
@@ -180,7 +181,11 @@ class UnitEncoder:
 
         self.first, self.pool = extend(self.first, self.pool, [len(x) for x in ids], np.concatenate(ids))
         joined = np.frombuffer(b"".join(units), np.uint8)
-        self.begin, self.text = extend(self.begin, self.text, [len(x) for x in units], joined)
+        sizes = np.array([len(x) for x in units])
+        self.begin, self.text = extend(self.begin, self.text, sizes, joined)
+        if base + new > len(self.head):
+            self.head = np.concatenate([self.head, np.zeros(max(new, len(self.head)), np.uint64)])
+        self.head[base : base + new] = heads(joined, np.cumsum(sizes) - sizes, sizes)
         self.count += new
         return np.arange(base, base + new)
 
@@ -205,13 +210,13 @@ class UnitEncoder:
     def _others(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, found: np.ndarray) -> np.ndarray:
         """The units that are not those of the entries found for them."""
         size, begin = ends - starts, self.begin[found]
-        same = size == self.begin[found + 1] - begin
-        rows = np.flatnonzero(same)
+        same = (size == self.begin[found + 1] - begin) & (heads(raw, starts, size) == self.head[found])
+        rows = np.flatnonzero(same & (size > 8))
         for first in range(0, len(rows), 1 << 16):
             some = rows[first : first + (1 << 16)]
-            length = size[some]
+            length = size[some] - 8
             upto = np.cumsum(length)
-            within = np.arange(upto[-1]) - np.repeat(upto - length, length)
+            within = np.arange(upto[-1]) - np.repeat(upto - length, length) + 8
             mine = raw[np.repeat(starts[some], length) + within]
             differs = mine != self.text[np.repeat(begin[some], length) + within]
             if differs.any():

@@ -84,11 +84,20 @@ def _eight(words: np.ndarray, places: np.ndarray, left: np.ndarray) -> np.ndarra
     return out & KEPT[np.minimum(left, 8)]
 
 
-def hash_spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each of the spans of bytes."""
+def _padded(values: np.ndarray) -> np.ndarray:
     padded = np.zeros((len(values) + 23) & ~7, np.uint8)
     padded[: len(values)] = values
-    words, size = padded.view("<u8"), ends - starts
+    return padded.view("<u8")
+
+
+def heads(values: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The first 8 bytes of each span as a number; those beyond a shorter span are zero."""
+    return _eight(_padded(values), starts, size)
+
+
+def hash_spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each of the spans of bytes."""
+    words, size = _padded(values), ends - starts
     seed = mix(size.astype(np.uint64) * ODD)
     first = _eight(words, starts, size)
     out = mix(seed ^ first)
