@@ -8,6 +8,8 @@ Both ranks are counted in two steps, so that a source with most rows is no singl
 into buckets by the value they are sorted by, a running sum over the buckets' counts gives each
 bucket its base, and rows are numbered within their bucket. A fractional rank that many rows have, as
 0.5 where most sources have one row, is spread over buckets by the hash (``_bands``).
+
+Texts are read once: their sizes and hashes go to the shelf, and all counting reads these narrow rows.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymart.llm.frames import pick
+from tallymart.llm.frames import Shelf, pick
 
 HASH_SPACE = 1 << 32
 
@@ -103,6 +105,7 @@ def shards(
         "_hash",
         F.pmod(F.xxhash64(F.lit(seed), "doc_id", "source", "text_crc32", "size"), F.lit(HASH_SPACE)),
     )
+    rows = Shelf(docs.sparkSession, "sharding").put(rows, "rows")
     ties = ["doc_id", "text_crc32", "size"]
     ranked = _numbered(
         rows,
