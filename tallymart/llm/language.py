@@ -3,9 +3,8 @@
 A text's bytes are read in segments of ``SEGMENT`` positions, forwards and backwards, by two gated
 recurrent layers. Both states at a position give it a probability for each language, and a text's
 probabilities are the mean over all its positions. Numpy does both the reading and the training
-(back-propagation through time, Adam), the latter on a bounded sample: ``rows_per_language`` texts a
-language and, of a text, at most ``segments_per_text`` segments drawn from the whole of it (None: all).
-Judging reads whole texts.
+(back-propagation through time, Adam), the latter on a bounded sample of ``rows_per_language`` texts a
+language. Learning draws from all segments of these texts, and judging reads whole texts.
 
 Gates are (1 + tanh(a)) / 2, which is the logistic curve of 2a.
 """
@@ -26,7 +25,6 @@ from tallymart.llm.words import blocks
 HIDDEN = 8
 SEGMENT = 128
 ROWS = 300
-SEGMENTS = 8
 BATCH = 1024
 UNKNOWN = "und"
 
@@ -163,45 +161,39 @@ def _cut(raw: np.ndarray, start: np.ndarray, length: np.ndarray, size: int):
 
 
 def train(
-    rows: list[tuple[str, str]],
-    hidden: int = HIDDEN,
-    epochs: int = 4,
-    step: float = 0.02,
-    segments_per_text: int | None = SEGMENTS,
+    rows: list[tuple[str, str]], hidden: int = HIDDEN, epochs: int = 2, step: float = 0.02
 ) -> Network:
-    """Languages are the labels met, sorted; a single one needs no training."""
+    """Languages are the labels met, sorted; a single one needs no training.
+
+    Segments are drawn from all of all texts, ``epochs`` times as many as there are, and cut out of the
+    texts' bytes batch by batch, so little more is held than the texts.
+    """
     languages = sorted({label for _, label in rows})
     net = new_network(languages, hidden)
     if len(languages) < 2:
         return net
     rng = np.random.default_rng(1)
-    xs, masks, labels = [], [], []
-    for text, label in rows:
-        raw = np.frombuffer(text.encode(), np.uint8)
-        if not len(raw):
-            continue
-        start, length, _ = segments(raw, np.array([0, len(raw)]))
-        if segments_per_text is not None and len(start) > segments_per_text:
-            some = np.sort(rng.choice(len(start), segments_per_text, replace=False))
-            start, length = start[some], length[some]
-        x, mask = _cut(raw, start, length, SEGMENT)
-        xs.append(x)
-        masks.append(np.ones(x.shape, np.float32) if mask is None else mask)
-        labels += [languages.index(label)] * len(x)
-    if not xs:
+    texts = [text.encode() for text, _ in rows]
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    if not len(raw):
         return net
-    x, mask, label = np.concatenate(xs), np.concatenate(masks), np.array(labels)
+    start, length, text = segments(raw, np.cumsum([0, *map(len, texts)]))
+    label = np.array([languages.index(label) for _, label in rows])[text]
     # Languages weigh alike: the rarer ones' segments are drawn again.
     size = np.bincount(label, minlength=len(languages))
     odds = (1 / np.maximum(size, 1))[label]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parts()]
-    batch = min(128, len(x))
-    turns = max(30, epochs * len(x) // batch)
+    batch = min(128, len(start))
+    turns = max(30, epochs * len(start) // batch)
+    odds /= odds.sum()
     for turn in range(1, turns + 1):
-        some = rng.choice(len(x), batch, p=odds / odds.sum())
+        some = rng.choice(len(start), batch, p=odds)
+        x, mask = _cut(raw, start[some], length[some], SEGMENT)
+        if mask is None:
+            mask = np.ones(x.shape, np.float32)
         rate = step * min(1.0, 2 * (1 - turn / (turns + 1)))
         for part, slope, (mean, square) in zip(
-            net.parts(), gradients(net, x[some], mask[some], label[some]), moments, strict=True
+            net.parts(), gradients(net, x, mask, label[some]), moments, strict=True
         ):
             slope = np.clip(slope, -1, 1)
             mean += 0.1 * (slope - mean)
@@ -255,15 +247,10 @@ def predict(net: Network, text: Column | str) -> Column:
     return predicted.asNondeterministic()(text)
 
 
-def train_on(
-    docs: DataFrame,
-    may_learn: Column,
-    rows_per_language: int = ROWS,
-    segments_per_text: int | None = SEGMENTS,
-) -> Network:
+def train_on(docs: DataFrame, may_learn: Column, rows_per_language: int = ROWS) -> Network:
     """Train on text and lang of documents that meet ``may_learn`` (a condition on doc_id)."""
     rows, _ = sample(docs, docs, "lang", may_learn, rows_per_language)
-    return train(rows, segments_per_text=segments_per_text)
+    return train(rows)
 
 
 def languages(
@@ -271,18 +258,17 @@ def languages(
     folds: int = 4,
     held: int = 2,
     rows_per_language: int = ROWS,
-    segments_per_text: int | None = SEGMENTS,
 ) -> DataFrame:
     """doc_id, held_out, lang_pred and score of each row.
 
-    Documents whose crc32(doc_id as text) modulo ``folds`` is ``held`` are not learnt from. Of each
-    text learnt from, at most ``segments_per_text`` segments of 128 bytes are used (None: all). Each row
-    is judged on its whole text alone: repeated rows are judged alike, texts that are null, empty or
+    Documents whose crc32(doc_id as text) modulo ``folds`` is ``held`` are not learnt from. Up to
+    ``rows_per_language`` whole texts a language are. Each row is judged on its whole text alone:
+    repeated rows are judged alike, texts that are null, empty or
     without a letter are "und" with score 0 (as is everything when no lang is given at all), and an
     empty table gives no rows.
     """
     may_learn = remainder("doc_id", folds) != held
-    net = train_on(docs, may_learn, rows_per_language, segments_per_text)
+    net = train_on(docs, may_learn, rows_per_language)
     judged = pick(docs, "doc_id", "text").select(
         "doc_id",
         (remainder("doc_id", folds) == held).alias("held_out"),

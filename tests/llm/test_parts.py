@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 import time
 from collections import Counter
@@ -199,13 +200,47 @@ def test_language_is_learnt_and_positions_are_all_read():
     assert np.allclose(alone[0], p[0], atol=1e-4)
 
 
-@pytest.mark.parametrize(("bound", "want"), [(8, 8), (3, 3), (None, 20)])
-def test_language_learns_from_as_many_segments_as_asked(monkeypatch, bound, want):
-    seen, cut = [], language._cut
-    monkeypatch.setattr(language, "_cut", lambda raw, start, *a: seen.append(len(start)) or cut(raw, start, *a))
+def test_language_learns_from_all_segments(monkeypatch):
+    seen, cut = set(), language._cut
+    monkeypatch.setattr(
+        language, "_cut", lambda raw, start, *a: seen.update(start.tolist()) or cut(raw, start, *a)
+    )
     text = "a bc " * (20 * language.SEGMENT // 5)
-    language.train([(text, "x"), (text.upper(), "y")], epochs=1, segments_per_text=bound)
-    assert seen == [want, want]
+    language.train([(text, "x"), ("", "x"), (text.upper() + "Z", "y")], epochs=30)
+    assert seen == set(range(0, 41 * language.SEGMENT, language.SEGMENT))
+
+
+def test_forward_pass_is_that_of_plain_loops():
+    net = language.new_network(["a", "b"], 3)
+    raw = "kraa ö tuzo".encode()
+    length, hidden = len(raw), 3
+
+    def states(way):
+        h, out = [0.0] * hidden, []
+        for byte in raw if way == 0 else raw[::-1]:
+            a, w = net.inputs[way][byte], net.recurrent[way]
+            g = [sum(h[i] * w[i][j] for i in range(hidden)) for j in range(3 * hidden)]
+            new = []
+            for j in range(hidden):
+                z = 1 / (1 + math.exp(-2 * (a[j] + g[j])))
+                r = 1 / (1 + math.exp(-2 * (a[hidden + j] + g[hidden + j])))
+                n = math.tanh(a[2 * hidden + j] + r * g[2 * hidden + j])
+                new.append((1 - z) * n + z * h[j])
+            h = new
+            out.append(h)
+        return out if way == 0 else out[::-1]
+
+    ahead, back = states(0), states(1)
+    want = [0.0, 0.0]
+    for t in range(length):
+        logit = [
+            sum(ahead[t][i] * net.outputs[0][i][k] + back[t][i] * net.outputs[1][i][k] for i in range(hidden))
+            for k in range(2)
+        ]
+        total = sum(math.exp(v) for v in logit)
+        want = [w + math.exp(v) / total / length for w, v in zip(want, logit, strict=True)]
+    got = language.text_probabilities(net, np.frombuffer(raw, np.uint8), np.array([0, length]))
+    assert got[0].tolist() == pytest.approx(want, abs=1e-5)
 
 
 def test_machine_learns_a_pair_that_single_terms_miss():
