@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 
 from tallymart.fixed_values import GATE_ERROR_HEADING, GATE_MAX_AGE_DAYS, GATE_MESSAGES
 from tallymart.schemas import require_columns
+from tallymart.sources.published import footer_nulls, stored_types
+
+# Types of which a Parquet footer tells all that the null scan asks.
+FOOTER_TYPES = ("tinyint", "smallint", "int", "bigint", "boolean", "date", "timestamp", "string")
 
 
 @dataclass(frozen=True)
@@ -142,3 +146,27 @@ def null_scan(df: DataFrame) -> DataFrame:
         F.struct(F.lit(name).alias("column"), F.col(name).alias("nulls")) for name in df.columns
     ]
     return df.agg(*counts).select(F.inline(F.array(*entries)))
+
+
+def stored_null_scan(table: DataFrame, path: str) -> DataFrame:
+    """``null_scan`` of the whole published table at ``path``, which ``table`` reads.
+
+    NULLs are counted in the footers of its files. Only columns that may hold NaN are read, and
+    partition columns, which lie in no file. Where a footer lacks a count, all columns are read.
+    """
+    stored = stored_types(table) or {}
+    counted = [
+        name
+        for name in table.columns
+        if stored.get(name, "") in FOOTER_TYPES or stored.get(name, "").startswith("decimal")
+    ]
+    nulls = footer_nulls(table, path, counted)
+    if not nulls:
+        return null_scan(table)
+    entries = [
+        F.struct(F.lit(name).alias("column"), F.lit(count).cast("long").alias("nulls"))
+        for name, count in nulls.items()
+    ]
+    known = table.sparkSession.range(1).select(F.inline(F.array(*entries)))
+    others = [name for name in table.columns if name not in counted]
+    return known.unionAll(null_scan(table.select(*others))) if others else known

@@ -241,7 +241,7 @@ def _full_gate(df: DataFrame) -> list[quality.Rule]:
 def output_null_scan(spark: SparkSession, folder: str) -> DataFrame:
     output = _output(spark, "output_null_scan")
     path = _publish_customers(spark, _typed_lines(spark, folder), output)
-    return quality.null_scan(read_stored(spark, path))
+    return quality.stored_null_scan(read_stored(spark, path), path)
 
 
 # Aggregates and ranking

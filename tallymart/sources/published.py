@@ -7,6 +7,7 @@ from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -76,3 +77,30 @@ def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
         if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
+
+
+def _by_footers(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose counts over whole Parquet files come from their footers."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session
+
+
+def footer_nulls(table: DataFrame, path: str, columns: list[str]) -> dict[str, int] | None:
+    """NULLs of each of the columns that the files of the table at ``path`` hold; no data page is read.
+
+    None when a footer lacks the count, as that of a column chunk whose values are too long for
+    statistics does.
+    """
+    if not columns:
+        return {}
+    stored = _by_footers(table.sparkSession).read.schema(table.schema).parquet(path)
+    counts = [F.count(name).alias(name) for name in columns]
+    try:
+        found = stored.agg(F.count("*").alias("rows of the table"), *counts).first()
+    except Exception as error:
+        if "aggregatePushdown" in str(error):
+            return None
+        raise
+    return {name: (found["rows of the table"] or 0) - (found[name] or 0) for name in columns}

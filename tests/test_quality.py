@@ -2,7 +2,10 @@ from __future__ import annotations
 
 import math
 from datetime import datetime
+from decimal import Decimal
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import rows
 
@@ -10,8 +13,10 @@ from tallymart.operators.quality import (
     gate_rules,
     null_scan,
     quality_report,
+    stored_null_scan,
     validate,
 )
+from tallymart.sources.published import read_published
 
 AS_OF = datetime(2026, 3, 30, 9)
 OLDEST = datetime(2025, 12, 30, 9)
@@ -94,3 +99,56 @@ def test_null_scan(spark):
     df = spark.createDataFrame([(1, None, math.nan), (2, "a", 1.0), (3, None, None)],
                                "k int, s string, d double")
     assert rows(null_scan(df)) == [("d", 2), ("k", 0), ("s", 2)]
+
+
+STORED = "k int, s string, m decimal(12,2), t timestamp, d double, P string, N int"
+
+
+def stored(spark, tmp_path, *more):
+    data = [
+        (1, None, Decimal("1.5"), None, math.nan, "a", 1),
+        (None, "y", None, datetime(2026, 3, 1), None, None, 2),
+        (None, "z", None, None, 2.0, None, None),
+        *more,
+    ]
+    df = spark.createDataFrame(data, STORED)
+    path = str(tmp_path / "t")
+    df.write.partitionBy("P", "N").parquet(path)
+    return read_published(spark, path, df.schema), path
+
+
+def test_nulls_from_footers_are_those_of_a_scan(spark, tmp_path):
+    table, path = stored(spark, tmp_path)
+    got = rows(stored_null_scan(table, path))
+    assert got == rows(null_scan(table))
+    assert dict(got) == {"k": 2, "s": 1, "m": 2, "t": 2, "d": 2, "P": 2, "N": 1}
+
+
+def test_data_pages_of_columns_counted_in_footers_are_not_read(spark, tmp_path):
+    table, path = stored(spark, tmp_path)
+    want = rows(null_scan(table))
+    for file in Path(path).rglob("*.parquet"):
+        group = pq.ParquetFile(file).metadata.row_group(0)
+        content = bytearray(file.read_bytes())
+        for at in range(group.num_columns):
+            chunk = group.column(at)
+            if chunk.path_in_schema != "d":
+                first = chunk.dictionary_page_offset or chunk.data_page_offset
+                end = first + chunk.total_compressed_size
+                content[first:end] = b"\xff" * (end - first)
+        file.write_bytes(content)
+        (file.parent / f".{file.name}.crc").unlink()
+    assert rows(stored_null_scan(table, path)) == want
+    with pytest.raises(Exception, match="FAILED_READ_FILE|Parquet|parquet"):
+        null_scan(table).collect()
+
+
+def test_values_too_long_for_footers_are_read(spark, tmp_path):
+    table, path = stored(spark, tmp_path, (1, "x" * 5000, None, None, 1.0, "a", 1))
+    assert rows(stored_null_scan(table, path)) == rows(null_scan(table))
+
+
+def test_stored_null_scan_without_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(0).write.parquet(path)
+    assert rows(stored_null_scan(read_published(spark, path), path)) == [("id", 0)]
