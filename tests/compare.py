@@ -65,8 +65,12 @@ def main() -> int:
         }
     )
     spark.sparkContext.setLogLevel("ERROR")
-    problems = [problem for name in names if (problem := compare(spark, folder, name))]
-    print(*(problems or ["all equal"]), sep="\n")
+    problems = []
+    for name in names:
+        if problem := compare(spark, folder, name):
+            problems.append(problem)
+            print(problem, flush=True)
+    print(f"{len(problems)} of {len(names)} differ" if problems else "all equal")
     return len(problems)
 
 
