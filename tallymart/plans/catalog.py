@@ -513,7 +513,7 @@ def _job_inputs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     )
     return {
         "sales": tables.recent_sales(spark, folder),
-        "products": tables.products(spark, folder),
+        "products": tables.listed_products(spark, folder),
         "rates": quotes,
     }
 

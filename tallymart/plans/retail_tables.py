@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 LAST_ORDER_DAY = "2001-08-01"
 RECENT_DAYS = 80
 
+# Products that may be broadcast: at most so many, about 65 bytes each in memory.
+BROADCAST_ROWS = 2_000_000
+
 
 # Columns and types of the warehouse tables that are read.
 SCHEMAS = {
@@ -47,14 +50,15 @@ def _placed_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with the customer's country.
 
     The small tables meet the orders first, so that the lines, the largest input by far, are
-    shuffled once (by order) and not a second time by customer.
+    shuffled once (by order) and not a second time by customer. Customers and orders both grow with
+    the data; their compressed files look small enough to broadcast long after their rows are not.
     """
     country = (
         table(spark, folder, "customer")
         .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(F.col("c_custkey").alias("o_custkey"), F.col("n_name").alias("COUNTRY"))
     )
-    return table(spark, folder, "orders").join(country, "o_custkey")
+    return table(spark, folder, "orders").join(country.hint("merge"), "o_custkey")
 
 
 def _order_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,7 +81,13 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def products(spark: SparkSession, folder: str) -> DataFrame:
+def _few_broadcast(spark: SparkSession, folder: str, listed: DataFrame) -> DataFrame:
+    """Products to join: counted in the file footers, and beyond BROADCAST_ROWS never broadcast."""
+    few = table(spark, folder, "part").count() <= BROADCAST_ROWS
+    return listed if few else listed.hint("merge")
+
+
+def listed_products(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select(
         F.col("p_partkey").alias("PRODUCT_ID"),
         F.col("p_name").alias("PRODUCT_NAME"),
@@ -85,6 +95,10 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def products(spark: SparkSession, folder: str) -> DataFrame:
+    return _few_broadcast(spark, folder, listed_products(spark, folder))
+
+
 def rates(spark: SparkSession, folder: str) -> DataFrame:
     """Exact decimal(10,6) rates per day and country, from the first to the last order's day."""
     days = table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day"))
@@ -201,11 +215,11 @@ def recent_sales(spark: SparkSession, folder: str) -> DataFrame:
 
 def products_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
     """Every seventh product is missing, every eleventh is listed twice."""
-    listed = products(spark, folder).where("PRODUCT_ID % 7 <> 0")
+    listed = listed_products(spark, folder).where("PRODUCT_ID % 7 <> 0")
     again = listed.where("PRODUCT_ID % 11 = 0").withColumn(
         "PRODUCT_NAME", F.concat("PRODUCT_NAME", F.lit(" again"))
     )
-    return listed.unionAll(again)
+    return _few_broadcast(spark, folder, listed.unionAll(again))
 
 
 def spoiled_rates(spark: SparkSession, folder: str) -> DataFrame:

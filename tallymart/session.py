@@ -17,8 +17,9 @@ RECOMMENDED = {
     # Split a hot key even where the next aggregation could have kept the join's partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Product lists and rates up to this size spare the sales lines a shuffle.
-    "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    # Product lists and rates up to this size spare the sales lines a shuffle. Spark compares it with
+    # the size of files; compressed ones take ten times as much and more on the driver.
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
     # Larger splits of text make fewer, larger files of cleaned lines.
     "spark.sql.files.maxPartitionBytes": "256MB",
 }
