@@ -17,6 +17,8 @@ RECENT_DAYS = 80
 
 # Products that may be broadcast: at most so many, about 65 bytes each in memory.
 BROADCAST_ROWS = 2_000_000
+# Lines that one task joins with their orders and adds up, about 600 bytes each in memory.
+LINES_PER_TASK = 500_000
 
 
 # Columns and types of the warehouse tables that are read.
@@ -61,10 +63,22 @@ def _placed_orders(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").join(country.hint("merge"), "o_custkey")
 
 
+def _dealt_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines, in partitions by order of about LINES_PER_TASK rows once they are more than the cores
+    share out. Left to adaptive execution, partitions are packed by their compressed bytes, and a
+    task holds several million narrow lines. The lines are counted in the file footers."""
+    lines = table(spark, folder, "lineitem")
+    tasks = -(-lines.count() // LINES_PER_TASK)
+    if tasks <= spark.sparkContext.defaultParallelism:
+        return lines
+    # With fewer partitions than the session's number Spark would deal the lines anew.
+    return lines.repartition(max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions"))), "l_orderkey")
+
+
 def _order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Lines with their order; both sides grow with the data, so neither may be broadcast."""
     orders = _placed_orders(spark, folder).withColumnRenamed("o_orderkey", "l_orderkey")
-    return table(spark, folder, "lineitem").join(orders.hint("merge"), "l_orderkey")
+    return _dealt_lines(spark, folder).join(orders.hint("merge"), "l_orderkey")
 
 
 def sales(spark: SparkSession, folder: str) -> DataFrame:

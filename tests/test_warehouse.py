@@ -96,3 +96,22 @@ def test_many_products_are_not_broadcast(spark, folder, monkeypatch, query):
     many = run(spark, folder)
     assert "SortMergeJoin [PRODUCT_ID" in plan(many)
     assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))
+
+
+def test_lines_of_a_task_are_bounded_by_rows(spark, folder, monkeypatch):
+    few = catalog.queries()["category_summary"](spark, folder)
+    monkeypatch.setattr(tables, "LINES_PER_TASK", 50)
+    many = catalog.queries()["category_summary"](spark, folder)
+    joined = tables.sales(spark, folder)
+    counts = joined.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    # 40 partitions; one that adaptive execution packed by bytes would hold them all.
+    assert sum(row["count"] for row in counts) == LINES
+    assert len(counts) > 20 and max(row["count"] for row in counts) <= 4 * 50
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))
+
+
+def test_lines_that_the_cores_share_out_are_left_to_adaptive_execution(spark, folder, monkeypatch):
+    monkeypatch.setattr(tables, "LINES_PER_TASK", LINES // 8)
+    assert "REPARTITION_BY_NUM" not in plan(tables.sales(spark, folder))
+    monkeypatch.setattr(tables, "LINES_PER_TASK", LINES // 9)
+    assert "REPARTITION_BY_NUM" in plan(tables.sales(spark, folder))
